@@ -1,0 +1 @@
+"""Reserved: every layer is a batch full refresh, so there is no streaming job to offer."""
