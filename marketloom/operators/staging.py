@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions import text as tx
@@ -51,19 +51,20 @@ def _points_per_place(points: DataFrame) -> DataFrame:
     )
 
 
-# The most frequent place wins; ties go to the first city, then state, missing ones last.
-_MODAL = F.min(
-    F.struct(
-        (-F.col("points")).alias("rank"),
-        F.col("city_name").isNull().alias("no_city"),
-        F.col("city_name"),
-        F.col("state_code").isNull().alias("no_state"),
-        F.col("state_code"),
+def _modal() -> Column:
+    """The most frequent place; ties go to the first city, then state, missing ones last."""
+    return F.min(
+        F.struct(
+            (-F.col("points")).alias("rank"),
+            F.col("city_name").isNull().alias("no_city"),
+            F.col("city_name"),
+            F.col("state_code").isNull().alias("no_state"),
+            F.col("state_code"),
+        )
     )
-)
 
 
-def _mean(total: str, n: str) -> F.Column:
+def _mean(total: str, n: str) -> Column:
     """Mean from partial sums; NULL when nothing was counted."""
     return F.try_divide(F.sum(total), F.sum(n)).cast(CENTROID)
 
@@ -79,7 +80,7 @@ def modal_places(points: DataFrame) -> DataFrame:
     return (
         _points_per_place(points)
         .groupBy("zip_prefix")
-        .agg(_MODAL.alias("m"))
+        .agg(_modal().alias("m"))
         .select("zip_prefix", "m.city_name", "m.state_code")
     )
 
@@ -92,7 +93,7 @@ def geolocation(points: DataFrame) -> DataFrame:
         .agg(
             _mean("lat_sum", "lat_n").alias("latitude"),
             _mean("lng_sum", "lng_n").alias("longitude"),
-            _MODAL.alias("m"),
+            _modal().alias("m"),
         )
         .select("zip_prefix", "latitude", "longitude", "m.city_name", "m.state_code")
     )

@@ -22,17 +22,19 @@ def dense_key(df: DataFrame, key_name: str, order_by: list[str], path: str) -> D
     needs neither a join nor a shuffle. `order_by` must identify a row (see `number_copies`).
     """
     order = [F.col(c).asc_nulls_last() for c in order_by]
-    (
+    placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn(POSITION, F.monotonically_increasing_id())
-        .write.parquet(path)
     )
-    stored = df.sparkSession.read.parquet(path)
+    placed.write.parquet(path)
+    stored = df.sparkSession.read.schema(placed.schema).parquet(path)
     slice_no = F.shiftright(POSITION, _SLICE_BITS).cast("int")
-    sizes = {r["s"]: r["n"] for r in stored.groupBy(slice_no.alias("s")).agg(F.count("*").alias("n")).collect()}
-    rank = _rows_before(sizes, slice_no) + F.col(POSITION).bitwiseAND(F.lit(_ROW_MASK)) + 1
-    return stored.select(rank.cast("bigint").alias(key_name), *df.columns)
+    rank = F.col(POSITION).bitwiseAND(F.lit(_ROW_MASK)) + 1
+    if len(stored.inputFiles()) > 1:
+        sizes = stored.groupBy(slice_no.alias("slice")).count().collect()
+        rank = rank + _rows_before({r["slice"]: r["count"] for r in sizes}, slice_no)
+    return stored.select(rank.alias(key_name), *df.columns)
 
 
 def _rows_before(sizes: dict[int, int], slice_no: Column) -> Column:
