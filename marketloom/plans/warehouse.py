@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import threading
-from collections import defaultdict
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -14,6 +13,7 @@ from marketloom.operators import facts, marts
 from marketloom.operators import staging as stg
 from marketloom.operators.surrogate import COPY_NO, dense_key, number_copies
 from marketloom.session import new_work_folder
+from marketloom.sources.layers import delete_folder
 
 # staging table -> raw table
 STAGING_SOURCES = {
@@ -120,15 +120,23 @@ class Warehouse:
         self._raw = raw or {}
         self._tables: dict[str, DataFrame] = dict(ready or {})
         self._work_folder = work_folder
-        self._locks: dict[str, threading.Lock] = defaultdict(threading.Lock)
         self._builders = self._wire()
+        self._locks = {n: threading.Lock() for n in ["work folder", *self._builders]}
 
     @property
     def work_folder(self) -> str:
-        if self._work_folder is None:
-            self._work_folder = new_work_folder(self.spark, "warehouse")
+        with self._locks["work folder"]:
+            if self._work_folder is None:
+                self._work_folder = new_work_folder(self.spark, "warehouse")
         return self._work_folder
 
+    def drop_work_files(self) -> None:
+        """Delete the files written for keys; tables built here cannot be read afterwards."""
+        if self._work_folder is not None:
+            delete_folder(self.spark, self._work_folder)
+            self._work_folder = None
+            self._tables.clear()
+
     def raw(self, name: str) -> DataFrame:
         return self._raw[name]
 

@@ -24,6 +24,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, jpath = _fs_path(spark, path)
+    fs.delete(jpath, True)
+
+
 class LayerStore:
     """Parquet tables under `<root>/<layer>/run=<id>/<table>`.
 
@@ -73,8 +78,7 @@ class LayerStore:
         """Delete completed runs older than the `keep` newest ones and return their paths."""
         old = self.runs(layer)[: -max(keep, 1)]
         for run in old:
-            fs, jpath = _fs_path(self.spark, run)
-            fs.delete(jpath, True)
+            delete_folder(self.spark, run)
         return old
 
 
