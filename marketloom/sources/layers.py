@@ -59,7 +59,8 @@ class LayerStore:
     def runs(self, layer: str) -> list[str]:
         """Completed runs, oldest first."""
         fs, pattern = _fs_path(self.spark, f"{self.root}/{layer}/run=*/{_DONE}")
-        return sorted(str(s.getPath().getParent()) for s in (fs.globStatus(pattern) or []))
+        names = sorted(s.getPath().getParent().getName() for s in (fs.globStatus(pattern) or []))
+        return [f"{self.root}/{layer}/{n}" for n in names]
 
     def current(self, layer: str) -> str:
         runs = self.runs(layer)
