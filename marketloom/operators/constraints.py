@@ -228,14 +228,37 @@ def rule_violations(tables: dict[str, DataFrame], rules: dict[str, list[str]]) -
 
 
 def orphans(tables: dict[str, DataFrame], references: dict[str, dict[str, tuple[str, str]]] = REFERENCES) -> DataFrame:
-    """Rows (table_name, rule, violations): rows whose non-NULL key has no partner."""
+    """Rows (table_name, rule, violations): rows whose non-NULL key has no partner.
 
-    def one(table: str, column: str, target: str, key: str) -> DataFrame:
-        used = tables[table].where(F.col(column).isNotNull()).groupBy(column).count()
-        lost = used.join(tables[target].select(F.col(key).alias(column)), column, "left_anti")
-        return lost.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations")).select(
-            F.lit(table).alias("table_name"), F.lit(f"{column} -> {target}").alias("rule"), "violations"
-        )
+    Each referring table is read once for all its keys. Uses are counted per key value before
+    anything is shuffled, so the join sees every key once however many rows hold it.
+    """
 
-    parts = [one(t, c, *target) for t, columns in references.items() for c, target in columns.items()]
-    return reduce(DataFrame.unionByName, parts)
+    def uses(table: str, columns: dict[str, tuple[str, str]]) -> DataFrame:
+        entries = [
+            F.struct(
+                F.lit(f"{c} -> {target}").alias("rule"),
+                F.lit(target).alias("target"),
+                F.col(c).cast("bigint").alias("key"),
+            )
+            for c, (target, _) in columns.items()
+        ]
+        return tables[table].select(F.lit(table).alias("table_name"), F.inline(F.array(*entries)))
+
+    used = (
+        reduce(DataFrame.unionByName, [uses(t, c) for t, c in references.items()])
+        .groupBy("table_name", "rule", "target", "key")
+        .count()
+    )
+    # A NULL key needs no partner but keeps its rule in the report, with a count of nothing.
+    targets = dict.fromkeys(x for columns in references.values() for x in columns.values())
+    known = reduce(
+        DataFrame.unionByName,
+        [tables[t].select(F.lit(t).alias("target"), F.col(k).cast("bigint").alias("key")) for t, k in targets],
+    ).withColumn("known", F.lit(True))
+    lost = F.col("key").isNotNull() & F.col("known").isNull()
+    return (
+        used.join(known, ["target", "key"], "left")
+        .groupBy("table_name", "rule")
+        .agg(F.sum(F.when(lost, F.col("count")).otherwise(0)).alias("violations"))
+    )

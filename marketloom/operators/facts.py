@@ -1,4 +1,8 @@
-"""Fact tables before key assignment: measures, flags and resolved dimension keys.
+"""Fact tables before key assignment, in two steps.
+
+`resolve_*` adds the keys of the dimensions, `measure_*` derives dates, durations and flags from
+the row alone. Only the first needs other tables, so whatever is shuffled or sampled in between
+carries the source columns and keys, and the derived ones are computed afterwards.
 
 Every lookup is a left join against a table that is unique on the joined column, so rows are
 never lost or multiplied. Spark broadcasts a dimension when its files are small enough and
@@ -27,10 +31,13 @@ def _lookup(df: DataFrame, dim: DataFrame, on: dict[str, str], keys: dict[str, s
     return df.join(right, condition, "left").drop(*[f"__on_{i}" for i in range(len(on))])
 
 
-def marketing_leads(stg: DataFrame, dim_landing_page: DataFrame, dim_origin: DataFrame) -> DataFrame:
+def resolve_marketing_leads(stg: DataFrame, dim_landing_page: DataFrame, dim_origin: DataFrame) -> DataFrame:
     out = _lookup(stg, dim_landing_page, {"landing_page_id": "landing_page_id"}, {"landing_page_key": "landing_page_key"})
-    out = _lookup(out, dim_origin, {"origin": "origin_name"}, {"marketing_origin_key": "marketing_origin_key"})
-    return out.select(
+    return _lookup(out, dim_origin, {"origin": "origin_name"}, {"marketing_origin_key": "marketing_origin_key"})
+
+
+def measure_marketing_leads(df: DataFrame) -> DataFrame:
+    return df.select(
         "mql_id",
         date_key("first_contact_date").alias("first_contact_date_key"),
         "landing_page_key",
@@ -39,7 +46,7 @@ def marketing_leads(stg: DataFrame, dim_landing_page: DataFrame, dim_origin: Dat
     )
 
 
-def closed_deals(
+def resolve_closed_deals(
     stg: DataFrame,
     dim_seller: DataFrame,
     dim_sales_rep: DataFrame,
@@ -57,7 +64,11 @@ def closed_deals(
         (dim_lead_profile, "lead_behaviour_profile", "lead_profile_key"),
     ):
         out = _lookup(out, dim, {column: column}, {key: key})
-    return out.select(
+    return out
+
+
+def measure_closed_deals(df: DataFrame) -> DataFrame:
+    return df.select(
         "mql_id",
         "seller_key",
         date_key("won_ts").alias("won_date_key"),
@@ -77,27 +88,35 @@ def closed_deals(
     )
 
 
-def orders(stg: DataFrame, dim_customer: DataFrame, dim_status: DataFrame) -> DataFrame:
+def resolve_orders(stg: DataFrame, dim_customer: DataFrame, dim_status: DataFrame) -> DataFrame:
     """A missing status finds the `unknown` member; a blank one finds nothing and keeps a NULL key."""
     out = _lookup(stg, dim_customer, {"customer_id": "customer_id"}, {"customer_key": "customer_key"})
     out = out.withColumn("status_label", F.coalesce("order_status", F.lit(UNKNOWN)))
     out = _lookup(out, dim_status, {"status_label": "order_status"}, {"order_status_key": "order_status_key"})
-    stamps = {
-        "purchase": "order_purchase_ts",
-        "approved": "order_approved_ts",
-        "delivered_carrier": "order_delivered_carrier_ts",
-        "delivered_customer": "order_delivered_customer_ts",
-        "estimated_delivery": "order_estimated_delivery_ts",
-    }
-    bought, delivered, promised = stamps["purchase"], stamps["delivered_customer"], stamps["estimated_delivery"]
-    return out.select(
+    return out.drop("customer_id", "order_status", "status_label")
+
+
+_ORDER_TIMES = {
+    "purchase": "order_purchase_ts",
+    "approved": "order_approved_ts",
+    "delivered_carrier": "order_delivered_carrier_ts",
+    "delivered_customer": "order_delivered_customer_ts",
+    "estimated_delivery": "order_estimated_delivery_ts",
+}
+
+
+def measure_orders(df: DataFrame) -> DataFrame:
+    """Durations count from the purchase; the delay is negative for an early delivery."""
+    at = _ORDER_TIMES
+    bought, delivered, promised = at["purchase"], at["delivered_customer"], at["estimated_delivery"]
+    return df.select(
         "order_id",
         "customer_key",
         "order_status_key",
-        *[date_key(c).alias(f"{role}_date_key") for role, c in stamps.items()],
-        *stamps.values(),
-        elapsed(bought, stamps["approved"], HOUR).alias("approval_delay_hours"),
-        elapsed(bought, stamps["delivered_carrier"], DAY).alias("days_to_carrier"),
+        *[date_key(c).alias(f"{role}_date_key") for role, c in at.items()],
+        *at.values(),
+        elapsed(bought, at["approved"], HOUR).alias("approval_delay_hours"),
+        elapsed(bought, at["delivered_carrier"], DAY).alias("days_to_carrier"),
         elapsed(bought, delivered, DAY).alias("days_to_customer"),
         elapsed(bought, promised, DAY).alias("estimated_delivery_days"),
         elapsed(promised, delivered, DAY).alias("delivery_delay_days"),
@@ -107,12 +126,19 @@ def orders(stg: DataFrame, dim_customer: DataFrame, dim_status: DataFrame) -> Da
     )
 
 
-def order_items(stg: DataFrame, fact_orders: DataFrame, dim_product: DataFrame, dim_seller: DataFrame) -> DataFrame:
+def resolve_order_items(
+    stg: DataFrame, fact_orders: DataFrame, dim_product: DataFrame, dim_seller: DataFrame
+) -> DataFrame:
     out = _lookup(stg, fact_orders, {"order_id": "order_id"}, {"order_key": "order_key"})
     out = _lookup(out, dim_product, {"product_id": "product_id"}, {"product_key": "product_key"})
     out = _lookup(out, dim_seller, {"seller_id": "seller_id"}, {"seller_key": "seller_key"})
+    return out.drop("product_id", "seller_id")
+
+
+def measure_order_items(df: DataFrame) -> DataFrame:
     nothing = F.lit(0).cast("decimal(12,2)")
-    return out.select(
+    total = F.coalesce("price", nothing) + F.coalesce("freight_value", nothing)
+    return df.select(
         "order_id",
         "order_item_id",
         "order_key",
@@ -122,17 +148,20 @@ def order_items(stg: DataFrame, fact_orders: DataFrame, dim_product: DataFrame,
         "shipping_limit_ts",
         F.col("price").alias("item_price"),
         "freight_value",
-        (F.coalesce("price", nothing) + F.coalesce("freight_value", nothing)).cast("decimal(12,2)").alias("total_item_value"),
+        total.cast("decimal(12,2)").alias("total_item_value"),
         F.lit(1).alias("item_count"),
     )
 
 
-def payments(stg: DataFrame, fact_orders: DataFrame, dim_payment_type: DataFrame) -> DataFrame:
+def resolve_payments(stg: DataFrame, fact_orders: DataFrame, dim_payment_type: DataFrame) -> DataFrame:
     """As for order status, a blank payment type keeps a NULL key and a missing one is `unknown`."""
     out = _lookup(stg, fact_orders, {"order_id": "order_id"}, {"order_key": "order_key"})
     out = out.withColumn("type_label", F.coalesce("payment_type", F.lit(UNKNOWN)))
-    out = _lookup(out, dim_payment_type, {"type_label": "payment_type"}, {"payment_type_key": "payment_type_key"})
-    return out.select(
+    return _lookup(out, dim_payment_type, {"type_label": "payment_type"}, {"payment_type_key": "payment_type_key"})
+
+
+def measure_payments(df: DataFrame) -> DataFrame:
+    return df.select(
         "order_id",
         "payment_sequential",
         "order_key",
@@ -143,10 +172,13 @@ def payments(stg: DataFrame, fact_orders: DataFrame, dim_payment_type: DataFrame
     )
 
 
-def reviews(stg: DataFrame, fact_orders: DataFrame) -> DataFrame:
-    out = _lookup(stg, fact_orders, {"order_id": "order_id"}, {"order_key": "order_key"})
+def resolve_reviews(stg: DataFrame, fact_orders: DataFrame) -> DataFrame:
+    return _lookup(stg, fact_orders, {"order_id": "order_id"}, {"order_key": "order_key"})
+
+
+def measure_reviews(df: DataFrame) -> DataFrame:
     score = F.col("review_score")
-    return out.select(
+    return df.select(
         "review_id",
         "order_id",
         "order_key",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,13 @@ _ROW_MASK = (1 << _SLICE_BITS) - 1
 _COPIES_PER_CHUNK = 4096
 
 
-def dense_key(df: DataFrame, key_name: str, order_by: list[str], path: str) -> DataFrame:
+def dense_key(
+    df: DataFrame,
+    key_name: str,
+    order_by: list[str],
+    path: str,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Add `key_name` = 1..n, the rank of each row in ascending `order_by` (NULLs last).
 
     Rows are range-partitioned, sorted inside each partition and written to `path` together
@@ -20,13 +28,13 @@ def dense_key(df: DataFrame, key_name: str, order_by: list[str], path: str) -> D
     executor only means re-reading files. A key is then `rows in earlier slices + position + 1`.
     The driver sees one row count per written slice, nothing else, and reading the keyed table
     needs neither a join nor a shuffle. `order_by` must identify a row (see `number_copies`).
+    `derive` is a row-by-row projection to the final columns; it runs after the shuffle, so that
+    neither the shuffle nor the sampling for its ranges carries derived columns.
     """
     order = [F.col(c).asc_nulls_last() for c in order_by]
-    placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn(POSITION, F.monotonically_increasing_id())
-    )
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    final = derive(ranged) if derive else ranged
+    placed = final.withColumn(POSITION, F.monotonically_increasing_id())
     placed.write.parquet(path)
     stored = df.sparkSession.read.schema(placed.schema).parquet(path)
     slice_no = F.shiftright(POSITION, _SLICE_BITS).cast("int")
@@ -34,7 +42,7 @@ def dense_key(df: DataFrame, key_name: str, order_by: list[str], path: str) -> D
     if len(stored.inputFiles()) > 1:
         sizes = stored.groupBy(slice_no.alias("slice")).count().collect()
         rank = rank + _rows_before({r["slice"]: r["count"] for r in sizes}, slice_no)
-    return stored.select(rank.alias(key_name), *df.columns)
+    return stored.select(rank.alias(key_name), *final.columns)
 
 
 def _rows_before(sizes: dict[int, int], slice_no: Column) -> Column:

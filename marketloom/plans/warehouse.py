@@ -54,7 +54,7 @@ KEYS = {
     # Ties beyond the declared natural key are only needed when it is violated.
     "fact_order_items": (
         "order_item_key",
-        ["order_id", "order_item_id", "product_key", "seller_key", "shipping_limit_ts", "item_price", "freight_value"],
+        ["order_id", "order_item_id", "product_key", "seller_key", "shipping_limit_ts", "price", "freight_value"],
     ),
     "fact_payments": ("payment_key", ["order_id", "payment_sequential"]),
     "fact_reviews": (
@@ -63,6 +63,15 @@ KEYS = {
          "review_comment_title", "review_comment_message"],
     ),
 }
+# Row-by-row columns of the facts, derived after the rows are in key order.
+MEASURES = {
+    "fact_marketing_leads": facts.measure_marketing_leads,
+    "fact_closed_deals": facts.measure_closed_deals,
+    "fact_orders": facts.measure_orders,
+    "fact_order_items": facts.measure_order_items,
+    "fact_payments": facts.measure_payments,
+    "fact_reviews": facts.measure_reviews,
+}
 # Tables without a declared unique key may hold any number of identical rows.
 KEYLESS = {"fact_reviews"}
 
@@ -179,10 +188,9 @@ class Warehouse:
 
     def _keyed(self, name: str, df: DataFrame) -> DataFrame:
         key, order = KEYS[name]
-        path = f"{self.work_folder}/{name}"
         if name in KEYLESS:
-            return dense_key(number_copies(df), key, [*order, COPY_NO], path).drop(COPY_NO)
-        return dense_key(df, key, order, path)
+            df, order = number_copies(df), [*order, COPY_NO]
+        return dense_key(df, key, order, f"{self.work_folder}/{name}", MEASURES.get(name))
 
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.work_folder}/{name}"
@@ -248,18 +256,18 @@ class Warehouse:
             "dim_lead_type": small("stg_closed_deals", "lead_type"),
             "dim_lead_profile": small("stg_closed_deals", "lead_behaviour_profile"),
             "dim_sales_rep": lambda: dim.sales_reps(w.stg_closed_deals),
-            "fact_marketing_leads": lambda: facts.marketing_leads(
+            "fact_marketing_leads": lambda: facts.resolve_marketing_leads(
                 w.stg_marketing_leads, w.dim_landing_page, w.dim_marketing_origin
             ),
-            "fact_closed_deals": lambda: facts.closed_deals(
+            "fact_closed_deals": lambda: facts.resolve_closed_deals(
                 w.stg_closed_deals, w.dim_seller, w.dim_sales_rep, w.dim_business_segment,
                 w.dim_lead_type, w.dim_lead_profile,
             ),
-            "fact_orders": lambda: facts.orders(w.stg_orders, w.dim_customer, w.dim_order_status),
-            "fact_order_items": lambda: facts.order_items(
+            "fact_orders": lambda: facts.resolve_orders(w.stg_orders, w.dim_customer, w.dim_order_status),
+            "fact_order_items": lambda: facts.resolve_order_items(
                 w.stg_order_items, w.fact_orders, w.dim_product, w.dim_seller
             ),
-            "fact_payments": lambda: facts.payments(w.stg_payments, w.fact_orders, w.dim_payment_type),
-            "fact_reviews": lambda: facts.reviews(w.stg_reviews, w.fact_orders),
+            "fact_payments": lambda: facts.resolve_payments(w.stg_payments, w.fact_orders, w.dim_payment_type),
+            "fact_reviews": lambda: facts.resolve_reviews(w.stg_reviews, w.fact_orders),
             **{m: (lambda m=m: w._marts[m]()) for m in MARTS},
         }

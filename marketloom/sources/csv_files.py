@@ -17,11 +17,12 @@ def file_of(table: str, pattern: str = "{table}.csv", names: dict[str, str] | No
     return (names or {}).get(table) or pattern.format(table=table)
 
 
-def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, table: str, line_breaks: bool = True) -> DataFrame:
     """Rows of one source: header skipped, columns by position, any malformed row aborts the job.
 
     Quoted fields may contain line breaks, so one file is read by one task; a large source is
-    meant to be a folder or glob of part files.
+    meant to be a folder or glob of part files. `line_breaks=False` states that no field holds
+    one, and lets Spark split large files; each file still starts with a header.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"source file not found: {path}")
@@ -30,7 +31,7 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
         .options(
             header="true",
             enforceSchema="true",
-            multiLine="true",
+            multiLine=str(line_breaks).lower(),
             quote='"',
             escape='"',
             nullValue=_NO_SUCH_TEXT,
@@ -48,9 +49,14 @@ def load_all_raw(
     store: LayerStore,
     pattern: str = "{table}.csv",
     names: dict[str, str] | None = None,
+    splittable: frozenset[str] = frozenset(),
 ) -> str:
-    """Full refresh of the raw layer; the previous one stays current if any file fails."""
+    """Full refresh of the raw layer; the previous one stays current if any file fails.
+
+    `splittable` names the tables whose fields are known to hold no line breaks.
+    """
+    folder = source_dir.rstrip("/")
     frames = {
-        t: read_csv(spark, f"{source_dir.rstrip('/')}/{file_of(t, pattern, names)}", t) for t in RAW_TABLES
+        t: read_csv(spark, f"{folder}/{file_of(t, pattern, names)}", t, t not in splittable) for t in RAW_TABLES
     }
     return store.write_layer("raw", frames)

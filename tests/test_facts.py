@@ -4,6 +4,24 @@ from decimal import Decimal
 from marketloom.operators import facts
 
 T = dt.datetime(2018, 1, 1)
+
+
+def closed_deals(*tables):
+    return facts.measure_closed_deals(facts.resolve_closed_deals(*tables))
+
+
+def orders(*tables):
+    return facts.measure_orders(facts.resolve_orders(*tables))
+
+
+def order_items(*tables):
+    return facts.measure_order_items(facts.resolve_order_items(*tables))
+
+
+def reviews(*tables):
+    return facts.measure_reviews(facts.resolve_reviews(*tables))
+
+
 ORDERS = """order_id string, customer_id string, order_status string, order_purchase_ts timestamp_ntz,
     order_approved_ts timestamp_ntz, order_delivered_carrier_ts timestamp_ntz,
     order_delivered_customer_ts timestamp_ntz, order_estimated_delivery_ts timestamp_ntz"""
@@ -24,7 +42,7 @@ def build_orders(rows):
     )
     customers = rows("customer_key bigint, customer_id string", (11, "c1"))
     statuses = rows("order_status_key bigint, order_status string", (1, "delivered"), (2, "unknown"))
-    return {r.order_id: r for r in facts.orders(stg, customers, statuses).collect()}
+    return {r.order_id: r for r in orders(stg, customers, statuses).collect()}
 
 
 def test_order_flags(rows):
@@ -57,7 +75,7 @@ def test_items_total_and_unresolved_keys(rows):
         ("o", 1, "p", "s", T, Decimal(10), None),
         ("x", 1, None, "s", None, None, None),
     )
-    got = {r.order_id: r for r in facts.order_items(
+    got = {r.order_id: r for r in order_items(
         stg, rows("order_key bigint, order_id string", (1, "o")), rows("product_key bigint, product_id string", (2, "p")),
         rows("seller_key bigint, seller_id string", (3, "s"))).collect()}
     assert (got["o"].total_item_value, got["o"].order_key, got["o"].product_key) == (Decimal(10), 1, 2)
@@ -69,7 +87,7 @@ def test_review_flags(rows):
         "review_id string, order_id string, review_score int, review_comment_title string, review_comment_message string, review_creation_ts timestamp_ntz, review_answer_ts timestamp_ntz",
         *[(str(i), "o", i, " " if i == 1 else "t", None if i == 2 else "m", T, days(0, minutes=i * 20)) for i in range(1, 6)],
     )
-    got = [tuple(r) for r in facts.reviews(stg, rows("order_key bigint, order_id string", (1, "o"))).orderBy("review_score")
+    got = [tuple(r) for r in reviews(stg, rows("order_key bigint, order_id string", (1, "o"))).orderBy("review_score")
            .select("is_positive_review", "is_neutral_review", "is_negative_review", "has_review_title", "has_review_message", "review_response_time_hours").collect()]
     assert [g[:3] for g in got] == [(False, False, True)] * 2 + [(False, True, False)] + [(True, False, False)] * 2
     assert [g[3] for g in got] == [False, True, True, True, True]
@@ -83,7 +101,7 @@ def test_deal_roles_use_their_own_rep_rows(rows):
         ("m1", "s", "7", "7", T, "a", "b", "c", None, None, None, "t", None, None),
         ("m2", None, "8", None, T, "a", "b", "zz", None, None, None, "t", None, None),
     )
-    got = {r.mql_id: r for r in facts.closed_deals(
+    got = {r.mql_id: r for r in closed_deals(
         stg, rows("seller_key bigint, seller_id string", (1, "s")),
         rows("sales_rep_key bigint, sales_rep_id string, sales_role string", (1, "7", "SDR"), (2, "7", "SR"), (3, "8", "SR")),
         rows("business_segment_key bigint, business_segment string", (1, "a")),

@@ -36,7 +36,7 @@ def test_fact_lookup_splits_a_hot_order(spark, shuffled, hot):
     )
     orders = spark.range(5000).selectExpr("id AS order_key", "concat('o', id) AS order_id")
     types = spark.range(1).selectExpr("id AS payment_type_key", "'card' AS payment_type")
-    rows, plan = final_plan(facts.payments(stg, orders, types))
+    rows, plan = final_plan(facts.measure_payments(facts.resolve_payments(stg, orders, types)))
     assert "skew=true" in plan
     assert len(rows) == N
     assert all((None if r.order_key is None else f"o{r.order_key}") == r.order_id for r in rows)

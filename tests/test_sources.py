@@ -177,3 +177,11 @@ def test_missing_source_keeps_the_raw_layer(spark, csv_folder, tmp_path):
 def test_command_line_runs_a_step(spark, tmp_path):
     main(["--root", str(tmp_path / "wh"), "--step", "schema"])
     assert LayerStore(spark, str(tmp_path / "wh")).read("raw", "orders").count() == 0
+
+
+def test_splittable_files_give_the_same_rows_and_still_refuse_broken_ones(spark, tmp_path):
+    good = write(tmp_path, "good.csv", HEAD + 'r,o,1,"a ""q"", b","",,\ns,o,2,,,,\n')
+    assert content(read_csv(spark, good, "order_reviews", line_breaks=False)) == content(read_csv(spark, good, "order_reviews"))
+    broken = write(tmp_path, "broken.csv", HEAD + 'r,o,1,"a\nb","",,\n')
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_csv(spark, broken, "order_reviews", line_breaks=False).collect()
