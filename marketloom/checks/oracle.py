@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import re
 
+from marketloom.functions.text import FALSE_WORDS, TRUE_WORDS
 from marketloom.operators import constraints as con
+from marketloom.operators.dimensions import STATE_NAMES
 from marketloom.sources.sample import BASE_TABLES, SAMPLE_SQL
 
 _HOUR_US = 3_600_000_000
@@ -45,8 +47,11 @@ def _day(column: str) -> str:
 
 
 def _bool(column: str) -> str:
-    return f"""CASE WHEN lower(trim({column})) IN ('true', '1', 'yes', 'y', 'sim') THEN true
-        WHEN lower(trim({column})) IN ('false', '0', 'no', 'n', 'nao', 'não') THEN false END"""
+    def quoted(words: list[str]) -> str:
+        return ", ".join(f"'{w}'" for w in words)
+
+    word = f"trim(lower({column}))"
+    return f"CASE WHEN {word} IN ({quoted(TRUE_WORDS)}) THEN true WHEN {word} IN ({quoted(FALSE_WORDS)}) THEN false END"
 
 
 def _unknown(expression: str) -> str:
@@ -71,18 +76,7 @@ def _small_dim(stg: str, column: str, key: str, alias: str | None = None) -> str
         FROM (SELECT DISTINCT {_unknown(column)} AS {name} FROM {stg}) AS v"""
 
 
-_STATES = ", ".join(
-    f"('{c}', '{n}')"
-    for c, n in [
-        ("AC", "Acre"), ("AL", "Alagoas"), ("AP", "Amapá"), ("AM", "Amazonas"), ("BA", "Bahia"),
-        ("CE", "Ceará"), ("DF", "Distrito Federal"), ("ES", "Espírito Santo"), ("GO", "Goiás"),
-        ("MA", "Maranhão"), ("MT", "Mato Grosso"), ("MS", "Mato Grosso do Sul"), ("MG", "Minas Gerais"),
-        ("PA", "Pará"), ("PB", "Paraíba"), ("PR", "Paraná"), ("PE", "Pernambuco"), ("PI", "Piauí"),
-        ("RJ", "Rio de Janeiro"), ("RN", "Rio Grande do Norte"), ("RS", "Rio Grande do Sul"),
-        ("RO", "Rondônia"), ("RR", "Roraima"), ("SC", "Santa Catarina"), ("SP", "São Paulo"),
-        ("SE", "Sergipe"), ("TO", "Tocantins"),
-    ]
-)
+_STATES = ", ".join(f"('{code}', '{name}')" for code, name in STATE_NAMES.items())
 
 _ZIP = "lpad(trim({0}), 5, '0') AS zip_prefix"
 

@@ -194,13 +194,23 @@ REFERENCES = {
 def duplicate_keys(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataFrame:
     """Rows (table_name, rule, violations): number of complete key values held by more than one row."""
 
-    def one(table: str, columns: list[str]) -> DataFrame:
-        repeated = tables[table].dropna(subset=columns).groupBy(*columns).count().where("count > 1")
-        return repeated.agg(F.count("*").alias("violations")).select(
-            F.lit(table).alias("table_name"), F.lit(f"unique ({', '.join(columns)})").alias("rule"), "violations"
+    rules = {t: f"unique ({', '.join(columns)})" for t, columns in keys.items()}
+
+    def repeated(table: str, columns: list[str]) -> DataFrame:
+        held = tables[table].dropna(subset=columns).groupBy(*columns).count()
+        return held.where("count > 1").select(
+            F.lit(table).alias("table_name"), F.lit(rules[table]).alias("rule"), F.lit(1).alias("n")
         )
 
-    return reduce(DataFrame.unionByName, [one(t, c) for t, c in keys.items()])
+    # A zero for every rule keeps those without findings in the report.
+    spark = next(iter(tables.values())).sparkSession
+    zeros = spark.createDataFrame([(t, r, 0) for t, r in rules.items()], "table_name string, rule string, n int")
+    found = [repeated(t, c) for t, c in keys.items()]
+    return (
+        reduce(DataFrame.unionByName, found, zeros)
+        .groupBy("table_name", "rule")
+        .agg(F.sum("n").alias("violations"))
+    )
 
 
 def _named(table: str, rows: DataFrame) -> DataFrame:

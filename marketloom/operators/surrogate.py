@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 POSITION = "__position"
 COPY_NO = "__copy_no"
+ROW_HASH = "__row_hash"
 _SLICE_BITS = 33
 _ROW_MASK = (1 << _SLICE_BITS) - 1
 _COPIES_PER_CHUNK = 4096
@@ -55,7 +56,10 @@ def _rows_before(sizes: dict[int, int], slice_no: Column) -> Column:
 
 
 def number_copies(df: DataFrame) -> DataFrame:
-    """Add COPY_NO, which tells fully identical rows apart, so that every row is unique.
+    """Add ROW_HASH and COPY_NO, which tell rows apart that share every other ordering column.
+
+    COPY_NO counts fully identical rows. ROW_HASH stands for the whole row, so that long texts
+    need not be sorted by, nor sampled to the driver for range bounds.
 
     Copies are first counted (combined before the shuffle), and written out again in chunks that
     are spread over the cluster: a row with a third of all copies neither meets in one task nor
@@ -72,4 +76,6 @@ def number_copies(df: DataFrame) -> DataFrame:
     spread = chunks.where(F.col("__copies") > _COPIES_PER_CHUNK).repartition(*columns, "__first")
     rest = chunks.where(F.col("__copies") <= _COPIES_PER_CHUNK)
     last = F.least(F.col("__first") + (_COPIES_PER_CHUNK - 1), F.col("__copies"))
-    return rest.unionByName(spread).select(*columns, F.explode(F.sequence("__first", last)).alias(COPY_NO))
+    return rest.unionByName(spread).select(
+        *columns, F.xxhash64(*columns).alias(ROW_HASH), F.explode(F.sequence("__first", last)).alias(COPY_NO)
+    )

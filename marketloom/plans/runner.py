@@ -20,7 +20,11 @@ STEPS = ["schema", "raw", "staging", "dwh", "marts", "quality"]
 
 
 class Runner:
-    """Runs layer refreshes against the Parquet tables under `root`."""
+    """Runs layer refreshes against the Parquet tables under `root`, one writer at a time.
+
+    The newest `keep_runs` complete runs of a layer are kept, so readers of the previous one can
+    finish; `splittable` names sources whose fields hold no line breaks.
+    """
 
     def __init__(
         self,
@@ -29,12 +33,16 @@ class Runner:
         source_dir: str | None = None,
         file_pattern: str = "{table}.csv",
         file_names: dict[str, str] | None = None,
+        splittable: frozenset[str] = frozenset(),
+        keep_runs: int = 2,
     ):
         self.spark = spark
         self.store = LayerStore(spark, root)
         self.source_dir = source_dir
         self.file_pattern = file_pattern
         self.file_names = file_names
+        self.splittable = splittable
+        self.keep_runs = keep_runs
 
     def schema(self) -> None:
         """Make an empty raw layer when none was ever loaded, so that later steps have typed inputs."""
@@ -44,16 +52,21 @@ class Runner:
     def raw(self) -> None:
         if not self.source_dir:
             raise ValueError("the raw step needs a source folder")
-        load_all_raw(self.spark, self.source_dir, self.store, self.file_pattern, self.file_names)
+        load_all_raw(
+            self.spark, self.source_dir, self.store, self.file_pattern, self.file_names, self.splittable
+        )
+        self.store.drop_old_runs("raw", self.keep_runs)
 
     def staging(self) -> None:
         raw = self.store.read_layer("raw", RAW_TABLES)
         self.store.write_layer("staging", Warehouse(self.spark, raw).staging_layer())
+        self.store.drop_old_runs("staging", self.keep_runs)
 
     def dwh(self) -> None:
         warehouse = Warehouse(self.spark, ready=self.store.read_layer("staging", STAGING_TABLES))
         warehouse.prepare(DWH_TABLES)
         self.store.write_layer("dwh", warehouse.dwh_layer())
+        self.store.drop_old_runs("dwh", self.keep_runs)
         warehouse.drop_work_files()
 
     def marts(self) -> dict[str, DataFrame]:
@@ -84,12 +97,20 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--root", required=True, help="folder of the layers, on shared storage")
     parser.add_argument("--source-dir", help="folder of the source CSV files")
     parser.add_argument("--file-pattern", default="{table}.csv", help="file name of a table")
+    parser.add_argument("--splittable", default="", help="comma-separated tables without line breaks in fields")
+    parser.add_argument("--keep-runs", type=int, default=2, help="complete runs to keep per layer")
     parser.add_argument("--fail-fast-quality", action="store_true")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
-    results = Runner(build_session(), args.root, args.source_dir, args.file_pattern).run(
-        args.step, args.fail_fast_quality
+    runner = Runner(
+        build_session(),
+        args.root,
+        args.source_dir,
+        args.file_pattern,
+        splittable=frozenset(filter(None, args.splittable.split(","))),
+        keep_runs=args.keep_runs,
     )
+    results = runner.run(args.step, args.fail_fast_quality)
     if results:
         print(quality.report_text(results))
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marketloom.operators import dimensions as dim
 from marketloom.operators import facts, marts
 from marketloom.operators import staging as stg
-from marketloom.operators.surrogate import COPY_NO, dense_key, number_copies
+from marketloom.operators.surrogate import COPY_NO, ROW_HASH, dense_key, number_copies
 from marketloom.session import new_work_folder
 from marketloom.sources.layers import delete_folder
 
@@ -59,8 +59,7 @@ KEYS = {
     "fact_payments": ("payment_key", ["order_id", "payment_sequential"]),
     "fact_reviews": (
         "review_key",
-        ["review_id", "order_id", "review_creation_ts", "review_answer_ts", "review_score",
-         "review_comment_title", "review_comment_message"],
+        ["review_id", "order_id", "review_creation_ts", "review_answer_ts", "review_score"],
     ),
 }
 # Row-by-row columns of the facts, derived after the rows are in key order.
@@ -189,7 +188,7 @@ class Warehouse:
     def _keyed(self, name: str, df: DataFrame) -> DataFrame:
         key, order = KEYS[name]
         if name in KEYLESS:
-            df, order = number_copies(df), [*order, COPY_NO]
+            df, order = number_copies(df), [*order, ROW_HASH, COPY_NO]
         return dense_key(df, key, order, f"{self.work_folder}/{name}", MEASURES.get(name))
 
     def _stored(self, name: str, df: DataFrame) -> DataFrame:

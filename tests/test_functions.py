@@ -89,3 +89,20 @@ def test_display_matches_python_formatting(rows, v):
     assert r.brl == f"R$ {x:,.0f}".replace(",", " ")
     assert r.pct == f"{x * 100:.1f} %"
     assert r.n == f"{int(x):,}".replace(",", " ")
+
+
+def test_elapsed_agrees_with_exact_decimal_arithmetic(spark):
+    from decimal import ROUND_HALF_UP
+    from random import Random
+
+    draw = Random(11)
+    ties = [(2 * k + 1) * step for k in range(-20, 20) for step in (18_000_000, 432_000_000)]  # x.xx5 hours / days
+    micros = ties + [t + d for t in ties for d in (-1, 1)] + [draw.randint(-(10**13), 10**13) for _ in range(500)]
+    data = [(m, T0, T0 + dt.timedelta(microseconds=m)) for m in micros]
+    df = spark.createDataFrame(data, "m bigint, a timestamp_ntz, b timestamp_ntz")
+    got = df.select("m", timing.elapsed("a", "b", timing.HOUR).alias("h"), timing.elapsed("a", "b", timing.DAY).alias("d"))
+    cent = Decimal("0.01")
+    for r in got.collect():
+        # ROUND_HALF_UP of decimal is half away from zero.
+        assert r.h == (Decimal(r.m) / 3_600_000_000).quantize(cent, ROUND_HALF_UP)
+        assert r.d == (Decimal(r.m) / 86_400_000_000).quantize(cent, ROUND_HALF_UP)

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.operators.surrogate import COPY_NO, dense_key, number_copies
+from marketloom.operators.surrogate import COPY_NO, ROW_HASH, dense_key, number_copies
 from marketloom.session import new_work_folder
 
 
@@ -57,7 +57,7 @@ def test_identical_rows_are_all_kept_and_spread(spark, rows, many_slices):
     top = numbered.groupBy("a", "b").agg(F.max(COPY_NO).alias("n"), F.min(COPY_NO).alias("m"))
     assert sorted((r.a, r.m, r.n) for r in top.collect()) == [("same", 1, 9000), ("x", 1, 2), ("y", 1, 1)]
     path = new_work_folder(spark, "test")
-    keyed = dense_key(numbered, "key", ["a", "b", COPY_NO], path).drop(COPY_NO)
+    keyed = dense_key(numbered, "key", ["a", "b", ROW_HASH, COPY_NO], path).select("key", "a", "b")
     assert sorted(r.key for r in keyed.select("key").collect()) == list(range(1, 9004))
     assert spark.read.parquet(path).where("a = 'same'").select("_metadata.file_name").distinct().count() > 1
 
