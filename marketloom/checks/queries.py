@@ -13,7 +13,7 @@ from marketloom.functions import text as tx
 from marketloom.operators import constraints as con
 from marketloom.operators import insights as bi
 from marketloom.operators import quality, staging
-from marketloom.plans.warehouse import DWH_TABLES, STAGING_TABLES, Warehouse
+from marketloom.plans.warehouse import DWH_TABLES, MARTS, STAGING_TABLES, Warehouse
 from marketloom.session import new_work_folder
 from marketloom.sources.csv_files import read_csv
 from marketloom.sources.layers import LayerStore, publish_views
@@ -91,8 +91,9 @@ def _all_tables(w: Warehouse, names: list[str]) -> dict[str, DataFrame]:
 
 
 def _check_tables(w: Warehouse) -> dict[str, DataFrame]:
-    names = list(dict.fromkeys(c.table for c in quality.CHECKS if c.table != "orders"))
-    return {"orders": w.raw("orders"), **_all_tables(w, names)}
+    names = list(dict.fromkeys(c.table for c in quality.CHECKS))
+    facts = _all_tables(w, [n for n in names if n in DWH_TABLES])
+    return {"orders": w.raw("orders"), **facts, **{n: w.mart_table(n) for n in names if n in MARTS}}
 
 
 def _points(w: Warehouse) -> DataFrame:
@@ -200,39 +201,39 @@ _OTHERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     ),
     "q16_orphans": lambda w: con.orphans(_all_tables(w, DWH_TABLES)),
     "q20_summary": lambda w: quality.summary(quality.check_report(_check_tables(w))),
-    "b1_years": lambda w: bi.available_years(w.sales_overview),
+    "b1_years": lambda w: bi.available_years(w.mart_table("sales_overview")),
     "b2_filtered_sales": lambda w: w.mart("sales_overview", years=[1996, 1997]),
     "b2_filtered_payments": lambda w: w.mart("payment_analysis", years=[1996, 1997]),
-    "b3_periods": lambda w: bi.with_period(w.sales_overview).select("period", "order_status", "order_count"),
-    "b4_sales_kpis": lambda w: _rounded(bi.sales_kpis(w.sales_overview), total_revenue=2, avg_order_value=6),
-    "b5_monthly_sales": lambda w: bi.monthly_sales(w.sales_overview),
-    "b6_status_share": lambda w: bi.orders_by_status(w.sales_overview),
-    "b7_top_categories": lambda w: bi.top_categories(w.sales_by_category),
+    "b3_periods": lambda w: bi.with_period(w.mart_table("sales_overview")).select("period", "order_status", "order_count"),
+    "b4_sales_kpis": lambda w: _rounded(bi.sales_kpis(w.mart_table("sales_overview")), total_revenue=2, avg_order_value=6),
+    "b5_monthly_sales": lambda w: bi.monthly_sales(w.mart_table("sales_overview")),
+    "b6_status_share": lambda w: bi.orders_by_status(w.mart_table("sales_overview")),
+    "b7_top_categories": lambda w: bi.top_categories(w.mart_table("sales_by_category")),
     "b8_payment_kpis": lambda w: _rounded(
-        bi.payment_kpis(w.payment_analysis), total_value=2, avg_payment=6, avg_installments=6
+        bi.payment_kpis(w.mart_table("payment_analysis")), total_value=2, avg_payment=6, avg_installments=6
     ),
-    "b9_payments_by_type": lambda w: bi.payments_by_type(w.payment_analysis),
-    "b10_installments": lambda w: bi.installment_distribution(w.payment_analysis),
-    "b11_satisfaction_kpis": lambda w: bi.satisfaction_kpis(w.customer_satisfaction),
-    "b12_monthly_score": lambda w: bi.monthly_satisfaction(w.customer_satisfaction),
-    "b13_score_distribution": lambda w: bi.score_distribution(w.customer_satisfaction),
+    "b9_payments_by_type": lambda w: bi.payments_by_type(w.mart_table("payment_analysis")),
+    "b10_installments": lambda w: bi.installment_distribution(w.mart_table("payment_analysis")),
+    "b11_satisfaction_kpis": lambda w: bi.satisfaction_kpis(w.mart_table("customer_satisfaction")),
+    "b12_monthly_score": lambda w: bi.monthly_satisfaction(w.mart_table("customer_satisfaction")),
+    "b13_score_distribution": lambda w: bi.score_distribution(w.mart_table("customer_satisfaction")),
     "b14_delivery_kpis": lambda w: _rounded(
-        bi.delivery_kpis(w.delivery_performance), avg_delivery_days=6, avg_days_vs_estimate=6, on_time_rate=6
+        bi.delivery_kpis(w.mart_table("delivery_performance")), avg_delivery_days=6, avg_days_vs_estimate=6, on_time_rate=6
     ),
     "b15_monthly_delivery": lambda w: _rounded(
-        bi.monthly_delivery(w.delivery_performance), avg_days_purchase_to_delivery=6, on_time_rate=6
+        bi.monthly_delivery(w.mart_table("delivery_performance")), avg_days_purchase_to_delivery=6, on_time_rate=6
     ),
-    "b16_on_time_by_status": lambda w: _rounded(bi.on_time_by_status(w.delivery_performance), on_time_rate=6),
-    "b17_funnel_kpis": lambda w: bi.funnel_kpis(w.marketing_funnel),
-    "b18_funnel_by_origin": lambda w: bi.funnel_by_origin(w.marketing_funnel),
-    "b19_conversion_rank": lambda w: _ranked(bi.conversion_ranking(w.marketing_funnel)),
-    "b20_sales_detail": lambda w: bi.detail_page("sales_overview", w.sales_overview, [1996, 1997]),
-    "b20_payment_detail": lambda w: bi.detail_page("payment_analysis", w.payment_analysis),
-    "b20_satisfaction_detail": lambda w: bi.detail_page("customer_satisfaction", w.customer_satisfaction, [2024]),
-    "b20_delivery_detail": lambda w: bi.detail_page("delivery_performance", w.delivery_performance),
-    "b20_marketing_detail": lambda w: bi.detail_page("marketing_funnel", w.marketing_funnel),
-    "b21_formatted": lambda w: bi.origin_table(w.marketing_funnel),
-    "b21_sales_cards": lambda w: bi.sales_cards(w.sales_overview),
+    "b16_on_time_by_status": lambda w: _rounded(bi.on_time_by_status(w.mart_table("delivery_performance")), on_time_rate=6),
+    "b17_funnel_kpis": lambda w: bi.funnel_kpis(w.mart_table("marketing_funnel")),
+    "b18_funnel_by_origin": lambda w: bi.funnel_by_origin(w.mart_table("marketing_funnel")),
+    "b19_conversion_rank": lambda w: _ranked(bi.conversion_ranking(w.mart_table("marketing_funnel"))),
+    "b20_sales_detail": lambda w: bi.detail_page("sales_overview", w.mart_table("sales_overview"), [1996, 1997]),
+    "b20_payment_detail": lambda w: bi.detail_page("payment_analysis", w.mart_table("payment_analysis")),
+    "b20_satisfaction_detail": lambda w: bi.detail_page("customer_satisfaction", w.mart_table("customer_satisfaction"), [2024]),
+    "b20_delivery_detail": lambda w: bi.detail_page("delivery_performance", w.mart_table("delivery_performance")),
+    "b20_marketing_detail": lambda w: bi.detail_page("marketing_funnel", w.mart_table("marketing_funnel")),
+    "b21_formatted": lambda w: bi.origin_table(w.mart_table("marketing_funnel")),
+    "b21_sales_cards": lambda w: bi.sales_cards(w.mart_table("sales_overview")),
 }
 
 

@@ -35,6 +35,7 @@ class Runner:
         file_names: dict[str, str] | None = None,
         splittable: frozenset[str] = frozenset(),
         keep_runs: int = 2,
+        store_marts: bool = False,
     ):
         self.spark = spark
         self.store = LayerStore(spark, root)
@@ -43,6 +44,7 @@ class Runner:
         self.file_names = file_names
         self.splittable = splittable
         self.keep_runs = keep_runs
+        self.store_marts = store_marts
 
     def schema(self) -> None:
         """Make an empty raw layer when none was ever loaded, so that later steps have typed inputs."""
@@ -70,9 +72,17 @@ class Runner:
         warehouse.drop_work_files()
 
     def marts(self) -> dict[str, DataFrame]:
-        """Publish the marts as views `marts_<name>`; they are evaluated when read."""
+        """Publish the marts as views `marts_<name>`.
+
+        They are evaluated when read, or once now if `store_marts` is set, which pays off when many
+        figures are drawn from them.
+        """
         warehouse = Warehouse(self.spark, ready=self.store.read_layer("dwh", DWH_TABLES))
         views = {m: warehouse.mart(m) for m in MARTS}
+        if self.store_marts:
+            self.store.write_layer("marts", views)
+            self.store.drop_old_runs("marts", self.keep_runs)
+            views = self.store.read_layer("marts", MARTS)
         publish_views(views, "marts")
         return views
 
@@ -99,6 +109,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--file-pattern", default="{table}.csv", help="file name of a table")
     parser.add_argument("--splittable", default="", help="comma-separated tables without line breaks in fields")
     parser.add_argument("--keep-runs", type=int, default=2, help="complete runs to keep per layer")
+    parser.add_argument("--store-marts", action="store_true", help="write the marts instead of leaving them as views")
     parser.add_argument("--fail-fast-quality", action="store_true")
     args = parser.parse_args(argv)
     logging.basicConfig(level=logging.INFO)
@@ -109,6 +120,7 @@ def main(argv: list[str] | None = None) -> None:
         args.file_pattern,
         splittable=frozenset(filter(None, args.splittable.split(","))),
         keep_runs=args.keep_runs,
+        store_marts=args.store_marts,
     )
     results = runner.run(args.step, args.fail_fast_quality)
     if results:

@@ -71,8 +71,9 @@ MEASURES = {
     "fact_payments": facts.measure_payments,
     "fact_reviews": facts.measure_reviews,
 }
-# Tables without a declared unique key may hold any number of identical rows.
-KEYLESS = {"fact_reviews"}
+# Tables without a declared unique key may hold any number of identical rows. A source that
+# breaks its declared key with many copies can be added when opening the warehouse.
+KEYLESS = frozenset({"fact_reviews"})
 
 DWH_TABLES = ["dim_date", *KEYS]
 
@@ -123,13 +124,15 @@ class Warehouse:
         raw: dict[str, DataFrame] | None = None,
         ready: dict[str, DataFrame] | None = None,
         work_folder: str | None = None,
+        keyless: frozenset[str] = KEYLESS,
     ):
         self.spark = spark
         self._raw = raw or {}
         self._tables: dict[str, DataFrame] = dict(ready or {})
         self._work_folder = work_folder
+        self._keyless = keyless
         self._builders = self._wire()
-        self._locks = {n: threading.Lock() for n in ["work folder", *self._builders]}
+        self._locks = {n: threading.Lock() for n in ["work folder", *self._builders, *[f"{m} table" for m in MARTS]]}
 
     @property
     def work_folder(self) -> str:
@@ -179,6 +182,14 @@ class Warehouse:
         self.prepare(NEEDS[name])
         return self._marts[name](**options)
 
+    def mart_table(self, name: str) -> DataFrame:
+        """The unrestricted mart, computed once and written: a few thousand rows for many figures."""
+        stored = f"{name} table"
+        with self._locks[stored]:
+            if stored not in self._tables:
+                self._tables[stored] = self._stored(f"mart_{name}", self.table(name))
+        return self._tables[stored]
+
     def staging_layer(self) -> dict[str, Callable[[], DataFrame]]:
         return {t: (lambda t=t: self.table(t)) for t in STAGING_TABLES}
 
@@ -187,7 +198,7 @@ class Warehouse:
 
     def _keyed(self, name: str, df: DataFrame) -> DataFrame:
         key, order = KEYS[name]
-        if name in KEYLESS:
+        if name in self._keyless:
             df, order = number_copies(df), [*order, ROW_HASH, COPY_NO]
         return dense_key(df, key, order, f"{self.work_folder}/{name}", MEASURES.get(name))
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}
 
 
 def build_session(app: str = "marketloom", master: str | None = None, **settings: str) -> SparkSession:
@@ -37,9 +38,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="marketloom-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="marketloom-")
+    return _local_folders[application]
 
 
 def new_work_folder(spark: SparkSession, purpose: str) -> str:

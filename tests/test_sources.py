@@ -95,15 +95,13 @@ class FakeSpark:
         self.conf = self
         self.sparkContext = self
         self.master = master
+        self.applicationId = f"test-{id(self)}"
         self.folder = folder
 
     def get(self, name, default):
         assert name == "spark.checkpoint.dir"
         return self.folder or default
 
-    def set(self, name, value):
-        self.folder = value
-
 
 def test_shared_folder_comes_from_the_session():
     assert session.shared_folder(FakeSpark("yarn", "hdfs://x/ck/")) == "hdfs://x/ck"
@@ -185,3 +183,18 @@ def test_splittable_files_give_the_same_rows_and_still_refuse_broken_ones(spark,
     broken = write(tmp_path, "broken.csv", HEAD + 'r,o,1,"a\nb","",,\n')
     with pytest.raises((PySparkException, Py4JJavaError)):
         read_csv(spark, broken, "order_reviews", line_breaks=False).collect()
+
+
+def test_marts_can_be_stored_as_a_layer(spark, tmp_path):
+    runner = Runner(spark, str(tmp_path / "wh"), store_marts=True)
+    for step in ("schema", "staging", "dwh", "marts"):
+        runner.run(step)
+    assert set(MARTS) == set(runner.store.read_layer("marts", MARTS))
+    plan = spark.table("marts_sales_overview")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" in plan and "Aggregate" not in plan
+
+
+def test_stored_marts_equal_the_plans(warehouse):
+    for m in MARTS:
+        assert content(warehouse.mart_table(m)) == content(warehouse.table(m))
+        assert warehouse.mart_table(m).schema == warehouse.table(m).schema
