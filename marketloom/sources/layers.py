@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,9 +37,10 @@ class LayerStore:
     marker, so the last good run stays readable, and all tables of a layer switch together.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, concurrent_writes: int = 6):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.concurrent_writes = concurrent_writes
 
     def begin(self, layer: str) -> str:
         stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
@@ -49,10 +51,18 @@ class LayerStore:
         fs.create(marker, False).close()
 
     def write_layer(self, layer: str, tables: dict[str, DataFrame | Callable[[], DataFrame]]) -> str:
-        """Write every table in the given order, then switch readers to the new run."""
+        """Write all tables, several at a time, then switch readers to the new run.
+
+        Any failure is raised and leaves the previous run current.
+        """
         run = self.begin(layer)
-        for name, df in tables.items():
+
+        def write(name: str) -> None:
+            df = tables[name]
             (df() if callable(df) else df).write.parquet(f"{run}/{name}")
+
+        with ThreadPoolExecutor(self.concurrent_writes) as pool:
+            list(pool.map(write, tables))
         self.complete(run)
         return run
 
