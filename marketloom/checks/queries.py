@@ -5,7 +5,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType
 
@@ -101,11 +101,9 @@ def _points(w: Warehouse) -> DataFrame:
 
 
 def _ranked(df: DataFrame) -> DataFrame:
-    """Number the (at most fifteen) rows of a ranking, to make its order comparable."""
-    rows = df.agg(F.collect_list(F.struct(*df.columns)).alias("rows"))
-    listed = rows.select(F.posexplode(F.sort_array(F.transform("rows", lambda r: F.struct(
-        (-r["conversion_rate"]).alias("o"), r["marketing_origin"].alias("m"), r.alias("r"))))).alias("i", "x"))
-    return listed.select((F.col("i") + 1).cast("bigint").alias("rank"), "x.r.marketing_origin", "x.r.conversion_rate")
+    """Number the rows of a ranking (fifteen at most), to make its order comparable."""
+    place = F.row_number().over(Window.orderBy(F.desc_nulls_last("conversion_rate"), "marketing_origin"))
+    return df.select(place.cast("bigint").alias("rank"), "marketing_origin", "conversion_rate")
 
 
 _RAW_CLEANING = {

@@ -66,10 +66,12 @@ class Runner:
 
     def dwh(self) -> None:
         warehouse = Warehouse(self.spark, ready=self.store.read_layer("staging", STAGING_TABLES))
-        warehouse.prepare(DWH_TABLES)
-        self.store.write_layer("dwh", warehouse.dwh_layer())
+        try:
+            warehouse.prepare(DWH_TABLES)
+            self.store.write_layer("dwh", warehouse.dwh_layer())
+        finally:
+            warehouse.drop_work_files()
         self.store.drop_old_runs("dwh", self.keep_runs)
-        warehouse.drop_work_files()
 
     def marts(self) -> dict[str, DataFrame]:
         """Publish the marts as views `marts_<name>`.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -200,10 +201,14 @@ class Warehouse:
         key, order = KEYS[name]
         if name in self._keyless:
             df, order = number_copies(df), [*order, ROW_HASH, COPY_NO]
-        return dense_key(df, key, order, f"{self.work_folder}/{name}", MEASURES.get(name))
+        return dense_key(df, key, order, self._new_path(name), MEASURES.get(name))
+
+    def _new_path(self, name: str) -> str:
+        """A path no earlier, possibly failed, attempt has written to."""
+        return f"{self.work_folder}/{name}-{uuid.uuid4().hex[:8]}"
 
     def _stored(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.work_folder}/{name}"
+        path = self._new_path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
