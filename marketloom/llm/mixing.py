@@ -159,7 +159,9 @@ def mix_sizes(sizes: DataFrame, mix: Mix = Mix()) -> tuple[DataFrame, DataFrame]
     slots = shard_draws(goals, mix).where("count > 0").join(supply, F.col("source").eqNullSafe(F.col("s")))
     # Draws may pass the limit of a source by a few blocks; those slots stay empty.
     slots = slots.withColumn("end", F.least(F.col("first") + F.col("count"), F.col("n") * mix.repeats)).where("first < end")
-    slots = slots.repartition("source", "shard").select("source", "n", F.explode(F.sequence(F.col("first"), F.col("end") - 1)).alias("slot"))
+    # A stated number of partitions: few rows become many slots here, so tasks are not to be merged by bytes.
+    parts = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = slots.repartition(parts, "source", "shard").select("source", "n", F.explode(F.sequence(F.col("first"), F.col("end") - 1)).alias("slot"))
     epoch = F.floor(F.col("slot") / F.col("n"))
     index = permuted(F.col("slot") % F.col("n"), F.col("n"), F.struct("source", epoch.alias("e")), mix.rounds, mix.seed)
     times = slots.select("source", index.alias("block")).groupBy("source", "block").agg(F.count("*").alias("times"))
