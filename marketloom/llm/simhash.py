@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -14,11 +15,12 @@ from marketloom.llm.common import LOWER, components, map_text, packed, stored
 from marketloom.llm.golay import near, nearest
 
 SEED = 42
-#: Bits of the three segments of a fingerprint, from the lowest.
-SEGMENTS = (22, 21, 21)
-#: Of three errors over three segments, two segments always have at most one each.
-PAIRS = ((0, 1), (0, 2), (1, 2))
+#: Bits of each of the four segments of a fingerprint.
+SEGMENT = 16
 MAX_BITS = 3
+#: (exact, i, j): three errors over four segments leave one segment without and two more with at most one each.
+#: Two choices of the exact one in each three segments cover every such spread.
+TRIPLES = tuple(c for a, b, d in combinations(range(4), 3) for c in ((a, b, d), (b, a, d)))
 
 
 def shingles(text: str | None, size: int) -> list[bytes]:
@@ -56,27 +58,20 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
     return map_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work, "doc_id long, fp long")
 
 
-def _segments(prints: np.ndarray) -> list[np.ndarray]:
-    out, at = [], 0
-    for bits in SEGMENTS:
-        out.append(((prints >> np.uint64(at)) & np.uint64((1 << bits) - 1)).astype(np.int32))
-        at += bits
-    return out
-
-
 def _keyed(prints: DataFrame, wide: bool) -> DataFrame:
-    """key, fp and label: for each pair of segments the pair of nearest codewords, or with `wide` of all near ones."""
+    """key, fp and label: for each of TRIPLES one segment as it is and the nearest codewords of two others, or with
+    `wide` all combinations of the near ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 signed, labels = (np.array(c.slice(start, 2048), dtype=np.int64) for c in batch.columns)
-                parts = _segments(signed.view(np.uint64))
-                codes = [near(p, b) if wide else nearest(p)[:, None] for p, b in zip(parts, SEGMENTS, strict=True)]
-                for n, (i, j) in enumerate(PAIRS):
-                    left, right = _distinct(codes[i]), _distinct(codes[j])
-                    keys = (left[:, :, None].astype(np.int64) << 12 | right[:, None, :]) | (n << 24)
-                    here = (left[:, :, None] >= 0) & (right[:, None, :] >= 0)
+                parts = [signed >> (SEGMENT * i) & ((1 << SEGMENT) - 1) for i in range(4)]
+                codes = [_distinct(near(p, SEGMENT)) if wide else nearest(p)[:, None] for p in parts]
+                for n, (exact, i, j) in enumerate(TRIPLES):
+                    pairs = codes[i][:, :, None].astype(np.int64) << 12 | codes[j][:, None, :]
+                    keys = pairs | ((n << SEGMENT | parts[exact]) << 24)[:, None, None]
+                    here = (codes[i][:, :, None] >= 0) & (codes[j][:, None, :] >= 0)
                     rows = np.nonzero(here)[0]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(x, pa.int64()) for x in (keys[here], signed[rows], labels[rows])],
@@ -88,8 +83,6 @@ def _keyed(prints: DataFrame, wide: bool) -> DataFrame:
 
 def _distinct(codes: np.ndarray) -> np.ndarray:
     """Each row's values once, at the left; the rest is -1."""
-    if codes.shape[1] == 1:
-        return codes
     ordered = np.sort(codes, axis=1)
     ordered[:, 1:][ordered[:, 1:] == ordered[:, :-1]] = -1
     ordered = -np.sort(-ordered, axis=1)
@@ -103,10 +96,10 @@ def _differ() -> Column:
 def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Links (a, b) that join exactly the distinct fingerprints reachable by steps of at most `max_bits` bits.
 
-    Every fingerprint has three narrow keys and about 80 wide ones. If two differ in three bits at most, two
-    of three segments differ in one bit at most, and there the nearest codeword of the one is near the other:
-    a narrow key of the one equals a wide key of the other. So a narrow-to-wide join loses no link. Each
-    candidate is verified on all 64 bits.
+    Every fingerprint has eight narrow keys and some 150 wide ones, of 40 bits besides the choice of segments. If
+    two differ in three bits at most, one of four segments is equal and two more differ in one bit at most, where
+    the nearest codeword of the one is near the other: a narrow key of the one equals a wide key of the other. So
+    a narrow-to-wide join loses no link, and chance hardly adds any. Each candidate is verified on all 64 bits.
 
     A dense group would give all its pairs. It is therefore first tied together by hubs (every fingerprint to
     the smallest that shares a narrow key, verified too); the full join then only looks for links between
@@ -114,7 +107,7 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     before any pair is made. No key, pair or component is capped.
     """
     if max_bits > MAX_BITS:
-        raise ValueError(f"the three segments promise links up to {MAX_BITS} bits only")
+        raise ValueError(f"the four segments promise links up to {MAX_BITS} bits only")
     alone = prints.select("fp", F.col("fp").alias("label"))
     narrow = stored(_keyed(alone, wide=False), "narrow")
     hubs = stored(narrow.groupBy("key").agg(F.min("fp").alias("b"), F.max("fp").alias("c")).where("b <> c"), "hubs")
