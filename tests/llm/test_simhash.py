@@ -1,4 +1,5 @@
 from collections import defaultdict
+from itertools import product
 
 import numpy as np
 import xxhash
@@ -6,7 +7,7 @@ import xxhash
 from marketloom.llm import golay
 from marketloom.llm.common import components
 from marketloom.llm.queries import op6_simhash
-from marketloom.llm.simhash import drop_duplicates, fingerprint, fingerprint_links, near_duplicates
+from marketloom.llm.simhash import TRIPLES, drop_duplicates, fingerprint, fingerprint_links, near_duplicates
 
 
 def brute_print(text, size=3):
@@ -44,6 +45,12 @@ def test_golay_covers_every_change_of_one_bit():
     assert len(np.unique(golay.nearest(np.arange(1 << 23, dtype=np.int32)))) == 4096
 
 
+def test_every_spread_of_three_errors_is_covered():
+    for errors in product(range(4), repeat=4):
+        if sum(errors) <= 3:
+            assert any(errors[z] == 0 and errors[i] <= 1 and errors[j] <= 1 for z, i, j in TRIPLES)
+
+
 def test_fingerprints(spark, odd_docs):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()
     for r in [*docs[:60], *odd_docs.where("length(text) < 1000 or text is null").collect()]:
