@@ -48,7 +48,7 @@ class Machine:
 
         proto = protobuf.ModelProto()
         proto.ParseFromString(codec.model)
-        self.spec, pieces = proto.normalizer_spec, [(p.piece, p.score, p.type) for p in proto.pieces]
+        pieces = [(p.piece, p.score, p.type) for p in proto.pieces]
         self.byte_fallback = proto.trainer_spec.byte_fallback
         self.unknown = next((i for i, p in enumerate(pieces) if p[2] == UNKNOWN), 0)
         self.unknown_surface = proto.trainer_spec.unk_surface
@@ -71,6 +71,7 @@ class Machine:
         self.tokenizer = Tokenizer(backend)
         self.cut = _cut(plain, proto.trainer_spec.model_type, any(p[2] == USER_DEFINED for p in pieces))
         # The reference for parity gets text that is normalised already.
+        self.spec = type(proto.normalizer_spec).FromString(proto.normalizer_spec.SerializeToString())
         proto.normalizer_spec.name = "identity"
         proto.normalizer_spec.precompiled_charsmap = b""
         proto.normalizer_spec.add_dummy_prefix = False
