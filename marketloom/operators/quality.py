@@ -114,19 +114,16 @@ def run_checks(tables: dict[str, DataFrame], fail_fast: bool = False, checks: li
     """Evaluate the checks, log them in list order and return their rows (one per check)."""
     results = check_report(tables, checks).orderBy("position").collect()
     for r in results:
-        verdict = "PASS" if r.passed else "FAIL"
-        logger.info("%s | %s | value=%s | expected=%s", verdict, r.check_name, r.value, r.expectation)
+        logger.info("%s found %s, wants %s: %s", r.check_name, r.value, r.expectation, "ok" if r.passed else "not met")
         if fail_fast and not r.passed:
             raise QualityError(f"check {r.check_name} failed: value={r.value}, expected {r.expectation}")
     return results
 
 
 def report_text(results: list) -> str:
-    """Plain-text report of collected check rows, ending with the totals."""
-    rule = "-" * 80
-    lines = [
-        f"{'PASS' if r.passed else 'FAIL'} | {r.check_name:<40} | value={r.value:<10} | expected={r.expectation}"
-        for r in results
-    ]
-    failed = sum(not r.passed for r in results)
-    return "\n".join([rule, *lines, rule, f"Total checks: {len(results)} | Failed: {failed}"])
+    """Totals first, then the checks that are not met with what they want, then the names of those that are."""
+    unmet = [r for r in results if not r.passed]
+    lines = [f"{len(results) - len(unmet)} of {len(results)} checks are met"]
+    lines += [f"not met: {r.check_name} found {r.value}, wants {r.expectation}" for r in unmet]
+    lines += [f"met: {r.check_name} ({r.value})" for r in results if r.passed]
+    return "\n".join(lines)

@@ -11,6 +11,9 @@ from pyspark.sql.types import StructType
 
 logger = logging.getLogger(__name__)
 
+#: Error conditions of a mart that is not there yet; every other problem of a query is raised.
+MISSING = ("TABLE_OR_VIEW_NOT_FOUND", "UNRESOLVED_COLUMN")
+
 
 def read_sql(spark: SparkSession, text: str, args: dict[str, Any] | None = None) -> DataFrame:
     """Query with named `:parameters`; list values bind as arrays."""
@@ -26,9 +29,14 @@ def read_scalar(spark: SparkSession, text: str, args: dict[str, Any] | None = No
 def read_sql_or_empty(
     spark: SparkSession, text: str, schema: StructType | str, args: dict[str, Any] | None = None
 ) -> DataFrame:
-    """As `read_sql`, but a missing view or column is reported and gives an empty frame of `schema`."""
+    """As `read_sql`, but a missing view or column is reported and gives an empty frame of `schema`.
+
+    Syntax, type and other errors are raised.
+    """
     try:
         return read_sql(spark, text, args)
     except AnalysisException as problem:
+        if not (problem.getCondition() or "").startswith(MISSING):
+            raise
         logger.error("query could not be read: %s", problem)
         return spark.createDataFrame([], schema)

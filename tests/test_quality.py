@@ -43,8 +43,9 @@ def test_summary_and_text(tables):
     report = quality.check_report(tables, quality.AUTOMATED)
     assert tuple(quality.summary(report).first()) == (8, 3, 5)
     text = quality.report_text(report.orderBy("position").collect())
-    assert text.splitlines()[-1] == "Total checks: 8 | Failed: 5"
-    assert "FAIL | reviews_outside_1_5" in text
+    assert text.splitlines()[0] == "3 of 8 checks are met"
+    assert sum(line.startswith("not met: ") for line in text.splitlines()[1:6]) == 5
+    assert "not met: reviews_outside_1_5 found" in text
 
 
 def test_each_table_is_scanned_once(warehouse):

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 
 from marketloom import session
 from marketloom.plans.runner import Runner, main
@@ -86,6 +86,10 @@ def test_sql_reads(spark, rows):
     empty = sql_reads.read_sql_or_empty(spark, "SELECT * FROM no_such_view", "a int, b string")
     assert empty.dtypes == [("a", "int"), ("b", "string")] and empty.count() == 0
     assert sql_reads.read_sql_or_empty(spark, "SELECT a FROM test_v", "a int").count() == 2
+    assert sql_reads.read_sql_or_empty(spark, "SELECT no_column FROM test_v", "a int").count() == 0
+    for wrong in ("SELEC * FRM test_v", "SELECT explode(1)"):
+        with pytest.raises(AnalysisException):
+            sql_reads.read_sql_or_empty(spark, wrong, "a int")
 
 
 class FakeSpark:
