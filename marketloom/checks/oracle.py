@@ -264,8 +264,8 @@ RELATIONS |= {
         {_elapsed('review_creation_ts', 'review_answer_ts', _HOUR_US)} AS review_response_time_hours,
         COALESCE(trim(review_comment_title) <> '', false) AS has_review_title,
         COALESCE(trim(review_comment_message) <> '', false) AS has_review_message,
-        review_score IN (4, 5) AS is_positive_review, review_score IN (3) AS is_neutral_review,
-        review_score IN (1, 2) AS is_negative_review, 1 AS review_count
+        review_score >= 4 AS is_positive_review, review_score = 3 AS is_neutral_review,
+        review_score <= 2 AS is_negative_review, 1 AS review_count
         FROM stg_reviews AS r LEFT JOIN fact_orders AS o ON o.order_id = r.order_id""",
     "sales_sums": f"""SELECT {_month('o.order_purchase_ts')}, {_label('o.order_status')} AS order_status,
         COUNT(DISTINCT o.order_id) AS order_count, COUNT(i.order_id) AS item_count,
@@ -442,7 +442,7 @@ BODIES: dict[str, str] = {
     "s6_published_mart": _all("customer_satisfaction"),
     "s7_sql_read": """SELECT order_status, CAST(SUM(order_count) AS BIGINT) AS order_count FROM sales_overview
         WHERE year_number IN (1996, 1998) AND order_count >= 10 GROUP BY order_status""",
-    "c1_zip": "SELECT customer_id, substr('00000' || trim(customer_zip_code_prefix), -5) AS zip FROM raw_customers",
+    "c1_zip": "SELECT customer_id, lpad(trim(customer_zip_code_prefix), 5, '0') AS zip FROM raw_customers",
     "c2_lower": "SELECT order_id, trim(lower(order_status)) AS status FROM raw_orders",
     "c3_upper": "SELECT seller_id, trim(upper(seller_state)) AS state FROM raw_sellers",
     "c4_unknown": f"SELECT product_id, {_unknown('trim(product_category_name)')} AS category FROM raw_products",
@@ -531,8 +531,8 @@ BODIES: dict[str, str] = {
     "b10_installments": _sum_by("payment_analysis", "payment_installments", "payment_count"),
     "b11_satisfaction_kpis": """SELECT CAST(SUM(review_count) AS BIGINT) AS total_reviews,
         CAST(SUM(review_score * review_count) AS DOUBLE) / SUM(review_count) AS weighted_score,
-        CAST(SUM(review_count) FILTER (WHERE review_score >= 4) AS DOUBLE) / SUM(review_count) AS positive_share,
-        CAST(SUM(review_count) FILTER (WHERE review_score <= 2) AS DOUBLE) / SUM(review_count) AS negative_share
+        CAST(SUM(review_count) FILTER (WHERE review_score IN (4, 5)) AS DOUBLE) / SUM(review_count) AS positive_share,
+        CAST(SUM(review_count) FILTER (WHERE review_score IN (1, 2)) AS DOUBLE) / SUM(review_count) AS negative_share
         FROM customer_satisfaction""",
     "b12_monthly_score": f"""SELECT period,
         CAST(SUM(review_score * review_count) AS DOUBLE) / SUM(review_count) AS avg_score,

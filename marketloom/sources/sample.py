@@ -2,7 +2,8 @@
 
 The rules are plain SQL that Spark and DuckDB read alike (`{orders}` and so on name the base
 tables), so a check in another engine starts from the same rows. Modulus rules plant the
-NULLs, blanks, ties and missing partners that the operators have to handle. Line numbers are
+NULLs, blanks, ties, identical reviews, broken value rules and missing partners that the operators
+have to handle; a missing partner is made by spoiling the id that refers to it. Line numbers are
 used as they are, which leaves some duplicate (order, item) pairs for the key validator.
 """
 
@@ -31,8 +32,9 @@ SAMPLE_SQL = {
     "customers": f"""
     SELECT
         CAST(c_custkey AS STRING) AS customer_id,
-        c_name AS customer_unique_id,
-        CASE WHEN c_custkey % 113 <> 0 THEN concat(' ', CAST(c_custkey % 400 AS STRING)) END
+        CASE WHEN c_custkey % 131 <> 0 THEN c_name END AS customer_unique_id,
+        CASE WHEN c_custkey % 29 = 0 THEN concat(CAST(10000 + c_custkey % 400 AS STRING), '-77')
+             WHEN c_custkey % 113 <> 0 THEN concat(' ', CAST(c_custkey % 400 AS STRING)) END
             AS customer_zip_code_prefix,
         CASE WHEN c_custkey % 127 <> 0 THEN {_PLACES} END AS customer_city,
         {_STATE} AS customer_state
@@ -44,8 +46,7 @@ SAMPLE_SQL = {
             AS seller_zip_code_prefix,
         CASE WHEN s_suppkey % 43 <> 0 THEN {_PLACES} END AS seller_city,
         {_STATE} AS seller_state
-    FROM {{supplier}} LEFT JOIN {{nation}} ON s_nationkey = n_nationkey
-    WHERE s_suppkey % 37 <> 0""",
+    FROM {{supplier}} LEFT JOIN {{nation}} ON s_nationkey = n_nationkey""",
     "geolocation": f"""
     SELECT
         CASE WHEN c_custkey % 109 <> 0 THEN CAST(c_custkey % 300 AS STRING) END
@@ -58,29 +59,30 @@ SAMPLE_SQL = {
     "products": """
     SELECT
         CAST(p_partkey AS STRING) AS product_id,
-        CASE p_partkey % 50 WHEN 1 THEN '  ' WHEN 2 THEN NULL ELSE concat(' ', lower(p_type)) END
+        CASE p_partkey % 50 WHEN 1 THEN '  ' WHEN 2 THEN NULL
+            WHEN 3 THEN concat('Rare ', CAST(p_partkey % 17 AS STRING)) ELSE concat(' ', lower(p_type)) END
             AS product_category_name,
         CAST(length(p_name) AS INT) AS product_name_lenght,
         CAST(p_size * 10 AS INT) AS product_description_lenght,
         CASE WHEN p_partkey % 31 <> 0 THEN CAST(p_size % 6 AS INT) END AS product_photos_qty,
-        CAST(p_size * 125 AS DECIMAL(12,2)) AS product_weight_g,
+        CAST(CASE WHEN p_partkey % 61 = 0 THEN -p_size ELSE p_size * 125 END AS DECIMAL(12,2)) AS product_weight_g,
         CAST(p_size + 10 AS DECIMAL(12,2)) AS product_length_cm,
         CAST(p_size % 9 + 1 AS DECIMAL(12,2)) AS product_height_cm,
         CASE WHEN p_partkey % 29 <> 0 THEN CAST(p_size % 12 + 2 AS DECIMAL(12,2)) END AS product_width_cm
-    FROM {part}
-    WHERE p_partkey % 97 <> 0""",
+    FROM {part}""",
     "product_category_name_translation": """
     SELECT
         CASE WHEN p_type = 'LARGE' THEN ' large ' ELSE lower(p_type) END AS product_category_name,
         CASE WHEN p_type = 'SMALL' THEN '' ELSE concat('cat ', lower(p_type)) END
             AS product_category_name_english
-    FROM (SELECT DISTINCT p_type FROM {part} WHERE p_type <> 'PROMO') AS kinds
+    FROM (SELECT DISTINCT p_type FROM {part}) AS kinds
     UNION ALL
     SELECT 'garden', 'garden tools'""",
     "orders": """
     SELECT
         CAST(o_orderkey AS STRING) AS order_id,
         CASE WHEN o_orderkey % 83 = 0 THEN concat('gone-', CAST(o_custkey AS STRING))
+             WHEN o_orderkey % 89 = 0 THEN NULL
              ELSE CAST(o_custkey AS STRING) END AS customer_id,
         CASE WHEN o_orderkey % 53 = 0 THEN '  '
              WHEN o_orderstatus = 'F' THEN ' Delivered '
@@ -99,11 +101,15 @@ SAMPLE_SQL = {
     SELECT
         CAST(l_orderkey AS STRING) AS order_id,
         l_linenumber AS order_item_id,
-        CAST(l_partkey AS STRING) AS product_id,
-        CAST(l_suppkey AS STRING) AS seller_id,
+        CASE WHEN l_partkey % 97 = 0 THEN concat('gone-', CAST(l_partkey AS STRING))
+             ELSE CAST(l_partkey AS STRING) END AS product_id,
+        CASE WHEN l_suppkey % 37 = 0 THEN concat('gone-', CAST(l_suppkey AS STRING))
+             ELSE CAST(l_suppkey AS STRING) END AS seller_id,
         l_shipdate AS shipping_limit_date,
-        CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
-        CASE WHEN l_partkey % 71 <> 0 THEN CAST(l_quantity AS DECIMAL(12,2)) END AS freight_value
+        CAST(CASE WHEN l_partkey % 67 = 0 THEN NULL WHEN l_partkey % 103 = 0 THEN -l_extendedprice
+                  ELSE l_extendedprice END AS DECIMAL(12,2)) AS price,
+        CASE WHEN l_partkey % 107 = 0 THEN CAST(-l_quantity AS DECIMAL(12,2))
+             WHEN l_partkey % 71 <> 0 THEN CAST(l_quantity AS DECIMAL(12,2)) END AS freight_value
     FROM {lineitem}""",
     "order_payments": """
     SELECT
@@ -114,7 +120,8 @@ SAMPLE_SQL = {
             WHEN '1-URGENT' THEN ' Credit_Card ' WHEN '2-HIGH' THEN 'BOLETO' WHEN '3-MEDIUM' THEN 'Voucher'
             WHEN '4-NOT SPECIFIED' THEN 'debit_card'
             ELSE CASE WHEN o_orderkey % 2 = 0 THEN '   ' END END AS payment_type,
-        CAST(o_orderkey % 10 AS INT) AS payment_installments,
+        CAST(CASE WHEN o_orderkey % 103 = 0 THEN -1 WHEN o_orderkey % 107 <> 0 THEN o_orderkey % 10 END AS INT)
+            AS payment_installments,
         CAST(o_totalprice AS DECIMAL(12,2)) AS payment_value
     FROM {orders}
     UNION ALL
@@ -127,7 +134,7 @@ SAMPLE_SQL = {
         CAST(event_id AS STRING) AS review_id,
         CASE WHEN event_id % 89 = 0 THEN concat('missing-', CAST(event_id AS STRING))
              ELSE CAST(event_id AS STRING) END AS order_id,
-        CAST(1 + event_id % 5 AS INT) AS review_score,
+        CAST(CASE WHEN event_id % 97 = 0 THEN 6 WHEN event_id % 79 <> 0 THEN 1 + event_id % 5 END AS INT) AS review_score,
         CASE event_id % 3 WHEN 0 THEN '  ' WHEN 1 THEN event_type END AS review_comment_title,
         CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE props END AS review_comment_message,
         ts + (event_id % 365) * INTERVAL '1' DAY AS review_creation_date,
@@ -135,7 +142,7 @@ SAMPLE_SQL = {
              THEN ts + (event_id % 365) * INTERVAL '1' DAY
                      + ((event_id % 72) * 3600 + event_id % 3571) * INTERVAL '1' SECOND END
             AS review_answer_timestamp
-    FROM {events}
+    FROM (SELECT * FROM {events} UNION ALL SELECT * FROM {events} WHERE event_id % 149 = 0) AS twice
     WHERE event_type <> 'signup'""",
     "marketing_qualified_leads": """
     SELECT
@@ -167,14 +174,15 @@ SAMPLE_SQL = {
         CASE user_id % 4 WHEN 0 THEN ' 5-20 ' WHEN 1 THEN 'UNKNOWN' WHEN 2 THEN '' END AS average_stock,
         CASE event_id % 4 WHEN 0 THEN 'Reseller' WHEN 1 THEN 'manufacturer' WHEN 2 THEN ' ' END AS business_type,
         CASE WHEN user_id % 3 <> 0 THEN CAST(user_id % 1000 AS DECIMAL(14,2)) END AS declared_product_catalog_size,
-        CASE WHEN event_id % 4 <> 0 THEN CAST(value * 100 AS DECIMAL(14,2)) END AS declared_monthly_revenue
+        CASE WHEN event_id % 4 <> 0
+             THEN CAST(CASE WHEN event_id % 5 = 0 THEN -100 ELSE 100 END * value AS DECIMAL(14,2)) END AS declared_monthly_revenue
     FROM {events}
     WHERE event_type = 'signup' AND event_id % 9 = 0""",
 }
 
 
 def sample_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Lazy frames of the raw layer over the Parquet tables in `sf_dir`; whole tables, no subsets."""
+    """Lazy frames of the raw layer over the Parquet tables in `sf_dir`; every row of a base table is kept."""
     base = {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in BASE_TABLES}
     return {
         name: spark.sql(text, **{t: base[t] for t in re.findall(r"\{(\w+)\}", text)})
