@@ -57,27 +57,35 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
     return map_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work, "doc_id long, fp long")
 
 
-def _keyed(prints: DataFrame, wide: bool) -> DataFrame:
-    """key, fp and label: for each of TRIPLES one segment as it is and the nearest codewords of two others, or with
-    `wide` all combinations of the near ones."""
+def _keyed(prints: DataFrame, sided: bool) -> DataFrame:
+    """key, fp, label and side: for each of TRIPLES one segment as it is and a codeword near each of two others.
+
+    Without `sided`, both are the nearest ones (side 0). With it, side 1 has all near codewords of the first
+    with the nearest of the second, and side 2 the other way round.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 signed, labels = (np.array(c.slice(start, 2048), dtype=np.int64) for c in batch.columns)
                 parts = [signed >> (SEGMENT * i) & ((1 << SEGMENT) - 1) for i in range(4)]
-                codes = [_distinct(near(p, SEGMENT)) if wide else nearest(p)[:, None] for p in parts]
+                one = [nearest(p)[:, None] for p in parts]
+                many = [_distinct(near(p, SEGMENT)) for p in parts] if sided else one
                 for n, (exact, i, j) in enumerate(TRIPLES):
-                    pairs = codes[i][:, :, None].astype(np.int64) << 12 | codes[j][:, None, :]
-                    keys = pairs | ((n << SEGMENT | parts[exact]) << 24)[:, None, None]
-                    here = (codes[i][:, :, None] >= 0) & (codes[j][:, None, :] >= 0)
-                    rows = np.nonzero(here)[0]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, pa.int64()) for x in (keys[here], signed[rows], labels[rows])],
-                        names=["key", "fp", "label"],
-                    )
-
-    return prints.select("fp", "label").mapInArrow(run, "key long, fp long, label long")
+                    head = ((n << SEGMENT | parts[exact]) << 24)[:, None]
+                    for side, first, second in ((1, many[i], one[j]), (2, one[i], many[j])) if sided else ((0, one[i], one[j]),):
+                        keys = head | first.astype(np.int64) << 12 | second
+                        here = np.broadcast_to((first >= 0) & (second >= 0), keys.shape)
+                        rows = np.nonzero(here)[0]
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                *(pa.array(x, pa.int64()) for x in (keys[here], signed[rows], labels[rows])),
+                                pa.array(np.full(len(rows), side, np.int8)),
+                            ],
+                            names=["key", "fp", "label", "side"],
+                        )
+
+    return prints.select("fp", "label").mapInArrow(run, "key long, fp long, label long, side byte")
 
 
 def _distinct(codes: np.ndarray) -> np.ndarray:
@@ -95,20 +103,22 @@ def _differ() -> Column:
 def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Links (a, b) that join exactly the distinct fingerprints reachable by steps of at most `max_bits` bits.
 
-    Every fingerprint has eight narrow keys and some 150 wide ones, of 40 bits besides the choice of segments. If
-    two differ in three bits at most, one of four segments is equal and two more differ in one bit at most, where
-    the nearest codeword of the one is near the other: a narrow key of the one equals a wide key of the other. So
-    a narrow-to-wide join loses no link, and chance hardly adds any. Each candidate is verified on all 64 bits.
+    Keys have 40 bits besides the choice of segments. If two fingerprints differ in three bits at most, one of four
+    segments is equal and two more, i and j, differ in one bit at most. Then the nearest codeword of either is near
+    the other, in i as in j: a key of side 1 of the one equals a key of side 2 of the other. A fingerprint has some
+    42 keys on each side. So joining the sides loses no link, and chance hardly adds any. Each candidate is
+    verified on all 64 bits.
 
     A dense group would give all its pairs. It is therefore first tied together by hubs (every fingerprint to
-    the smallest that shares a narrow key, verified too); the full join then only looks for links between
-    fingerprints that are not yet in one component, and drops wide keys under which only one component lies
-    before any pair is made. No key, pair or component is capped.
+    the smallest and the largest that share its nearest codewords, verified too); the join then only looks for
+    links between fingerprints that are not yet in one component. Keys under which only one component or one
+    side lies go before any pair is made: they are found by a grouping that is combined before its shuffle, and
+    only what lies under the others is written. No key, pair or component is capped.
     """
     if max_bits > MAX_BITS:
         raise ValueError(f"the four segments promise links up to {MAX_BITS} bits only")
     alone = prints.select("fp", F.col("fp").alias("label"))
-    narrow = stored(_keyed(alone, wide=False), "narrow")
+    narrow = stored(_keyed(alone, sided=False).select("key", "fp"), "narrow")
     hubs = stored(narrow.groupBy("key").agg(F.min("fp").alias("b"), F.max("fp").alias("c")).where("b <> c"), "hubs")
     first = stored(
         narrow.withColumnRenamed("fp", "a")
@@ -121,15 +131,18 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     groups = components(first)
     label = F.coalesce("component", "fp").alias("label")
     labelled = stored(prints.select("fp").join(groups, F.col("fp") == F.col("node"), "left").select("fp", label), "labels")
-    codes = stored(_keyed(labelled, wide=False), "narrow-labels")
-    under = stored(codes.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")), "keys")
-    wide = _keyed(labelled, wide=True).join(under, "key").where("low <> high or low <> label")
-    wide = stored(wide.select("key", F.col("fp").alias("b"), F.col("label").alias("label_b")), "wide")
+    keyed = _keyed(labelled, sided=True)
+    spread = keyed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.bit_or("side").alias("sides"))
+    live = stored(spread.where("low <> high and sides = 3").select("key"), "live-keys")
+    hits = stored(keyed.join(live, "key"), "hits")
+    left, right = (
+        hits.where(F.col("side") == side).select("key", F.col("fp").alias(end), F.col("label").alias(f"label_{end}"))
+        for side, end in ((1, "a"), (2, "b"))
+    )
     second = (
-        codes.select("key", F.col("fp").alias("a"), F.col("label").alias("label_a"))
-        .join(wide, "key")
+        left.join(right, "key")
         .where((F.col("label_a") != F.col("label_b")) & (_differ() <= max_bits))
-        .select("a", "b")
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .distinct()
     )
     return first.unionByName(stored(second, "links"))
