@@ -103,6 +103,8 @@ def _differ() -> Column:
 def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Links (a, b) that join exactly the distinct fingerprints reachable by steps of at most `max_bits` bits.
 
+    A link leads to the smallest fingerprint of a group or joins two of these, so its own ends may differ in more bits.
+
     Keys have 40 bits besides the choice of segments. If two fingerprints differ in three bits at most, one of four
     segments is equal and two more, i and j, differ in one bit at most. Then the nearest codeword of either is near
     the other, in i as in j: a key of side 1 of the one equals a key of side 2 of the other. A fingerprint has some
@@ -142,10 +144,10 @@ def fingerprint_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     second = (
         left.join(right, "key")
         .where((F.col("label_a") != F.col("label_b")) & (_differ() <= max_bits))
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        .select(F.greatest("label_a", "label_b").alias("a"), F.least("label_a", "label_b").alias("b"))
         .distinct()
     )
-    return first.unionByName(stored(second, "links"))
+    return stored(second, "links").unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b")))
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
