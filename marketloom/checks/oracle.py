@@ -409,9 +409,9 @@ def _duplicates(keys: dict[str, list[str]], prefix: str = "") -> str:
     )
 
 
-def _nulls(mandatory: dict[str, list[str]]) -> str:
+def _nulls(mandatory: dict[str, list[str]], prefix: str = "") -> str:
     return " UNION ALL ".join(
-        _rule(t, f"{c} not null", f"SELECT COUNT(*) - COUNT({c}) FROM {t}") for t, cols in mandatory.items() for c in cols
+        _rule(t, f"{c} not null", f"SELECT COUNT(*) - COUNT({c}) FROM {prefix}{t}") for t, cols in mandatory.items() for c in cols
     )
 
 
@@ -502,6 +502,11 @@ BODIES: dict[str, str] = {
     "q13_duplicates": _duplicates(con.UNIQUE_KEYS["dwh"]),
     "q13_raw_duplicates": _duplicates(con.UNIQUE_KEYS["raw"], "raw_"),
     "q13_staging_duplicates": _duplicates(con.UNIQUE_KEYS["staging"]),
+    "q13_gate": f"""SELECT * FROM ({_duplicates(con.UNIQUE_KEYS["raw"], "raw_")}
+        UNION ALL {_duplicates(con.UNIQUE_KEYS["staging"])}
+        UNION ALL {_nulls(con.UNIQUE_KEYS["raw"], "raw_")} UNION ALL {_nulls(con.NOT_NULL["staging"])}
+        UNION ALL {_broken(con.VALUE_RULES["raw"], "raw_")} UNION ALL {_broken(con.VALUE_RULES["staging"])}) AS g
+        WHERE violations > 0""",
     "q14_nulls": _nulls(con.NOT_NULL["staging"] | con.NOT_NULL["dwh"]),
     "q15_checks": _broken(con.VALUE_RULES["staging"] | con.VALUE_RULES["dwh"]),
     "q15_raw_checks": _broken(con.VALUE_RULES["raw"], "raw_"),

@@ -18,6 +18,7 @@ from marketloom.session import new_work_folder
 from marketloom.sources.csv_files import read_csv
 from marketloom.sources.layers import LayerStore, publish_views
 from marketloom.sources.sample import sample_raw
+from marketloom.sources.schemas import RAW_TABLES
 from marketloom.sources.sql_reads import read_sql
 
 _open: dict[tuple[str, str], Warehouse] = {}
@@ -188,6 +189,9 @@ _OTHERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "q13_staging_duplicates": lambda w: con.duplicate_keys(
         _all_tables(w, STAGING_TABLES), con.UNIQUE_KEYS["staging"]
     ),
+    "q13_gate": lambda w: con.findings("raw", {t: w.raw(t) for t in RAW_TABLES}).unionByName(
+        con.findings("staging", _all_tables(w, STAGING_TABLES))
+    ),
     "q14_nulls": lambda w: con.null_violations(
         _all_tables(w, STAGING_TABLES + DWH_TABLES), con.NOT_NULL["staging"] | con.NOT_NULL["dwh"]
     ),

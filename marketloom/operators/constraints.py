@@ -106,6 +106,9 @@ NOT_NULL = {
     },
 }
 
+# A primary key holds no NULL.
+NOT_NULL["raw"] = UNIQUE_KEYS["raw"]
+
 _PRODUCT_SIZES = [
     "product_photos_qty >= 0", "product_weight_g >= 0", "product_length_cm >= 0",
     "product_height_cm >= 0", "product_width_cm >= 0",
@@ -272,3 +275,19 @@ def orphans(tables: dict[str, DataFrame], references: dict[str, dict[str, tuple[
         .groupBy("table_name", "rule")
         .agg(F.sum(F.when(lost, F.col("count")).otherwise(0)).alias("violations"))
     )
+
+
+class ViolationError(RuntimeError):
+    """A layer breaks a declared key or rule."""
+
+
+def findings(layer: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows (table_name, rule, violations) of every declared rule of `layer` that is broken; references in dwh only."""
+    parts = [
+        duplicate_keys(tables, UNIQUE_KEYS[layer]),
+        null_violations(tables, NOT_NULL[layer]),
+        rule_violations(tables, VALUE_RULES[layer]),
+    ]
+    if layer == "dwh":
+        parts.append(orphans(tables))
+    return reduce(DataFrame.unionByName, parts).where("violations > 0")

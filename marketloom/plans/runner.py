@@ -7,10 +7,10 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.operators import quality
+from marketloom.operators import constraints, quality
 from marketloom.plans.warehouse import DWH_TABLES, MARTS, STAGING_TABLES, Warehouse
 from marketloom.session import build_session
-from marketloom.sources.csv_files import load_all_raw
+from marketloom.sources.csv_files import FREE_TEXT, load_all_raw
 from marketloom.sources.layers import LayerStore, publish_views
 from marketloom.sources.schemas import RAW_TABLES, raw_schema
 
@@ -23,7 +23,8 @@ class Runner:
     """Runs layer refreshes against the Parquet tables under `root`, one writer at a time.
 
     The newest `keep_runs` complete runs of a layer are kept, so readers of the previous one can
-    finish; `splittable` names sources whose fields hold no line breaks.
+    finish; `multiline` names the sources whose fields may hold line breaks. A layer that breaks a declared
+    key or rule stops the dwh step unless `allow_violations` is set, which only logs what is broken.
     """
 
     def __init__(
@@ -33,18 +34,20 @@ class Runner:
         source_dir: str | None = None,
         file_pattern: str = "{table}.csv",
         file_names: dict[str, str] | None = None,
-        splittable: frozenset[str] = frozenset(),
+        multiline: frozenset[str] = FREE_TEXT,
         keep_runs: int = 2,
-        store_marts: bool = False,
+        store_marts: bool = True,
+        allow_violations: bool = False,
     ):
         self.spark = spark
         self.store = LayerStore(spark, root)
         self.source_dir = source_dir
         self.file_pattern = file_pattern
         self.file_names = file_names
-        self.splittable = splittable
+        self.multiline = multiline
         self.keep_runs = keep_runs
         self.store_marts = store_marts
+        self.allow_violations = allow_violations
 
     def schema(self) -> None:
         """Make an empty raw layer when none was ever loaded, so that later steps have typed inputs."""
@@ -55,7 +58,7 @@ class Runner:
         if not self.source_dir:
             raise ValueError("the raw step needs a source folder")
         load_all_raw(
-            self.spark, self.source_dir, self.store, self.file_pattern, self.file_names, self.splittable
+            self.spark, self.source_dir, self.store, self.file_pattern, self.file_names, self.multiline
         )
         self.store.drop_old_runs("raw", self.keep_runs)
 
@@ -64,20 +67,32 @@ class Runner:
         self.store.write_layer("staging", Warehouse(self.spark, raw).staging_layer())
         self.store.drop_old_runs("staging", self.keep_runs)
 
+    def gate(self, layer: str, tables: dict[str, DataFrame]) -> None:
+        """Stop with table, rule and count when `tables` break what is declared for `layer`."""
+        broken = constraints.findings(layer, tables).orderBy("table_name", "rule").collect()
+        texts = [f"{r.table_name}: {r.rule} ({r.violations})" for r in broken]
+        for text in texts:
+            logger.warning("%s breaks a declared rule, %s", layer, text)
+        if texts and not self.allow_violations:
+            raise constraints.ViolationError(f"layer {layer} breaks declared rules: {'; '.join(texts)}")
+
     def dwh(self) -> None:
-        warehouse = Warehouse(self.spark, ready=self.store.read_layer("staging", STAGING_TABLES))
+        """Build dimensions and facts from a staging layer that keeps its rules; a dwh that breaks its own is not kept."""
+        staging = self.store.read_layer("staging", STAGING_TABLES)
+        self.gate("raw", self.store.read_layer("raw", RAW_TABLES))
+        self.gate("staging", staging)
+        warehouse = Warehouse(self.spark, ready=staging)
         try:
             warehouse.prepare(DWH_TABLES)
-            self.store.write_layer("dwh", warehouse.dwh_layer())
+            self.store.write_layer("dwh", warehouse.dwh_layer(), accept=lambda tables: self.gate("dwh", tables))
         finally:
             warehouse.drop_work_files()
         self.store.drop_old_runs("dwh", self.keep_runs)
 
     def marts(self) -> dict[str, DataFrame]:
-        """Publish the marts as views `marts_<name>`.
+        """Write the marts as a layer and publish them as views `marts_<name>`.
 
-        They are evaluated when read, or once now if `store_marts` is set, which pays off when many
-        figures are drawn from them.
+        Without `store_marts` they are only views of this session, evaluated when read.
         """
         warehouse = Warehouse(self.spark, ready=self.store.read_layer("dwh", DWH_TABLES))
         views = {m: warehouse.mart(m) for m in MARTS}
@@ -89,8 +104,15 @@ class Runner:
         return views
 
     def quality(self, fail_fast: bool = False) -> list:
-        tables = {"orders": self.store.read("raw", "orders"), **self.store.read_layer("dwh", DWH_TABLES)}
-        return quality.run_checks(tables, fail_fast)
+        """All checks; those on marts read the stored ones, or evaluate them from dwh when none are stored."""
+        dwh = self.store.read_layer("dwh", DWH_TABLES)
+        if self.store.runs("marts"):
+            marts = self.store.read_layer("marts", MARTS)
+        else:
+            warehouse = Warehouse(self.spark, ready=dwh)
+            marts = {m: warehouse.mart(m) for m in MARTS}
+        tables = {"orders": self.store.read("raw", "orders"), **dwh, **marts}
+        return quality.run_checks(tables, fail_fast, quality.CHECKS)
 
     def run(self, step: str = "all", fail_fast: bool = False) -> list | None:
         """Run one step, or all of them; returns the quality rows when they were computed."""
@@ -109,20 +131,31 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--root", required=True, help="folder of the layers, on shared storage")
     parser.add_argument("--source-dir", help="folder of the source CSV files")
     parser.add_argument("--file-pattern", default="{table}.csv", help="file name of a table")
-    parser.add_argument("--splittable", default="", help="comma-separated tables without line breaks in fields")
+    parser.add_argument(
+        "--file-name", action="append", default=[], metavar="TABLE=NAME", help="file of one table, before the pattern"
+    )
+    parser.add_argument(
+        "--multiline", default=",".join(sorted(FREE_TEXT)), help="comma-separated tables with line breaks in fields"
+    )
     parser.add_argument("--keep-runs", type=int, default=2, help="complete runs to keep per layer")
-    parser.add_argument("--store-marts", action="store_true", help="write the marts instead of leaving them as views")
+    parser.add_argument("--mart-views", action="store_true", help="leave the marts as views of the session")
+    parser.add_argument("--allow-violations", action="store_true", help="log broken keys and rules and go on")
     parser.add_argument("--fail-fast-quality", action="store_true")
     args = parser.parse_args(argv)
+    file_names = dict(entry.partition("=")[::2] for entry in args.file_name)
+    if unknown := {*file_names, *filter(None, args.multiline.split(","))} - set(RAW_TABLES):
+        parser.error(f"no such tables: {', '.join(sorted(unknown))}")
     logging.basicConfig(level=logging.INFO)
     runner = Runner(
         build_session(),
         args.root,
         args.source_dir,
         args.file_pattern,
-        splittable=frozenset(filter(None, args.splittable.split(","))),
+        file_names,
+        multiline=frozenset(filter(None, args.multiline.split(","))),
         keep_runs=args.keep_runs,
-        store_marts=args.store_marts,
+        store_marts=not args.mart_views,
+        allow_violations=args.allow_violations,
     )
     results = runner.run(args.step, args.fail_fast_quality)
     if results:

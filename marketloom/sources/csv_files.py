@@ -11,6 +11,9 @@ from marketloom.sources.schemas import RAW_TABLES, raw_schema
 # unless NULL is spelled as something that cannot occur in the file.
 _NO_SUCH_TEXT = "\u0001"
 
+#: Sources with free text, whose quoted fields may hold line breaks; all others are split over tasks.
+FREE_TEXT = frozenset({"order_reviews"})
+
 
 def file_of(table: str, pattern: str = "{table}.csv", names: dict[str, str] | None = None) -> str:
     """File (or folder of part files, or glob) holding a table; `names` overrides the pattern."""
@@ -49,14 +52,14 @@ def load_all_raw(
     store: LayerStore,
     pattern: str = "{table}.csv",
     names: dict[str, str] | None = None,
-    splittable: frozenset[str] = frozenset(),
+    multiline: frozenset[str] = FREE_TEXT,
 ) -> str:
     """Full refresh of the raw layer; the previous one stays current if any file fails.
 
-    `splittable` names the tables whose fields are known to hold no line breaks.
+    Only the files of `multiline` may hold line breaks in fields; a break in any other aborts the load.
     """
     folder = source_dir.rstrip("/")
     frames = {
-        t: read_csv(spark, f"{folder}/{file_of(t, pattern, names)}", t, t not in splittable) for t in RAW_TABLES
+        t: read_csv(spark, f"{folder}/{file_of(t, pattern, names)}", t, t in multiline) for t in RAW_TABLES
     }
     return store.write_layer("raw", frames)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,20 +50,46 @@ class LayerStore:
         fs, marker = _fs_path(self.spark, f"{run}/{_DONE}")
         fs.create(marker, False).close()
 
-    def write_layer(self, layer: str, tables: dict[str, DataFrame | Callable[[], DataFrame]]) -> str:
+    def write_layer(
+        self,
+        layer: str,
+        tables: dict[str, DataFrame | Callable[[], DataFrame]],
+        accept: Callable[[dict[str, DataFrame]], None] | None = None,
+    ) -> str:
         """Write all tables, several at a time, then switch readers to the new run.
 
-        Any failure is raised and leaves the previous run current.
+        `accept` sees the written tables before the switch and may raise. Any failure ends the other writes,
+        deletes the partial run, is raised and leaves the previous run current.
         """
         run = self.begin(layer)
+        tag = run.rsplit("=", 1)[1]
+        context = self.spark.sparkContext
 
         def write(name: str) -> None:
+            context.addJobTag(tag)
             df = tables[name]
-            (df() if callable(df) else df).write.parquet(f"{run}/{name}")
-
-        with ThreadPoolExecutor(self.concurrent_writes) as pool:
-            list(pool.map(write, tables))
-        self.complete(run)
+            try:
+                (df() if callable(df) else df).write.parquet(f"{run}/{name}")
+            finally:
+                context.removeJobTag(tag)
+
+        try:
+            with ThreadPoolExecutor(self.concurrent_writes) as pool:
+                writes = [pool.submit(write, name) for name in tables]
+                try:
+                    for done in as_completed(writes):
+                        done.result()
+                except BaseException:
+                    for waiting in writes:
+                        waiting.cancel()
+                    context.cancelJobsWithTag(tag)
+                    raise
+            if accept:
+                accept({name: self.spark.read.parquet(f"{run}/{name}") for name in tables})
+            self.complete(run)
+        except BaseException:
+            delete_folder(self.spark, run)
+            raise
         return run
 
     def runs(self, layer: str) -> list[str]:

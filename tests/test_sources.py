@@ -6,10 +6,11 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 
 from marketloom import session
+from marketloom.operators.constraints import ViolationError, findings
 from marketloom.plans.runner import Runner, main
 from marketloom.plans.warehouse import DWH_TABLES, MARTS, STAGING_TABLES
 from marketloom.sources import sql_reads
-from marketloom.sources.csv_files import file_of, load_all_raw, read_csv
+from marketloom.sources.csv_files import FREE_TEXT, file_of, load_all_raw, read_csv
 from marketloom.sources.layers import LayerStore, path_exists, publish_views
 from marketloom.sources.sample import sample_raw
 from marketloom.sources.schemas import RAW_TABLES, raw_schema
@@ -70,6 +71,15 @@ def test_failed_refresh_keeps_the_previous_run(spark, tmp_path, rows):
     with pytest.raises(ValueError):
         store.write_layer("staging", {"a": rows("v int", (2,)), "b": broken})
     assert store.current("staging") == first
+    assert len(list((tmp_path / "layers" / "staging").iterdir())) == 1  # the partial run is gone
+
+    def refuse(tables):
+        assert tables["a"].first().v == 2
+        raise LookupError("refused")
+
+    with pytest.raises(LookupError, match="refused"):
+        store.write_layer("staging", {"a": rows("v int", (2,))}, accept=refuse)
+    assert store.current("staging") == first and len(list((tmp_path / "layers" / "staging").iterdir())) == 1
     assert store.read("staging", "a").first().v == 1
     second = store.write_layer("staging", {"a": rows("v int", (3,)), "b": rows("v int", (3,))})
     assert store.current("staging") == second
@@ -133,10 +143,10 @@ def content(df):
 
 
 def test_all_steps_from_csv_to_quality(spark, csv_folder, tmp_path, warehouse):
-    runner = Runner(spark, str(tmp_path / "wh"), csv_folder, "shop_{table}.csv")
+    runner = Runner(spark, str(tmp_path / "wh"), csv_folder, "shop_{table}.csv", allow_violations=True)
     results = runner.run("all")
     assert [r.check_name for r in results][:2] == ["raw_orders_loaded", "dwh_fact_orders_loaded"]
-    assert len(results) == 8
+    assert len(results) == 12
     for t in RAW_TABLES:
         assert runner.store.read("raw", t).schema == raw_schema(t)
     for t in ("stg_reviews", "stg_closed_deals"):
@@ -198,6 +208,54 @@ def test_marts_can_be_stored_as_a_layer(spark, tmp_path):
     assert "FileScan" in plan and "Aggregate" not in plan
 
 
+def test_a_repeated_order_stops_the_run_and_keeps_the_previous_dwh(spark, tmp_path, rows):
+    runner = Runner(spark, str(tmp_path / "wh"))
+    for step in ("schema", "staging", "dwh"):
+        runner.run(step)
+    kept = runner.store.current("dwh")
+    raw = runner.store.read_layer("raw", RAW_TABLES)
+    order = spark.createDataFrame([("o1", "c1", "delivered", *[None] * 5)], raw_schema("orders"))
+    runner.store.write_layer("raw", {**raw, "orders": order.unionAll(order)})
+    runner.run("staging")
+    with pytest.raises(ViolationError, match=r"orders: unique \(order_id\) \(1\)"):
+        runner.run("dwh")
+    assert runner.store.current("dwh") == kept
+    runner.allow_violations = True
+    runner.run("dwh")
+    assert runner.store.current("dwh") != kept
+
+
+def test_rules_of_every_layer_are_known_and_keys_hold_no_null(spark, rows):
+    empty = {t: spark.createDataFrame([], raw_schema(t)) for t in RAW_TABLES}
+    assert findings("raw", empty).count() == 0
+    orders = spark.createDataFrame([(None, "c1", "x", *[None] * 5)], raw_schema("orders"))
+    assert [tuple(r) for r in findings("raw", {**empty, "orders": orders}).collect()] == [("orders", "order_id not null", 1)]
+
+
+def test_command_line_takes_file_names_and_marts_outlive_the_session(spark, csv_folder, tmp_path):
+    root = str(tmp_path / "wh")
+    named = ["--file-pattern", "none_{table}", *(x for t in RAW_TABLES for x in ("--file-name", f"{t}=shop_{t}.csv"))]
+    main(["--root", root, "--source-dir", csv_folder, "--step", "raw", *named])
+    with pytest.raises(SystemExit):
+        main(["--root", root, "--file-name", "nothing=x"])
+    for step in ("staging", "dwh", "marts"):
+        main(["--root", root, "--step", step, "--allow-violations"])
+    other = spark.newSession()
+    assert LayerStore(other, root).read("marts", "sales_overview").count() > 0
+
+
+def test_a_large_file_is_read_by_more_than_one_task(spark, tmp_path):
+    lines = "".join(f"o{i},c{i},delivered,,,,,\n" for i in range(2000))
+    path = write(tmp_path, "orders.csv", ",".join(raw_schema("orders").names) + "\n" + lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        split = read_csv(spark, path, "orders", line_breaks="orders" in FREE_TEXT)
+        assert split.rdd.getNumPartitions() > 1 and split.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_stored_marts_equal_the_plans(warehouse):
     for m in MARTS:
         assert content(warehouse.mart_table(m)) == content(warehouse.table(m))
