@@ -17,7 +17,7 @@ from marketloom.llm.secrets import document_secrets
 from marketloom.llm.sentencepiece_codec import Codec, encode_documents
 from marketloom.llm.simhash import near_duplicates
 from marketloom.llm.topk import quantised, top_k
-from marketloom.llm.training_order import in_training_order, load_ranks, token_records
+from marketloom.llm.training_order import load_ranks, materialised, token_records
 from marketloom.llm.url_filter import pages_on_labels, url_verdicts
 
 
@@ -48,7 +48,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return in_training_order(token_records(table(spark, sf_dir, "documents"), load_ranks()))
+    return materialised(token_records(table(spark, sf_dir, "documents"), load_ranks()))
 
 
 def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import stored
+from marketloom.session import new_work_folder
 
 RANKS_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The vocabulary's own split of a text (fixed value).
@@ -121,7 +122,7 @@ def in_training_order(records: DataFrame, layout: Layout = Layout()) -> DataFram
     its own place, so that the permutation runs over 0 .. n - 1 without gaps. The driver sees one count per
     task. A partition is the range of slots of one shard: its size is the same for all by construction.
     """
-    whole = stored(records, "records")
+    whole = stored(records, "records", "zstd")
     counts = {r["task"]: r["count"] for r in whole.groupBy("task").count().collect()}
     total = sum(counts.values())
     base, before = {}, 0
@@ -183,6 +184,54 @@ def write_shards(ordered: DataFrame, folder: str, layout: Layout = Layout()) ->
     return ordered.select("shard", "ids").mapInArrow(run, "shard int, path string, records long, crc32 long")
 
 
+def shard_rows(files: DataFrame, layout: Layout = Layout()) -> DataFrame:
+    """slot, shard, record and ids of every record in `files`, the rows of `write_shards`, in order; one partition per file.
+
+    The rows are read from the files themselves. A file whose length or checksum is not the one noted is an error.
+    """
+    stride, per_shard = layout.stride, layout.records
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for f in batch.to_pylist():
+                store, at, crc, rest = _store(f["folder"])[0], 0, 0, b""
+                with store.open_input_stream(f["path"]) as stream:
+                    while raw := stream.read(512 * stride):
+                        crc, raw = zlib.crc32(raw, crc), rest + raw  # a store may return less than asked for
+                        rows = len(raw) // stride
+                        raw, rest = raw[: rows * stride], raw[rows * stride :]
+                        here = np.arange(at, at + rows)
+                        ends = pa.py_buffer((np.arange(rows + 1, dtype=np.int32) * stride).tobytes())
+                        columns = [
+                            pa.array(f["shard"] * per_shard + here, pa.int64()),
+                            pa.array(np.full(rows, f["shard"]), pa.int32()),
+                            pa.array(here, pa.int32()),
+                            pa.Array.from_buffers(pa.binary(), rows, [None, ends, pa.py_buffer(raw)]),
+                        ]
+                        yield pa.RecordBatch.from_arrays(columns, names=["slot", "shard", "record", "ids"])
+                        at += rows
+                if rest or (at, crc) != (f["records"], f["crc32"]):
+                    raise ValueError(f"{f['path']}: {at} records with checksum {crc}; noted were {f['records']} and {f['crc32']}")
+
+    return files.mapInArrow(run, "slot long, shard int, record int, ids binary")
+
+
+def materialised(records: DataFrame, layout: Layout = Layout()) -> DataFrame:
+    """The rows of `in_training_order`, read from the shard files that this call writes below the shared folder."""
+    folder = new_work_folder(records.sparkSession, "shards")
+    files = stored(write_shards(in_training_order(records, layout), folder, layout), "shard-files")
+    shards = max(1, files.count())
+    placed = files.withColumn("folder", F.lit(folder)).repartitionById(shards, F.col("shard"))
+    return shard_rows(placed, layout)
+
+
+def _store(folder: str):
+    """File system and root of a folder."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder)
+
+
 def read_slots(folder: str, first: int, count: int, layout: Layout = Layout()) -> Iterator[np.ndarray]:
     """Ids of the records at slots first, first + 1, ...: one seek per shard, then sequential reads."""
     from pyarrow import fs
