@@ -45,3 +45,13 @@ def test_planted_copies(spark):
     assert sum(bin((fingerprint(rows[0][1]) ^ fingerprint(t)) & (1 << 64) - 1).count("1") > 3 for _, t in rows[1:31]) > 10
     kept = {r["doc_id"] for r in drop_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert kept == brute_keep(dict(rows)) == {0, *range(100, 130)}
+
+
+def test_shared_and_missing_ids_lose_no_text(spark):
+    own = [" ".join(f"{name}{i}" for i in range(30)) for name in "abcde"]
+    rows = [(1, own[0], "x"), (1, own[1], "x"), (1, own[1], "y"), (2, own[0], "x"), (None, own[1], "x"), (None, own[2], "x"), (None, own[2] + " z", "x"), (3, own[3], "x"), (3, own[3], "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = drop_duplicates(docs).collect()
+    assert sorted(r["text"].split()[0] for r in kept) == ["a0", "b0", "c0", "d0"]
+    assert sorted((r["doc_id"] for r in kept), key=str) == [1, 1, 3, None]
+    assert set(kept) == set(drop_duplicates(docs.repartition(5)).collect())
