@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marketloom.llm import answers
 from marketloom.llm.common import table
+from marketloom.llm.dialog_repair import repaired_conversations
 from marketloom.llm.kd_shards import document_shards
 from marketloom.llm.langid import languages
 from marketloom.llm.mixing import mixed
@@ -63,8 +64,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_dialog_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_conversations(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_topk, op2_langid, op3_url_filter, op4_kd_shards, op5_sentencepiece, op6_simhash, op7_training_order, op8_host_rules, op9_mixing, op10_secrets]
+    own = [op1_topk, op2_langid, op3_url_filter, op4_kd_shards, op5_sentencepiece, op6_simhash, op7_training_order, op8_host_rules, op9_mixing, op10_secrets, op11_dialog_repair]
     return {f.__name__: f for f in own}
 
 
