@@ -13,6 +13,7 @@ from marketloom.llm.dialog_repair import repaired_conversations
 from marketloom.llm.kd_shards import document_shards
 from marketloom.llm.langid import languages
 from marketloom.llm.mixing import mixed
+from marketloom.llm.periodic_runs import run_digests
 from marketloom.llm.quality_rules import host_verdicts
 from marketloom.llm.secrets import document_secrets
 from marketloom.llm.sentencepiece_codec import Codec, encode_documents
@@ -68,8 +69,12 @@ def op11_dialog_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_topk, op2_langid, op3_url_filter, op4_kd_shards, op5_sentencepiece, op6_simhash, op7_training_order, op8_host_rules, op9_mixing, op10_secrets, op11_dialog_repair]
+    own = [op1_topk, op2_langid, op3_url_filter, op4_kd_shards, op5_sentencepiece, op6_simhash, op7_training_order, op8_host_rules, op9_mixing, op10_secrets, op11_dialog_repair, op13_periodic_runs]
     return {f.__name__: f for f in own}
 
 
