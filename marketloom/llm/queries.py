@@ -18,6 +18,7 @@ from marketloom.llm.quality_rules import host_verdicts
 from marketloom.llm.secrets import document_secrets
 from marketloom.llm.sentencepiece_codec import Codec, encode_documents
 from marketloom.llm.simhash import near_duplicates
+from marketloom.llm.suffix_dedup import removal_digests
 from marketloom.llm.topk import quantised, top_k
 from marketloom.llm.training_order import load_ranks, materialised, token_records
 from marketloom.llm.url_filter import pages_on_labels, url_verdicts
@@ -69,12 +70,16 @@ def op11_dialog_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_topk, op2_langid, op3_url_filter, op4_kd_shards, op5_sentencepiece, op6_simhash, op7_training_order, op8_host_rules, op9_mixing, op10_secrets, op11_dialog_repair, op13_periodic_runs]
+    own = [op1_topk, op2_langid, op3_url_filter, op4_kd_shards, op5_sentencepiece, op6_simhash, op7_training_order, op8_host_rules, op9_mixing, op10_secrets, op11_dialog_repair, op12_suffix_dedup, op13_periodic_runs]
     return {f.__name__: f for f in own}
 
 
