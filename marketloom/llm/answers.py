@@ -96,4 +96,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT refused AS kept
 FROM figures JOIN hosts ON figures.source IS NOT DISTINCT FROM hosts.source"""
 
-ANSWERS = {"op1_topk": _TOPK, "op3_url_filter": _FILTER, "op8_host_rules": _HOSTS}
+_REPEATS = """
+WITH texts AS (
+    SELECT row_number() OVER () AS n, doc_id, encode(coalesce(text, '')) AS raw FROM documents
+), strings AS (
+    SELECT n, spot, md5_number(hex(array_slice(raw, spot, spot + 199))) AS string
+    FROM (SELECT n, raw, unnest(range(1, octet_length(raw) - 198)) AS spot FROM texts WHERE octet_length(raw) >= 200)
+), marks AS (
+    SELECT n, spot, count(*) OVER (PARTITION BY string) > 1 AS twice FROM strings
+), runs AS (
+    SELECT n, min(spot) AS first, max(stop) AS stop FROM (
+        SELECT *, sum(opens) OVER (PARTITION BY n ORDER BY spot) AS run FROM (
+            SELECT n, spot, spot + 199 AS stop,
+                CAST(coalesce(lag(spot) OVER (PARTITION BY n ORDER BY spot) + 200 < spot, true) AS INT) AS opens
+            FROM marks WHERE twice))
+    GROUP BY n, run
+), gaps AS (
+    SELECT n, first, stop, coalesce(lag(stop) OVER (PARTITION BY n ORDER BY first), 0) + 1 AS since FROM runs
+), pieces AS (
+    SELECT n, CAST(sum(stop - first + 1) AS BIGINT) AS gone, count(*) AS spans, max(stop) AS last,
+        list({'since': since, 'till': first - 1} ORDER BY first) AS kept
+    FROM gaps GROUP BY n
+)
+SELECT doc_id, octet_length(raw) AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(spans, 0) AS n_spans,
+    sha256(CASE WHEN gone IS NULL THEN raw ELSE unhex(
+        list_aggregate(list_transform(kept, lambda k: hex(array_slice(raw, k.since, k.till))), 'string_agg', '')
+        || hex(array_slice(raw, last + 1, octet_length(raw)))) END) AS kept_sha256
+FROM texts LEFT JOIN pieces USING (n)"""
+
+ANSWERS = {"op1_topk": _TOPK, "op3_url_filter": _FILTER, "op8_host_rules": _HOSTS, "op12_suffix_dedup": _REPEATS}
