@@ -19,13 +19,13 @@ _TOP = 1 << (VALUE_BITS + TIE_BITS)
 
 @dataclass(frozen=True)
 class Limits:
-    """`bins` per step of a median search, which ends at `tolerance` of a shard's target; groups of ties heavier than
-    `heavy` of it are ordered by row; slots are dealt in `buckets` parts per shard."""
+    """`bins` per step of a median search, fewer where so many nodes are open that the driver would get more than `rows`
+    sums; a search ends at `tolerance` of a shard's target. Slots are dealt in parts of some `part` rows."""
 
     bins: int = 4096
+    rows: int = 1 << 20
     tolerance: float = 0.002
-    heavy: float = 0.25
-    buckets: int = 64
+    part: int = 20_000
 
 
 @dataclass
@@ -78,8 +78,8 @@ def coordinates(points: DataFrame, dims: list[str], tie: str) -> DataFrame:
 
 
 def build_tree(points: DataFrame, dims: int, leaves: int, how: Limits = Limits()) -> Tree:
-    """The tree over `points` (x0 .., weight). Tasks send sums by open node and bin, so that each pass brings `bins` rows
-    per open node to the driver at most; all nodes of one level are split in the same passes."""
+    """The tree over `points` (x0 .., weight). Tasks send sums by open node and bin, added up before and after the shuffle, so that
+    each pass brings one row per open node and bin to the driver at most; all nodes of one level are split in the same passes."""
     tree = Tree([leaves], [0])
     own = points.select(*(f"x{d}" for d in range(dims)), "weight")
     total = own.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
@@ -97,20 +97,38 @@ def build_tree(points: DataFrame, dims: int, leaves: int, how: Limits = Limits()
             else:
                 found[n] = (0, 0)  # no point: any cut will do
         while searches:
-            searches = _refine(own, tree, dims, searches, found, enough, how.bins)
+            searches = _refine(own, tree, dims, searches, found, enough, max(16, min(how.bins, how.rows // len(searches))))
         level = [kid for n in level for kid in tree.split(n, *found[n]) if tree.leaves[kid] > 1]
     return tree
 
 
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys, where each one's stretch begins in order, and that order."""
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    cuts = np.nonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))[0] if len(keys) else order
+    return ordered[cuts], cuts, order
+
+
 def _spans(points: DataFrame, tree: Tree, dims: int, level: list[int]) -> dict[int, tuple[int, list[int], list[int]]]:
     """Weight, minima and maxima of each node of `level` that has points."""
 
+    active = np.zeros(len(tree.left), bool)
+    active[level] = True
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, weight = _points(batch, dims)
             node = tree.place(x)
-            rows = [(n, int(weight[m].sum()), *x[:, m].min(1).tolist(), *x[:, m].max(1).tolist()) for n in level if (m := node == n).any()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(2 + 2 * dims)], names=names)
+            mine = np.nonzero(active[node])[0]
+            key, cuts, order = _grouped(node[mine])
+            columns = [key]
+            if len(key):
+                x, weight = x[:, mine[order]], weight[mine[order]]
+                columns += [np.add.reduceat(weight, cuts), *(np.minimum.reduceat(v, cuts) for v in x), *(np.maximum.reduceat(v, cuts) for v in x)]
+            else:
+                columns += [key] * (1 + 2 * dims)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     names = ["node", "w", *(f"lo{d}" for d in range(dims)), *(f"hi{d}" for d in range(dims))]
     parts = points.mapInArrow(run, ", ".join(f"{n} long" for n in names))
@@ -121,25 +139,25 @@ def _spans(points: DataFrame, tree: Tree, dims: int, level: list[int]) -> dict[i
 
 def _refine(points: DataFrame, tree: Tree, dims: int, searches: dict, found: dict, enough: float, bins: int) -> dict:
     """One pass of all median searches {node: (dim, low, high, goal)}: settle a cut in `found` or narrow to one bin."""
-    steps = {n: max(1, -(-(high - low) // bins)) for n, (_, low, high, _) in searches.items()}
+    at = np.zeros((4, len(tree.left)), np.int64)  # dimension, low, high and step of each node; high 0 where none is searched
+    for n, (dim, low, high, _) in searches.items():
+        at[:, n] = dim, low, high, max(1, -(-(high - low) // bins))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = {n: np.zeros(bins, np.int64) for n in searches}
-        lows = {n: np.full(bins, _TOP) for n in searches}
-        highs = {n: np.full(bins, -1) for n in searches}
         for batch in batches:
             x, weight = _points(batch, dims)
             node = tree.place(x)
-            for n, (dim, low, high, _) in searches.items():
-                mine = (node == n) & (x[dim] >= low) & (x[dim] < high)
-                value = x[dim][mine]
-                at = (value - low) // steps[n]
-                np.add.at(sums[n], at, weight[mine])
-                np.minimum.at(lows[n], at, value)
-                np.maximum.at(highs[n], at, value)
-        for n, s in sums.items():
-            at = np.nonzero(s)[0]
-            columns = (np.full(len(at), n), at, s[at], lows[n][at], highs[n][at])
+            dim, low, high, step = at[:, node]
+            value = x[dim, np.arange(len(node))]
+            mine = np.nonzero((value >= low) & (value < high))[0]
+            node, value, weight = node[mine], value[mine], weight[mine]
+            key, cuts, order = _grouped(node * bins + (value - low[mine]) // np.maximum(step[mine], 1))
+            columns = [key // bins, key % bins]
+            if len(key):
+                value = value[order]
+                columns += [np.add.reduceat(weight[order], cuts), np.minimum.reduceat(value, cuts), np.maximum.reduceat(value, cuts)]
+            else:
+                columns += [key] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["node", "bin", "w", "lo", "hi"])
 
     parts = points.mapInArrow(run, "node long, bin long, w long, lo long, hi long").groupBy("node", "bin")
@@ -162,19 +180,24 @@ def _refine(points: DataFrame, tree: Tree, dims: int, searches: dict, found: dic
 def shards(points: DataFrame, dims: list[str], tie: str, unit: str, leaves: int, how: Limits = Limits()) -> DataFrame:
     """`points` (the dims, tie long, unit long, weight long) with shard and slot.
 
-    Points that agree in all dims and `tie` share a shard, unless they weigh more than `heavy` of a shard's
-    target: such a group, of which there can only be leaves / heavy, is ordered by `unit` instead and may be
-    cut. Slots count the rows of a shard without gap, in order of `unit`.
+    Points that agree in all dims and `tie` share a shard, unless they weigh more than a whole shard's target. The rows
+    of such a group, of which there can only be as many as shards, are ordered by `unit`: it is cut, but as they
+    stay next to each other, into no more shards than its weight asks for. `unit` must be another one for each row. Slots count the rows of
+    a shard without gap.
     """
-    total = points.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
-    sums = points.groupBy(F.col(tie).alias("__tie")).agg(F.sum("weight").alias("w"))
-    heavy = stored(sums.where(F.col("w") > max(1.0, how.heavy * total / leaves)).select("__tie"), "heavy")
-    # Bounded: each of them holds at least `heavy` of a shard.
+    sums = points.agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("w"), F.count("*").alias("n")).first()
+    total, rows = sums["w"], sums["n"]
+    groups = points.groupBy(F.col(tie).alias("__tie")).agg(F.sum("weight").alias("w"))
+    heavy = stored(groups.where(F.col("w") > max(1.0, total / leaves)).select("__tie"), "heavy")
+    # Bounded: each of them holds more than one shard.
     loose = points.join(F.broadcast(heavy), F.col(tie) == F.col("__tie"), "left")
-    loose = loose.withColumn("__order", F.when(F.col("__tie").isNull(), F.col(tie)).otherwise(F.xxhash64(F.col(unit)))).drop("__tie")
+    low = (1 << (64 - TIE_BITS // 2)) - 1
+    inside = F.col(tie).bitwiseAND(F.lit(~low)).bitwiseOR(F.xxhash64(F.col(unit)).bitwiseAND(F.lit(low)))
+    loose = loose.withColumn("__order", F.when(F.col("__tie").isNull(), F.col(tie)).otherwise(inside)).drop("__tie")
     placed = stored(coordinates(loose, dims, "__order"), "points")
     tree = build_tree(placed, len(dims), leaves, how)
-    return with_slots(stored(_leaves(placed, tree, len(dims), points.columns), "dealt"), unit, how.buckets)
+    dealt = stored(_leaves(placed, tree, len(dims), points.columns), "dealt")
+    return with_slots(dealt, unit, max(1, -(-4 * rows // (leaves * how.part))))
 
 
 def _leaves(placed: DataFrame, tree: Tree, dims: int, keep: list[str]) -> DataFrame:
@@ -207,9 +230,10 @@ def document_shards(docs: DataFrame, leaves: int = 24, how: Limits = Limits()) -
     """doc_id, size, text_crc32, law, shard, slot and grown_shard for every row of `docs`.
 
     The dimensions are those that a text has whoever holds it: bytes, and bytes per code point (which
-    tells scripts apart), equal ones ordered by a hash of the text. So equal texts share a shard, until
-    a group of copies alone would make shards unequal. Null text: size 8 and the crc32 of no bytes;
-    repeated rows are rows of their own; with fewer rows than shards some shards are empty.
+    tells scripts apart), equal ones ordered by a hash of the text. So equal texts share a shard, unless a group of
+    copies is larger than one. Null text: size 8 and the crc32 of no bytes. Rows are told apart by a number that they
+    are stored with: repeated rows and rows that share or lack an id are rows of their own. With fewer rows
+    than shards some shards are empty; no rows, no shards.
     """
     raw = F.coalesce(F.col("text"), F.lit(""))
     size = (F.octet_length(raw) + 8).cast("long")
@@ -220,7 +244,7 @@ def document_shards(docs: DataFrame, leaves: int = 24, how: Limits = Limits()) -
         F.log2(F.octet_length(raw) + F.lit(1)).alias("bytes"),
         (F.octet_length(raw) / F.greatest(F.length(raw), F.lit(1))).alias("per_char"),
         F.xxhash64(raw).alias("tie"),
-        F.xxhash64("doc_id").alias("unit"),
+        F.monotonically_increasing_id().alias("unit"),
         size.alias("weight"),
     )
     placed = shards(stored(points, "texts"), ["bytes", "per_char"], "tie", "unit", leaves, how)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,13 +20,14 @@ _ASCII_LETTERS = np.array([chr(b).isascii() and chr(b).isalpha() for b in range(
 
 @dataclass(frozen=True)
 class Training:
-    """What the network is fitted on and how: at most `docs_per_language` texts of each language, the ones with the
-    lowest hash of their id, and at most `windows_per_doc` windows spread over each whole text."""
+    """What the network is fitted on and how: at most `docs_per_language` different texts of each language, the ones with the
+    lowest hash of id and text, and at most `windows_per_doc` windows spread over each whole text. More than `languages`
+    labels are an error: each has its part of the sample and of the network."""
 
     window: int = 256
     docs_per_language: int = 400
     windows_per_doc: int = 6
-    languages: int = 200
+    languages: int = 2000
     widths: tuple[int, ...] = (2, 3, 4)
     filters: int = 8
     embedding: int = 8
@@ -141,17 +143,40 @@ def _spread_windows(raw: bytes, window: int, most: int) -> list[bytes]:
     return [raw[i * window : (i + 1) * window] for i in picked]
 
 
+def _lowest(keyed: DataFrame, most: int) -> DataFrame:
+    """The `most` lowest different h of each lang, merged in steps: in each task, in 64 parts of a language, in the language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, np.ndarray] = {}
+        for batch in batches:
+            langs = batch.column(0).dictionary_encode()
+            codes, h = langs.indices.to_numpy(), batch.column(1).to_numpy()
+            for i, name in enumerate(langs.dictionary.to_pylist()):
+                kept[name] = np.unique(np.concatenate([kept.get(name, h[:0]), h[codes == i]]))[:most]
+        for name, h in kept.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(h), pa.string()), pa.array(h)], names=["lang", "h"])
+
+    found = keyed.select("lang", "h").mapInArrow(run, "lang string, h long").distinct().withColumn("part", F.pmod("h", F.lit(64)))
+    for keys in (["lang", "part"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("h"))
+        found = found.withColumn("place", place).where(F.col("place") <= most).drop("place")
+    return found.select("lang", "h")
+
+
 def training_windows(docs: DataFrame, how: Training) -> DataFrame:
-    """lang and window (bytes) of the bounded sample, by whole documents that are not held out."""
+    """lang and window (bytes) of the bounded sample, by whole documents that are not held out.
+
+    A document is known by the hash of its id and text: rows that share an id are texts of their own, equal rows are one.
+    """
     usable = docs.where((remainder() != 1) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    keyed = usable.select("doc_id", "lang", F.xxhash64(F.lit(how.seed), "doc_id").alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ranked = keyed.withColumn("n", F.row_number().over(order)).where(F.col("n") <= how.docs_per_language)
-    # Bounded by the two parameters: so many ids of so many languages at most.
-    names = Window.orderBy("lang")
-    chosen = ranked.withColumn("l", F.dense_rank().over(names)).where(F.col("l") <= how.languages)
-    chosen = stored(chosen.select(F.col("doc_id").alias("id"), F.col("lang").alias("name")), "sample")
-    sample = usable.join(F.broadcast(chosen), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("name")))
+    usable = usable.select("lang", "text", F.xxhash64(F.lit(how.seed), "doc_id", "text").alias("h"))
+    chosen = stored(_lowest(usable, how.docs_per_language), "sample")
+    labels = chosen.select("lang").distinct().count()
+    if labels > how.languages:
+        raise ValueError(f"{labels} languages; the network is fitted on {how.languages} at most (Training.languages)")
+    # Bounded by the two parameters: so many hashes of so many languages at most.
+    chosen = F.broadcast(chosen.select(F.col("lang").alias("name"), F.col("h").alias("picked")))
+    sample = usable.join(chosen, (F.col("lang") == F.col("name")) & (F.col("h") == F.col("picked"))).dropDuplicates(["lang", "h"])
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [
