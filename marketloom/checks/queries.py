@@ -91,9 +91,14 @@ def _all_tables(w: Warehouse, names: list[str]) -> dict[str, DataFrame]:
     return {n: w.table(n) for n in names}
 
 
+def _all_rows(w: Warehouse, names: list[str]) -> dict[str, DataFrame]:
+    w.prepare(names)
+    return {n: w.rows(n) for n in names}
+
+
 def _check_tables(w: Warehouse) -> dict[str, DataFrame]:
     names = list(dict.fromkeys(c.table for c in quality.CHECKS))
-    facts = _all_tables(w, [n for n in names if n in DWH_TABLES])
+    facts = _all_rows(w, [n for n in names if n in DWH_TABLES])
     return {"orders": w.raw("orders"), **facts, **{n: w.mart_table(n) for n in names if n in MARTS}}
 
 
@@ -182,7 +187,7 @@ _OTHERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "m7_legacy_delivery": lambda w: w.mart("delivery_performance", on_time=False),
     "m7_legacy_funnel": lambda w: w.mart("marketing_funnel", null_sums=True, conversion=False),
     "q_report": lambda w: quality.check_report(_check_tables(w)).select("check_name", "value", "passed"),
-    "q13_duplicates": lambda w: con.duplicate_keys(_all_tables(w, DWH_TABLES), con.UNIQUE_KEYS["dwh"]),
+    "q13_duplicates": lambda w: con.duplicate_keys(_all_rows(w, DWH_TABLES), con.UNIQUE_KEYS["dwh"]),
     "q13_raw_duplicates": lambda w: con.duplicate_keys(
         {t: w.raw(t) for t in con.UNIQUE_KEYS["raw"]}, con.UNIQUE_KEYS["raw"]
     ),
@@ -193,15 +198,15 @@ _OTHERS: dict[str, Callable[[Warehouse], DataFrame]] = {
         con.findings("staging", _all_tables(w, STAGING_TABLES))
     ),
     "q14_nulls": lambda w: con.null_violations(
-        _all_tables(w, STAGING_TABLES + DWH_TABLES), con.NOT_NULL["staging"] | con.NOT_NULL["dwh"]
+        _all_rows(w, STAGING_TABLES + DWH_TABLES), con.NOT_NULL["staging"] | con.NOT_NULL["dwh"]
     ),
     "q15_checks": lambda w: con.rule_violations(
-        _all_tables(w, STAGING_TABLES + DWH_TABLES), con.VALUE_RULES["staging"] | con.VALUE_RULES["dwh"]
+        _all_rows(w, STAGING_TABLES + DWH_TABLES), con.VALUE_RULES["staging"] | con.VALUE_RULES["dwh"]
     ),
     "q15_raw_checks": lambda w: con.rule_violations(
         {t: w.raw(t) for t in con.VALUE_RULES["raw"]}, con.VALUE_RULES["raw"]
     ),
-    "q16_orphans": lambda w: con.orphans(_all_tables(w, DWH_TABLES)),
+    "q16_orphans": lambda w: con.orphans(_all_tables(w, DWH_TABLES), rows=_all_rows(w, DWH_TABLES)),
     "q20_summary": lambda w: quality.summary(quality.check_report(_check_tables(w))),
     "b1_years": lambda w: bi.available_years(w.mart_table("sales_overview")),
     "b2_filtered_sales": lambda w: w.mart("sales_overview", years=[1996, 1997]),

@@ -1,14 +1,15 @@
 """Validators for the declared keys and rules. Spark does not enforce them on write.
 
-Every validator returns one row per rule with the number of offending rows or keys, and
-combines before it shuffles: duplicates are counted per key, orphans per distinct key.
+Every validator returns one row per rule with the number of offending rows or keys. Duplicates of all
+tables are found in one shuffle of key hashes; references are looked up by bare keys within one scan of the
+referring table; NULLs and value rules are plain aggregates, which a layer's own write can observe (`measures`).
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.operators.quality import measure
@@ -195,25 +196,28 @@ REFERENCES = {
 
 
 def duplicate_keys(tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataFrame:
-    """Rows (table_name, rule, violations): number of complete key values held by more than one row."""
+    """Rows (table_name, rule, violations): number of complete key values held by more than one row.
 
-    rules = {t: f"unique ({', '.join(columns)})" for t, columns in keys.items()}
+    A key is known by 128 bits of hash, so that the keys of all tables go through one narrow shuffle, combined
+    before it; two keys out of 10**12 would be taken for one with a chance of some 10**-15.
+    """
+    rules = [(t, f"unique ({', '.join(columns)})") for t, columns in keys.items()]
 
-    def repeated(table: str, columns: list[str]) -> DataFrame:
-        held = tables[table].dropna(subset=columns).groupBy(*columns).count()
-        return held.where("count > 1").select(
-            F.lit(table).alias("table_name"), F.lit(rules[table]).alias("rule"), F.lit(1).alias("n")
+    def hashed(number: int, table: str, columns: list[str]) -> DataFrame:
+        return tables[table].dropna(subset=columns).select(
+            F.lit(number).cast("short").alias("number"),
+            F.xxhash64(*columns).alias("h1"),
+            F.xxhash64(F.lit(number), *reversed(columns)).alias("h2"),
         )
 
+    held = reduce(DataFrame.unionByName, [hashed(i, t, c) for i, (t, c) in enumerate(keys.items())])
+    repeated = held.groupBy("number", "h1", "h2").count().where("count > 1").select("number", F.lit(1).alias("n"))
     # A zero for every rule keeps those without findings in the report.
-    spark = next(iter(tables.values())).sparkSession
-    zeros = spark.createDataFrame([(t, r, 0) for t, r in rules.items()], "table_name string, rule string, n int")
-    found = [repeated(t, c) for t, c in keys.items()]
-    return (
-        reduce(DataFrame.unionByName, found, zeros)
-        .groupBy("table_name", "rule")
-        .agg(F.sum("n").alias("violations"))
-    )
+    every = repeated.sparkSession.range(len(rules)).select(F.col("id").cast("short").alias("number"), F.lit(0).alias("n"))
+    names = F.array(*[F.struct(F.lit(t).alias("table_name"), F.lit(r).alias("rule")) for t, r in rules])
+    totals = repeated.unionByName(every).groupBy("number").agg(F.sum("n").alias("violations"))
+    named = totals.withColumn("name", names[F.col("number").cast("int")])
+    return named.select("name.table_name", "name.rule", "violations")
 
 
 def _named(table: str, rows: DataFrame) -> DataFrame:
@@ -222,72 +226,76 @@ def _named(table: str, rows: DataFrame) -> DataFrame:
     )
 
 
+def _nulls(columns: list[str]) -> dict[str, Column]:
+    return {f"{c} not null": F.count_if(F.col(c).isNull()) for c in columns}
+
+
+def _broken(predicates: list[str]) -> dict[str, Column]:
+    return {p: F.count_if(F.expr(f"NOT ({p})")) for p in predicates}
+
+
+def measures(layer: str, table: str) -> dict[str, Column]:
+    """Aggregates over a table of `layer` that count the rows breaking its NOT NULLs and value rules."""
+    return _nulls(NOT_NULL[layer].get(table, [])) | _broken(VALUE_RULES[layer].get(table, []))
+
+
 def null_violations(tables: dict[str, DataFrame], mandatory: dict[str, list[str]]) -> DataFrame:
     """Rows (table_name, rule, violations): NULLs in mandatory columns, one pass per table."""
-    parts = [
-        _named(t, measure(tables[t], {f"{c} not null": F.count_if(F.col(c).isNull()) for c in columns}))
-        for t, columns in mandatory.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [_named(t, measure(tables[t], _nulls(c))) for t, c in mandatory.items()])
 
 
 def rule_violations(tables: dict[str, DataFrame], rules: dict[str, list[str]]) -> DataFrame:
     """Rows (table_name, rule, violations): rows for which a rule is false; an unknown outcome passes."""
-    parts = [
-        _named(t, measure(tables[t], {p: F.count_if(F.expr(f"NOT ({p})")) for p in predicates}))
-        for t, predicates in rules.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [_named(t, measure(tables[t], _broken(p))) for t, p in rules.items()])
 
 
-def orphans(tables: dict[str, DataFrame], references: dict[str, dict[str, tuple[str, str]]] = REFERENCES) -> DataFrame:
-    """Rows (table_name, rule, violations): rows whose non-NULL key has no partner.
+def orphans(
+    tables: dict[str, DataFrame],
+    references: dict[str, dict[str, tuple[str, str]]] = REFERENCES,
+    rows: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Rows (table_name, rule, violations): rows whose non-NULL key has no partner; a NULL key needs none.
 
-    Each referring table is read once for all its keys. Uses are counted per key value before
-    anything is shuffled, so the join sees every key once however many rows hold it.
+    Each referring table is read once, its keys only, and meets the keys of one target after the other: Spark
+    broadcasts a small target within the scan, and only a large one moves rows of bare keys. The key of a target is unique.
+    Referring columns are taken from `rows` where it has the table.
     """
+    referring = {**tables, **(rows or {})}
 
-    def uses(table: str, columns: dict[str, tuple[str, str]]) -> DataFrame:
-        entries = [
-            F.struct(
-                F.lit(f"{c} -> {target}").alias("rule"),
-                F.lit(target).alias("target"),
-                F.col(c).cast("bigint").alias("key"),
-            )
-            for c, (target, _) in columns.items()
-        ]
-        return tables[table].select(F.lit(table).alias("table_name"), F.inline(F.array(*entries)))
-
-    used = (
-        reduce(DataFrame.unionByName, [uses(t, c) for t, c in references.items()])
-        .groupBy("table_name", "rule", "target", "key")
-        .count()
-    )
-    # A NULL key needs no partner but keeps its rule in the report, with a count of nothing.
-    targets = dict.fromkeys(x for columns in references.values() for x in columns.values())
-    known = reduce(
-        DataFrame.unionByName,
-        [tables[t].select(F.lit(t).alias("target"), F.col(k).cast("bigint").alias("key")) for t, k in targets],
-    ).withColumn("known", F.lit(True))
-    lost = F.col("key").isNotNull() & F.col("known").isNull()
-    return (
-        used.join(known, ["target", "key"], "left")
-        .groupBy("table_name", "rule")
-        .agg(F.sum(F.when(lost, F.col("count")).otherwise(0)).alias("violations"))
-    )
+    def lost(table: str, columns: dict[str, tuple[str, str]]) -> DataFrame:
+        used = referring[table].select(*(F.col(c).cast("bigint").alias(c) for c in columns))
+        for i, (c, (target, key)) in enumerate(columns.items()):
+            known = tables[target].select(F.col(key).cast("bigint").alias(f"__key_{i}"))
+            used = used.join(known, F.col(c) == F.col(f"__key_{i}"), "left")
+        missing = {f"{c} -> {t}": F.count_if(F.col(c).isNotNull() & F.col(f"__key_{i}").isNull()) for i, (c, (t, _)) in enumerate(columns.items())}
+        return _named(table, measure(used, missing))
+
+    return reduce(DataFrame.unionByName, [lost(t, c) for t, c in references.items()])
 
 
 class ViolationError(RuntimeError):
     """A layer breaks a declared key or rule."""
 
 
-def findings(layer: str, tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows (table_name, rule, violations) of every declared rule of `layer` that is broken; references in dwh only."""
-    parts = [
-        duplicate_keys(tables, UNIQUE_KEYS[layer]),
-        null_violations(tables, NOT_NULL[layer]),
-        rule_violations(tables, VALUE_RULES[layer]),
-    ]
+def findings(
+    layer: str,
+    tables: dict[str, DataFrame],
+    measured: dict[str, dict[str, int]] | None = None,
+    rows: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Rows (table_name, rule, violations) of every declared rule of `layer` that is broken; references in dwh only.
+
+    With `measured`, the counts that the layer's write observed, tables are read for their keys alone. `rows` are the
+    tables without their surrogate keys, where reading those costs a lookup; only the targets of references need them.
+    """
+    plain = {**tables, **(rows or {})}
+    parts = [duplicate_keys(plain, UNIQUE_KEYS[layer])]
+    if measured is None:
+        parts += [null_violations(plain, NOT_NULL[layer]), rule_violations(plain, VALUE_RULES[layer])]
+    else:
+        counted = [(t, r, n) for t, rules in measured.items() for r, n in rules.items() if n]
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(spark.createDataFrame(counted, "table_name string, rule string, violations bigint"))
     if layer == "dwh":
-        parts.append(orphans(tables))
+        parts.append(orphans(tables, REFERENCES, plain))
     return reduce(DataFrame.unionByName, parts).where("violations > 0")

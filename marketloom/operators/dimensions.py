@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.text import label_or_unknown
 from marketloom.functions.timing import date_key
+from marketloom.operators.surrogate import ROW_HASH, ROW_NO
 
 # Names of the Brazilian states by code.
 STATE_NAMES = {
@@ -57,18 +58,52 @@ DATED_COLUMNS = {
 }
 
 
-def date_bounds(staging: dict[str, DataFrame]) -> DataFrame:
-    """First and last day over all dated columns: one aggregate per table, one row each to merge."""
+#: Kind of label -> staging table and column it is drawn from.
+LABELS = {
+    "order_status": ("stg_orders", "order_status"),
+    "payment_type": ("stg_payments", "payment_type"),
+    "marketing_origin": ("stg_marketing_leads", "origin"),
+    "landing_page": ("stg_marketing_leads", "landing_page_id"),
+    "business_segment": ("stg_closed_deals", "business_segment"),
+    "lead_type": ("stg_closed_deals", "lead_type"),
+    "lead_profile": ("stg_closed_deals", "lead_behaviour_profile"),
+}
+
+
+def harvest(staging: dict[str, DataFrame]) -> DataFrame:
+    """kind, label, low, high: every label with the first and last day beside it, each staging table read once.
+
+    Labels are put in rows and combined before the shuffle, so what moves follows the number of labels.
+    A table without labels gives one row of days alone.
+    """
+
+    def found(table: str) -> DataFrame:
+        days = [F.to_date(c) for c in DATED_COLUMNS.get(table, [])] or [F.lit(None).cast("date")]
+        low, high = (f(*days) if len(days) > 1 else days[0] for f in (F.least, F.greatest))
+        kinds = [(k, c) for k, (t, c) in LABELS.items() if t == table] or [(None, None)]
+        label = lambda c: label_or_unknown(c) if c else F.lit(None).cast("string")
+        entries = [F.struct(F.lit(k).cast("string").alias("kind"), label(c).alias("label")) for k, c in kinds]
+        rows = staging[table].select(low.alias("low"), high.alias("high"), F.inline(F.array(*entries)))
+        return rows.groupBy("kind", "label").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+
+    names = dict.fromkeys([*DATED_COLUMNS, *(t for t, _ in LABELS.values())])
+    return reduce(DataFrame.unionByName, [found(t) for t in names])
+
 
-    def span(table: str, columns: list[str]) -> DataFrame:
-        days = [F.to_date(c) if c != "first_contact_date" else F.col(c) for c in columns]
-        low = [F.min(d) for d in days]
-        high = [F.max(d) for d in days]
-        pick = (lambda cols, f: f(*cols) if len(cols) > 1 else cols[0])
-        return staging[table].agg(pick(low, F.least).alias("low"), pick(high, F.greatest).alias("high"))
+def date_bounds(harvested: DataFrame) -> DataFrame:
+    """First and last day over all dated columns."""
+    return harvested.agg(F.min("low").alias("min_date"), F.max("high").alias("max_date"))
 
-    spans = reduce(DataFrame.unionByName, [span(t, c) for t, c in DATED_COLUMNS.items()])
-    return spans.agg(F.min("low").alias("min_date"), F.max("high").alias("max_date"))
+
+def labels(harvested: DataFrame) -> DataFrame:
+    """Distinct (kind, label), with an `unknown` member for blanks and NULLs."""
+    return harvested.where("kind is not null").select("kind", "label").distinct()
+
+
+def label_keys(keyed: DataFrame) -> DataFrame:
+    """kind, label and key = 1..n within each kind, from the rank of (kind, label) over all kinds."""
+    first = keyed.groupBy(F.col("kind").alias("of")).agg(F.min("rank").alias("first"))
+    return keyed.join(first, F.col("kind") == F.col("of")).select("kind", "label", (F.col("rank") - F.col("first") + 1).alias("key"))
 
 
 def calendar(bounds: DataFrame) -> DataFrame:
@@ -129,6 +164,11 @@ def cities(places: DataFrame, dim_state: DataFrame) -> DataFrame:
     )
 
 
+def _own(stg: DataFrame) -> list[str]:
+    """Columns that only order rows."""
+    return [c for c in stg.columns if c in (ROW_HASH, ROW_NO)]
+
+
 def _with_place_keys(df: DataFrame, dim_state: DataFrame, dim_city: DataFrame) -> DataFrame:
     """Resolve the row's own state code, then its city within that state; misses give NULL keys."""
     return df.join(dim_state.select("state_code", "state_key"), "state_code", "left").join(
@@ -166,13 +206,13 @@ def customers(
     """City and state come from the customer row, the zip only adds its own key."""
     return _with_place_keys(
         stg.join(dim_zip.select("zip_prefix", "zip_prefix_key"), "zip_prefix", "left"), dim_state, dim_city
-    ).select("customer_id", "customer_unique_id", "zip_prefix_key", "city_key", "state_key")
+    ).select("customer_id", "customer_unique_id", "zip_prefix_key", "city_key", "state_key", *_own(stg))
 
 
 def sellers(stg: DataFrame, dim_zip: DataFrame, dim_state: DataFrame, dim_city: DataFrame) -> DataFrame:
     return _with_place_keys(
         stg.join(dim_zip.select("zip_prefix", "zip_prefix_key"), "zip_prefix", "left"), dim_state, dim_city
-    ).select("seller_id", "zip_prefix_key", "city_key", "state_key")
+    ).select("seller_id", "zip_prefix_key", "city_key", "state_key", *_own(stg))
 
 
 def products(stg: DataFrame, dim_category: DataFrame) -> DataFrame:
@@ -182,11 +222,6 @@ def products(stg: DataFrame, dim_category: DataFrame) -> DataFrame:
     ).select("product_id", "product_category_key", *measures)
 
 
-def labels(stg: DataFrame, column: str, alias: str | None = None) -> DataFrame:
-    """Distinct values of a descriptive column, with an `unknown` member for blanks and NULLs."""
-    return stg.select(label_or_unknown(column).alias(alias or column)).distinct()
-
-
 def sales_reps(deals: DataFrame) -> DataFrame:
     """Distinct (id, role); the same id may hold both roles. One scan serves both roles."""
     roles = F.array(

@@ -4,20 +4,37 @@
 the row alone. Only the first needs other tables, so whatever is shuffled or sampled in between
 carries the source columns and keys, and the derived ones are computed afterwards.
 
+Items and payments also carry the purchase day of their order, and items its status. These columns and the
+purchase year are stored with the facts but hidden (`HIDDEN_COLUMNS`): sales and payments are grouped by
+them without going back to the orders, and files are split by year.
+
 Every lookup is a left join against a table that is unique on the joined column, so rows are
-never lost or multiplied. Spark broadcasts a dimension when its files are small enough and
+never lost or multiplied (a table that broke its key could multiply them: the runner's gate stops
+before that, unless it was told to go on). Spark broadcasts a dimension when its files are small enough and
 otherwise shuffles; adaptive execution then splits a hot key or the NULL group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.text import UNKNOWN, has_content
 from marketloom.functions.timing import DAY, HOUR, date_key, elapsed
 
 
+ORDER_DAY, ORDER_STATUS, YEAR = "order_purchase_date_key", "order_status_key", "purchase_year"
+HIDDEN_COLUMNS = {
+    "fact_orders": [YEAR],
+    "fact_order_items": [ORDER_DAY, ORDER_STATUS, YEAR],
+    "fact_payments": [ORDER_DAY, YEAR],
+}
+
+
+def _year_of(day: str) -> Column:
+    return F.floor(F.col(day) / 10000).cast("int").alias(YEAR)
+
+
 def _lookup(df: DataFrame, dim: DataFrame, on: dict[str, str], keys: dict[str, str]) -> DataFrame:
     """Left join on `fact column -> dimension column`, adding `new name -> dimension key`."""
     right = dim.select(
@@ -123,13 +140,15 @@ def measure_orders(df: DataFrame) -> DataFrame:
         (F.col(delivered) <= F.col(promised)).alias("is_delivered_on_time"),
         F.col(delivered).isNotNull().alias("is_delivered"),
         F.lit(1).alias("order_count"),
+        F.year(bought).alias(YEAR),
     )
 
 
 def resolve_order_items(
     stg: DataFrame, fact_orders: DataFrame, dim_product: DataFrame, dim_seller: DataFrame
 ) -> DataFrame:
-    out = _lookup(stg, fact_orders, {"order_id": "order_id"}, {"order_key": "order_key"})
+    order = {"order_key": "order_key", ORDER_DAY: "purchase_date_key", ORDER_STATUS: "order_status_key"}
+    out = _lookup(stg, fact_orders, {"order_id": "order_id"}, order)
     out = _lookup(out, dim_product, {"product_id": "product_id"}, {"product_key": "product_key"})
     out = _lookup(out, dim_seller, {"seller_id": "seller_id"}, {"seller_key": "seller_key"})
     return out.drop("product_id", "seller_id")
@@ -150,12 +169,16 @@ def measure_order_items(df: DataFrame) -> DataFrame:
         "freight_value",
         total.cast("decimal(12,2)").alias("total_item_value"),
         F.lit(1).alias("item_count"),
+        ORDER_DAY,
+        ORDER_STATUS,
+        _year_of(ORDER_DAY),
     )
 
 
 def resolve_payments(stg: DataFrame, fact_orders: DataFrame, dim_payment_type: DataFrame) -> DataFrame:
     """As for order status, a blank payment type keeps a NULL key and a missing one is `unknown`."""
-    out = _lookup(stg, fact_orders, {"order_id": "order_id"}, {"order_key": "order_key"})
+    order = {"order_key": "order_key", ORDER_DAY: "purchase_date_key"}
+    out = _lookup(stg, fact_orders, {"order_id": "order_id"}, order)
     out = out.withColumn("type_label", F.coalesce("payment_type", F.lit(UNKNOWN)))
     return _lookup(out, dim_payment_type, {"type_label": "payment_type"}, {"payment_type_key": "payment_type_key"})
 
@@ -169,6 +192,8 @@ def measure_payments(df: DataFrame) -> DataFrame:
         "payment_installments",
         "payment_value",
         F.lit(1).alias("payment_count"),
+        ORDER_DAY,
+        _year_of(ORDER_DAY),
     )
 
 

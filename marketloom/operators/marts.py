@@ -5,8 +5,12 @@ attributes, so the lookups touch a few thousand rows whatever the size of the fa
 left joins: unresolved keys end up in a NULL group. Sums stay decimal and durations are summed
 as exact decimals, so a result does not depend on the order in which partitions arrive.
 
-`years` limits a mart to calendar years by a range on the date key of the fact, which reaches
-the Parquet scan; rows without a date then drop out, as with a filter on the result.
+Sales and deliveries come from one rollup by purchase day and status (`order_days`), a few thousand rows from which
+every month, year selection and legacy form follows. It and the payments are grouped by the order's day, which
+items and payments carry, so no mart joins a fact to the orders.
+
+`years` limits a mart to calendar years by a range on the date key, and payments also by the year that their files are
+split by, so that other years are not read; rows without a date then drop out, as with a filter on the result.
 `null_sums` keeps the sum of nothing as NULL instead of 0.
 """
 
@@ -19,6 +23,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.text import UNKNOWN
 from marketloom.functions.timing import DAY, elapsed_seconds
+from marketloom.operators.facts import ORDER_DAY, ORDER_STATUS, YEAR
 
 MONTH = ["year_number", "month_number", "month_name"]
 
@@ -44,18 +49,32 @@ def _with_month(df: DataFrame, date_key: str, dim_date: DataFrame) -> DataFrame:
     return df.join(days, date_key, "left")
 
 
-def sales_overview(
-    fact_orders: DataFrame,
-    fact_items: DataFrame,
-    dim_date: DataFrame,
-    dim_status: DataFrame,
-    years: list[int] | None = None,
-    null_sums: bool = False,
-) -> DataFrame:
-    """Monthly sales by order status. A line without price or freight has no gross revenue."""
-    per_order = (
+_SALES = ("orders", "items", "price", "freight", "revenue")
+_DELIVERY = ("delivered", "taken", "taken_n", "late", "late_n", "punctual")
+
+
+def order_days(fact_orders: DataFrame, fact_items: DataFrame) -> DataFrame:
+    """Counts and sums by purchase day and status of the order: each fact is read and grouped once.
+
+    fact_orders holds one row per order, so counting rows counts distinct orders. An order that was not
+    delivered has no part in the delivery figures; an unknown punctuality counts as late.
+    """
+    by = ["purchase_date_key", "order_status_key"]
+    delivered = F.col("order_delivered_customer_ts").isNotNull()
+    taken = elapsed_seconds("order_purchase_ts", "order_delivered_customer_ts")
+    late = elapsed_seconds("order_estimated_delivery_ts", "order_delivered_customer_ts")
+    orders = fact_orders.groupBy(*by).agg(
+        F.count("*").alias("orders"),
+        F.count_if(delivered).alias("delivered"),
+        F.sum(taken).alias("taken"),
+        F.count(taken).alias("taken_n"),
+        F.sum(late).alias("late"),
+        F.count(late).alias("late_n"),
+        F.count_if(delivered & F.col("is_delivered_on_time")).alias("punctual"),
+    )
+    items = (
         fact_items.where(F.col("order_key").isNotNull())
-        .groupBy("order_key")
+        .groupBy(F.col(ORDER_DAY).alias(by[0]), F.col(ORDER_STATUS).alias(by[1]))
         .agg(
             F.count("*").alias("items"),
             F.sum("item_price").alias("price"),
@@ -63,28 +82,30 @@ def sales_overview(
             F.sum(F.col("item_price") + F.col("freight_value")).alias("revenue"),
         )
     )
-    orders = _in_years(fact_orders.select("order_key", "purchase_date_key", "order_status_key"), "purchase_date_key", years)
-    # fact_orders holds one row per order, so counting rows counts distinct orders.
-    by_key = (
-        orders.join(per_order, "order_key", "left")
-        .groupBy("purchase_date_key", "order_status_key")
-        .agg(
-            F.count("*").alias("orders"),
-            F.sum("items").alias("items"),
-            *[F.sum(c).alias(c) for c in ("price", "freight", "revenue")],
-        )
-    )
-    return (
-        _with_month(by_key, "purchase_date_key", dim_date)
-        .join(dim_status.select("order_status_key", "order_status"), "order_status_key", "left")
-        .groupBy(*MONTH, "order_status")
-        .agg(
-            F.sum("orders").alias("order_count"),
-            F.coalesce(F.sum("items"), F.lit(0)).alias("item_count"),
-            _total("price", null_sums).alias("gross_item_value"),
-            _total("freight", null_sums).alias("gross_freight_value"),
-            _total("revenue", null_sums).alias("gross_revenue"),
-        )
+    both = orders.unionByName(items, allowMissingColumns=True)
+    return both.groupBy(*by).agg(*(F.sum(c).alias(c) for c in (*_SALES, *_DELIVERY)))
+
+
+def _by_month_and_status(days: DataFrame, dim_date: DataFrame, dim_status: DataFrame):
+    named = _with_month(days, "purchase_date_key", dim_date)
+    statuses = dim_status.select("order_status_key", "order_status")
+    return named.join(statuses, "order_status_key", "left").groupBy(*MONTH, "order_status")
+
+
+def sales_overview(
+    days: DataFrame,
+    dim_date: DataFrame,
+    dim_status: DataFrame,
+    years: list[int] | None = None,
+    null_sums: bool = False,
+) -> DataFrame:
+    """Monthly sales by order status, from `order_days`. A line without price or freight has no gross revenue."""
+    return _by_month_and_status(_in_years(days, "purchase_date_key", years), dim_date, dim_status).agg(
+        F.sum("orders").alias("order_count"),
+        F.coalesce(F.sum("items"), F.lit(0)).alias("item_count"),
+        _total("price", null_sums).alias("gross_item_value"),
+        _total("freight", null_sums).alias("gross_freight_value"),
+        _total("revenue", null_sums).alias("gross_revenue"),
     )
 
 
@@ -128,24 +149,17 @@ def sales_by_category(fact_items: DataFrame, dim_product: DataFrame, dim_categor
 
 def payment_analysis(
     fact_payments: DataFrame,
-    fact_orders: DataFrame,
     dim_date: DataFrame,
     dim_payment_type: DataFrame,
     years: list[int] | None = None,
     null_sums: bool = False,
 ) -> DataFrame:
     """Payments by purchase month of their order, type and number of installments."""
-    bought = _in_years(fact_orders.select("order_key", "purchase_date_key"), "purchase_date_key", years)
-    paid = fact_payments.select("order_key", "payment_type_key", "payment_installments", "payment_value")
-    # With a year filter a payment needs a matching order; without one it may have none.
-    by_key = (
-        paid.join(bought, "order_key", "inner" if years else "left")
-        .groupBy("purchase_date_key", "payment_type_key", "payment_installments")
-        .agg(
-            F.count("*").alias("payments"),
-            F.sum("payment_value").alias("value"),
-            F.count("payment_value").alias("valued"),
-        )
+    paid = fact_payments.where(F.col(YEAR).isin(years)) if years else fact_payments
+    by_key = paid.groupBy(F.col(ORDER_DAY).alias("purchase_date_key"), "payment_type_key", "payment_installments").agg(
+        F.count("*").alias("payments"),
+        F.sum("payment_value").alias("value"),
+        F.count("payment_value").alias("valued"),
     )
     return (
         _with_month(by_key, "purchase_date_key", dim_date)
@@ -174,40 +188,23 @@ def customer_satisfaction(fact_reviews: DataFrame, dim_date: DataFrame, years: l
 
 
 def delivery_performance(
-    fact_orders: DataFrame,
+    days: DataFrame,
     dim_date: DataFrame,
     dim_status: DataFrame,
     years: list[int] | None = None,
     on_time: bool = True,
 ) -> DataFrame:
-    """Delivered orders by purchase month and status; an unknown punctuality counts as late."""
-    delivered = _in_years(
-        fact_orders.where(F.col("order_delivered_customer_ts").isNotNull()), "purchase_date_key", years
-    )
-    taken = elapsed_seconds("order_purchase_ts", "order_delivered_customer_ts")
-    late = elapsed_seconds("order_estimated_delivery_ts", "order_delivered_customer_ts")
-    by_key = delivered.groupBy("purchase_date_key", "order_status_key").agg(
-        F.count("*").alias("orders"),
-        F.sum(taken).alias("taken"),
-        F.count(taken).alias("taken_n"),
-        F.sum(late).alias("late"),
-        F.count(late).alias("late_n"),
-        F.count_if("is_delivered_on_time").alias("punctual"),
-    )
-    days = lambda total, n: _mean(total, n) / F.lit(float(DAY))
+    """Delivered orders by purchase month and status, from `order_days`; an unknown punctuality counts as late."""
+    delivered = _in_years(days.where("delivered > 0"), "purchase_date_key", years)
+    mean = lambda total, n: _mean(total, n) / F.lit(float(DAY))
     measures = [
-        F.sum("orders").alias("delivered_orders"),
-        days("taken", "taken_n").alias("avg_days_purchase_to_delivery"),
-        days("late", "late_n").alias("avg_days_vs_estimate"),
+        F.sum("delivered").alias("delivered_orders"),
+        mean("taken", "taken_n").alias("avg_days_purchase_to_delivery"),
+        mean("late", "late_n").alias("avg_days_vs_estimate"),
     ]
     if on_time:
-        measures.append(_mean("punctual", "orders").alias("on_time_rate"))
-    return (
-        _with_month(by_key, "purchase_date_key", dim_date)
-        .join(dim_status.select("order_status_key", "order_status"), "order_status_key", "left")
-        .groupBy(*MONTH, "order_status")
-        .agg(*measures)
-    )
+        measures.append(_mean("punctual", "delivered").alias("on_time_rate"))
+    return _by_month_and_status(delivered, dim_date, dim_status).agg(*measures)
 
 
 def marketing_funnel(

@@ -1,81 +1,111 @@
-"""Dense surrogate keys without funnelling a table through one task."""
+"""Dense surrogate keys without funnelling a table through one task, each table written once.
+
+A keyed table is a folder: `rows`, the table in key order with each row's position, `slices`, the
+number of rows before each written slice, and `schema.json`. Its key is
+`rows before the slice + position + 1`, read with one small lookup and no shuffle.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from marketloom.sources.files import path_exists, read_text, write_text
 
 POSITION = "__position"
-COPY_NO = "__copy_no"
 ROW_HASH = "__row_hash"
+ROW_NO = "__row_no"
 _SLICE_BITS = 33
 _ROW_MASK = (1 << _SLICE_BITS) - 1
-_COPIES_PER_CHUNK = 4096
+_SLICE = "__slice"
+#: Field metadata of columns that are stored for the library's own plans and not part of the declared table.
+HIDDEN = "hidden"
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """Add ROW_HASH (of all columns) and ROW_NO, which tell rows apart that share every declared ordering column.
+
+    `df` must come straight from a scan, so that a task that is run again numbers its rows alike. Rows
+    that differ are ordered by their hash, whatever task they come from; only rows alike in all columns are
+    told apart by number, and which of them gets which key is of no consequence.
+    """
+    return df.select("*", F.xxhash64(*df.columns).alias(ROW_HASH), F.monotonically_increasing_id().alias(ROW_NO))
 
 
-def dense_key(
+def write_keyed(
     df: DataFrame,
     key_name: str,
     order_by: list[str],
     path: str,
     derive: Callable[[DataFrame], DataFrame] | None = None,
+    hidden: list[str] | None = None,
+    split_by: str | None = None,
+    observe: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Add `key_name` = 1..n, the rank of each row in ascending `order_by` (NULLs last).
-
-    Rows are range-partitioned, sorted inside each partition and written to `path` together
-    with their position, so the ranges can never be drawn anew between the passes and a lost
-    executor only means re-reading files. A key is then `rows in earlier slices + position + 1`.
-    The driver sees one row count per written slice, nothing else, and reading the keyed table
-    needs neither a join nor a shuffle. `order_by` must identify a row (see `number_copies`).
-    `derive` is a row-by-row projection to the final columns; it runs after the shuffle, so that
-    neither the shuffle nor the sampling for its ranges carries derived columns.
+    """Write `df` below `path` so that `key_name` = 1..n is the rank of each row in ascending `order_by` (NULLs last).
+
+    Rows are range-partitioned, sorted inside each partition and written together with their position, so
+    the ranges can never be drawn anew and a lost executor only means reading files. Where `df` is `numbered`, rows that
+    share all of `order_by` follow by hash and number: a key that a third of all rows share is spread
+    over tasks, and its rows have the same ranks on every run.
+
+    `derive` is a row-by-row projection to the final columns; it runs after the shuffle, so that neither the shuffle nor
+    the sampling for its ranges carries derived columns. `hidden` columns are stored but not part of the table;
+    `split_by`, one of them, also splits the files into folders, which a filter on it prunes. `observe` may attach metrics.
     """
-    order = [F.col(c).asc_nulls_last() for c in order_by]
+    total = [*order_by, *(c for c in (ROW_HASH, ROW_NO) if c in df.columns)]
+    order = [F.col(c).asc_nulls_last() for c in total]
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    final = derive(ranged) if derive else ranged
+    final = derive(ranged) if derive else ranged.drop(ROW_HASH, ROW_NO)
     placed = final.withColumn(POSITION, F.monotonically_increasing_id())
-    placed.write.parquet(path)
-    stored = df.sparkSession.read.schema(placed.schema).parquet(path)
-    slice_no = F.shiftright(POSITION, _SLICE_BITS).cast("int")
-    rank = F.col(POSITION).bitwiseAND(F.lit(_ROW_MASK)) + 1
-    if len(stored.inputFiles()) > 1:
-        sizes = stored.groupBy(slice_no.alias("slice")).count().collect()
-        rank = rank + _rows_before({r["slice"]: r["count"] for r in sizes}, slice_no)
-    return stored.select(rank.alias(key_name), *final.columns)
-
-
-def _rows_before(sizes: dict[int, int], slice_no: Column) -> Column:
-    before, total = [], 0
-    for s in range(max(sizes, default=0) + 1):
-        before.append(total)
-        total += sizes.get(s, 0)
-    table = F.expr("array(" + ",".join(f"{n}L" for n in before) + ")")
-    return table[slice_no]
-
-
-def number_copies(df: DataFrame) -> DataFrame:
-    """Add ROW_HASH and COPY_NO, which tell rows apart that share every other ordering column.
-
-    COPY_NO counts fully identical rows. ROW_HASH stands for the whole row, so that long texts
-    need not be sorted by, nor sampled to the driver for range bounds.
-
-    Copies are first counted (combined before the shuffle), and written out again in chunks that
-    are spread over the cluster: a row with a third of all copies neither meets in one task nor
-    is expanded by one.
-    """
-    columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count("*").alias("__copies"))
-    chunks = counted.select(
-        *columns,
-        "__copies",
-        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies"), F.lit(_COPIES_PER_CHUNK).cast("bigint"))).alias("__first"),
-    )
-    # Only chunks of large groups move; single rows stay where the counting left them.
-    spread = chunks.where(F.col("__copies") > _COPIES_PER_CHUNK).repartition(*columns, "__first")
-    rest = chunks.where(F.col("__copies") <= _COPIES_PER_CHUNK)
-    last = F.least(F.col("__first") + (_COPIES_PER_CHUNK - 1), F.col("__copies"))
-    return rest.unionByName(spread).select(
-        *columns, F.xxhash64(*columns).alias(ROW_HASH), F.explode(F.sequence("__first", last)).alias(COPY_NO)
-    )
+    writer = (observe(placed) if observe else placed).write
+    (writer.partitionBy(split_by) if split_by else writer).parquet(f"{path}/rows")
+    spark = df.sparkSession
+    schema = StructType([*(f for f in placed.schema if f.name != split_by), *(f for f in placed.schema if f.name == split_by)])
+    _slices(spark.read.schema(schema).parquet(f"{path}/rows"), key_name).write.parquet(f"{path}/slices")
+    for f in schema:
+        f.metadata = {HIDDEN: True} if f.name in (hidden or ()) else {}
+    write_text(spark, f"{path}/schema.json", schema.json())
+    return read_keyed(spark, path, key_name, schema)
+
+
+def _slices(rows: DataFrame, key_name: str) -> DataFrame:
+    """One row per written slice: the number of rows before it, named like the key. The window runs over these rows alone."""
+    sizes = rows.groupBy(F.shiftright(POSITION, _SLICE_BITS).alias(_SLICE)).count()
+    before = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(_SLICE, F.coalesce(F.sum("count").over(before), F.lit(0)).alias(key_name)).coalesce(1)
+
+
+def is_keyed(spark: SparkSession, path: str) -> bool:
+    return path_exists(spark, f"{path}/schema.json")
+
+
+def read_keyed(
+    spark: SparkSession, path: str, key_name: str | None = None, schema: StructType | None = None, hidden: bool = False
+) -> DataFrame:
+    """The keyed table below `path`, key first; with `hidden` also its hidden columns."""
+    schema = schema or StructType.fromJson(json.loads(read_text(spark, f"{path}/schema.json")))
+    slices = spark.read.parquet(f"{path}/slices") if key_name is None else spark.read.schema(
+        StructType([StructField(_SLICE, LongType()), StructField(key_name, LongType())])
+    ).parquet(f"{path}/slices")
+    key_name = slices.columns[1]
+    rows = spark.read.schema(schema).parquet(f"{path}/rows")
+    columns = [f.name for f in schema if f.name != POSITION and (hidden or not f.metadata.get(HIDDEN))]
+    before = slices.select(F.col(_SLICE).alias("__of"), F.col(key_name).alias("__before"))
+    placed = rows.join(before, F.shiftright(POSITION, _SLICE_BITS) == F.col("__of"))
+    rank = F.col("__before") + F.col(POSITION).bitwiseAND(F.lit(_ROW_MASK)) + 1
+    return placed.select(rank.alias(key_name), *columns)
+
+
+def keyed_rows(spark: SparkSession, path: str) -> DataFrame:
+    """All stored columns of the keyed table below `path` but its key, without the lookup."""
+    return spark.read.schema(StructType.fromJson(json.loads(read_text(spark, f"{path}/schema.json")))).parquet(f"{path}/rows")
+
+
+def dense_key(df: DataFrame, key_name: str, order_by: list[str], path: str, derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """`df` with its dense key, written below `path` and read back."""
+    return write_keyed(df, key_name, order_by, path, derive)

@@ -8,10 +8,10 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from marketloom.operators import constraints, quality
-from marketloom.plans.warehouse import DWH_TABLES, MARTS, STAGING_TABLES, Warehouse
+from marketloom.plans.warehouse import DWH_TABLES, MARTS, ROLLUP, STAGING_TABLES, Warehouse
 from marketloom.session import build_session
 from marketloom.sources.csv_files import FREE_TEXT, load_all_raw
-from marketloom.sources.layers import LayerStore, publish_views
+from marketloom.sources.layers import LayerStore, Observed, publish_views
 from marketloom.sources.schemas import RAW_TABLES, raw_schema
 
 logger = logging.getLogger(__name__)
@@ -57,19 +57,22 @@ class Runner:
     def raw(self) -> None:
         if not self.source_dir:
             raise ValueError("the raw step needs a source folder")
+        measures = lambda table: constraints.measures("raw", table)
         load_all_raw(
-            self.spark, self.source_dir, self.store, self.file_pattern, self.file_names, self.multiline
+            self.spark, self.source_dir, self.store, self.file_pattern, self.file_names, self.multiline, measures
         )
         self.store.drop_old_runs("raw", self.keep_runs)
 
     def staging(self) -> None:
         raw = self.store.read_layer("raw", RAW_TABLES)
-        self.store.write_layer("staging", Warehouse(self.spark, raw).staging_layer())
+        measures = lambda table: constraints.measures("staging", table)
+        self.store.write_layer("staging", Warehouse(self.spark, raw).staging_layer(), measures=measures)
         self.store.drop_old_runs("staging", self.keep_runs)
 
-    def gate(self, layer: str, tables: dict[str, DataFrame]) -> None:
-        """Stop with table, rule and count when `tables` break what is declared for `layer`."""
-        broken = constraints.findings(layer, tables).orderBy("table_name", "rule").collect()
+    def gate(self, layer: str, run: str, names: list[str], measured: dict[str, dict[str, int]] | None) -> None:
+        """Stop with table, rule and count when the tables of `run` break what is declared for `layer`."""
+        tables, rows = self.store.read_run(run, names), self.store.read_rows(run, names)
+        broken = constraints.findings(layer, tables, measured, rows).orderBy("table_name", "rule").collect()
         texts = [f"{r.table_name}: {r.rule} ({r.violations})" for r in broken]
         for text in texts:
             logger.warning("%s breaks a declared rule, %s", layer, text)
@@ -77,24 +80,40 @@ class Runner:
             raise constraints.ViolationError(f"layer {layer} breaks declared rules: {'; '.join(texts)}")
 
     def dwh(self) -> None:
-        """Build dimensions and facts from a staging layer that keeps its rules; a dwh that breaks its own is not kept."""
+        """Build dimensions and facts from a staging layer that keeps its rules; a dwh that breaks its own is not kept.
+
+        Each table is written once, into the run's folder, and its NULLs and value rules are counted by that write.
+        """
         staging = self.store.read_layer("staging", STAGING_TABLES)
-        self.gate("raw", self.store.read_layer("raw", RAW_TABLES))
-        self.gate("staging", staging)
-        warehouse = Warehouse(self.spark, ready=staging)
-        try:
-            warehouse.prepare(DWH_TABLES)
-            self.store.write_layer("dwh", warehouse.dwh_layer(), accept=lambda tables: self.gate("dwh", tables))
-        finally:
-            warehouse.drop_work_files()
+        for layer, names in (("raw", RAW_TABLES), ("staging", STAGING_TABLES)):
+            self.gate(layer, self.store.current(layer), names, self.store.measured(layer))
+
+        def build(run: str, observed: Observed) -> None:
+            warehouse = Warehouse(self.spark, ready=staging, run_folder=run, observe=observed.attach)
+            try:
+                warehouse.prepare([*DWH_TABLES, ROLLUP])
+            finally:
+                warehouse.drop_work_files()
+
+        self.store.build_layer(
+            "dwh",
+            build,
+            accept=lambda run, measured: self.gate("dwh", run, DWH_TABLES, measured),
+            measures=lambda table: constraints.measures("dwh", table),
+        )
         self.store.drop_old_runs("dwh", self.keep_runs)
 
+    def _warehouse(self) -> Warehouse:
+        """The current dwh tables as the marts' plans need them: with hidden columns and the rollup."""
+        run, names = self.store.current("dwh"), [*DWH_TABLES, ROLLUP]
+        return Warehouse(self.spark, ready=self.store.read_run(run, names, hidden=True), ready_rows=self.store.read_rows(run, names))
+
     def marts(self) -> dict[str, DataFrame]:
         """Write the marts as a layer and publish them as views `marts_<name>`.
 
         Without `store_marts` they are only views of this session, evaluated when read.
         """
-        warehouse = Warehouse(self.spark, ready=self.store.read_layer("dwh", DWH_TABLES))
+        warehouse = self._warehouse()
         views = {m: warehouse.mart(m) for m in MARTS}
         if self.store_marts:
             self.store.write_layer("marts", views)
@@ -109,7 +128,7 @@ class Runner:
         if self.store.runs("marts"):
             marts = self.store.read_layer("marts", MARTS)
         else:
-            warehouse = Warehouse(self.spark, ready=dwh)
+            warehouse = self._warehouse()
             marts = {m: warehouse.mart(m) for m in MARTS}
         tables = {"orders": self.store.read("raw", "orders"), **dwh, **marts}
         return quality.run_checks(tables, fail_fast, quality.CHECKS)

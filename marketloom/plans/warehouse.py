@@ -8,13 +8,14 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketloom.operators import dimensions as dim
 from marketloom.operators import facts, marts
 from marketloom.operators import staging as stg
-from marketloom.operators.surrogate import COPY_NO, ROW_HASH, dense_key, number_copies
+from marketloom.operators.surrogate import dense_key, keyed_rows, numbered, read_keyed, write_keyed
 from marketloom.session import new_work_folder
-from marketloom.sources.layers import delete_folder
+from marketloom.sources.files import delete_folder
 
 # staging table -> raw table
 STAGING_SOURCES = {
@@ -52,7 +53,7 @@ KEYS = {
     "fact_marketing_leads": ("marketing_lead_key", ["mql_id"]),
     "fact_closed_deals": ("closed_deal_key", ["mql_id"]),
     "fact_orders": ("order_key", ["order_id"]),
-    # Ties beyond the declared natural key are only needed when it is violated.
+    # Ties beyond the declared natural key are only needed when it is violated; what still ties goes by row hash.
     "fact_order_items": (
         "order_item_key",
         ["order_id", "order_item_id", "product_key", "seller_key", "shipping_limit_ts", "price", "freight_value"],
@@ -72,15 +73,27 @@ MEASURES = {
     "fact_payments": facts.measure_payments,
     "fact_reviews": facts.measure_reviews,
 }
-# Tables without a declared unique key may hold any number of identical rows. A source that
-# breaks its declared key with many copies can be added when opening the warehouse.
-KEYLESS = frozenset({"fact_reviews"})
-
 DWH_TABLES = ["dim_date", *KEYS]
+#: Sums by purchase day and status that marts are drawn from; stored beside the facts.
+ROLLUP = "order_days"
+
+# Label dimension -> kind of its labels; all of them are keyed in one table.
+LABEL_DIMENSIONS = {
+    "dim_order_status": "order_status",
+    "dim_payment_type": "payment_type",
+    "dim_marketing_origin": "marketing_origin",
+    "dim_landing_page": "landing_page",
+    "dim_business_segment": "business_segment",
+    "dim_lead_type": "lead_type",
+    "dim_lead_profile": "lead_profile",
+}
 
 # Written tables that must exist before a table or mart is built; each group is independent
 # enough to be written at the same time.
 NEEDS = {
+    "dim_date": ["harvest"],
+    "labels": ["harvest"],
+    **dict.fromkeys(LABEL_DIMENSIONS, ["labels"]),
     "dim_state": ["places"],
     "dim_city": ["dim_state"],
     "dim_zip_prefix": ["dim_city"],
@@ -95,11 +108,12 @@ NEEDS = {
     "fact_order_items": ["fact_orders", "dim_product", "dim_seller"],
     "fact_payments": ["fact_orders", "dim_payment_type"],
     "fact_reviews": ["fact_orders"],
-    "sales_overview": ["fact_order_items", "dim_date"],
+    "order_days": ["fact_order_items"],
+    "sales_overview": ["order_days", "dim_date", "dim_order_status"],
     "sales_by_category": ["fact_order_items"],
     "payment_analysis": ["fact_payments", "dim_date"],
     "customer_satisfaction": ["fact_reviews", "dim_date"],
-    "delivery_performance": ["fact_orders", "dim_date"],
+    "delivery_performance": ["order_days", "dim_date", "dim_order_status"],
     "marketing_funnel": ["fact_marketing_leads", "fact_closed_deals", "dim_date"],
 }
 MARTS = [
@@ -115,8 +129,10 @@ MARTS = [
 class Warehouse:
     """Lazily wired tables over a raw layer (or over ready staging / dwh tables).
 
-    Staging tables and marts are plain plans. A table with a surrogate key is written once to
-    the work folder in key order when it is first asked for, and read from there afterwards.
+    Staging tables and marts are plain plans. A table with a surrogate key is written once, in key order,
+    when it is first asked for, and read from there afterwards: below `run_folder` under its own name if
+    that is given (it then is the layer's table), else in the work folder. `observe` may attach metrics to a
+    write, by table name.
     """
 
     def __init__(
@@ -124,14 +140,18 @@ class Warehouse:
         spark: SparkSession,
         raw: dict[str, DataFrame] | None = None,
         ready: dict[str, DataFrame] | None = None,
+        ready_rows: dict[str, DataFrame] | None = None,
         work_folder: str | None = None,
-        keyless: frozenset[str] = KEYLESS,
+        run_folder: str | None = None,
+        observe: Callable[[str, DataFrame], DataFrame] | None = None,
     ):
         self.spark = spark
         self._raw = raw or {}
         self._tables: dict[str, DataFrame] = dict(ready or {})
+        self._rows: dict[str, DataFrame] = dict(ready_rows or {})
         self._work_folder = work_folder
-        self._keyless = keyless
+        self._run_folder = run_folder
+        self._observe = observe or (lambda name, df: df)
         self._builders = self._wire()
         self._locks = {n: threading.Lock() for n in ["work folder", *self._builders, *[f"{m} table" for m in MARTS]]}
 
@@ -147,19 +167,30 @@ class Warehouse:
         if self._work_folder is not None:
             delete_folder(self.spark, self._work_folder)
             self._work_folder = None
-            self._tables.clear()
+        self._tables.clear()
+        self._rows.clear()
 
     def raw(self, name: str) -> DataFrame:
         return self._raw[name]
 
     def table(self, name: str) -> DataFrame:
+        """The table with its declared columns."""
+        return self.whole(name).drop(*facts.HIDDEN_COLUMNS.get(name, []))
+
+    def rows(self, name: str) -> DataFrame:
+        """All stored columns of a table but its own key: what plans read that do not need that key, without its lookup."""
+        whole = self.whole(name)
+        return self._rows.get(name, whole)
+
+    def whole(self, name: str) -> DataFrame:
+        """The table with its hidden columns."""
         if name in self._tables:
             return self._tables[name]
         self.prepare(NEEDS.get(name, []))
         with self._locks[name]:
             if name not in self._tables:
                 df = self._builders[name]()
-                self._tables[name] = self._keyed(name, df) if name in KEYS else df
+                self._tables[name] = self._keyed(name, df) if name in KEYS and name not in LABEL_DIMENSIONS else df
         return self._tables[name]
 
     def prepare(self, names: Iterable[str]) -> None:
@@ -199,42 +230,50 @@ class Warehouse:
 
     def _keyed(self, name: str, df: DataFrame) -> DataFrame:
         key, order = KEYS[name]
-        if name in self._keyless:
-            df, order = number_copies(df), [*order, ROW_HASH, COPY_NO]
-        return dense_key(df, key, order, self._new_path(name), MEASURES.get(name))
+        hidden = facts.HIDDEN_COLUMNS.get(name, [])
+        split = facts.YEAR if facts.YEAR in hidden else None
+        path = self._new_path(name, True)
+        write_keyed(df, key, order, path, MEASURES.get(name), hidden, split, lambda d: self._observe(name, d))
+        self._rows[name] = keyed_rows(self.spark, path)
+        return read_keyed(self.spark, path, hidden=True)
 
-    def _new_path(self, name: str) -> str:
-        """A path no earlier, possibly failed, attempt has written to."""
+    def _new_path(self, name: str, in_run: bool = False) -> str:
+        """A path no earlier, possibly failed, attempt has written to: a run is dropped as a whole when it fails."""
+        if in_run and self._run_folder:
+            return f"{self._run_folder}/{name}"
         return f"{self.work_folder}/{name}-{uuid.uuid4().hex[:8]}"
 
-    def _stored(self, name: str, df: DataFrame) -> DataFrame:
-        path = self._new_path(name)
-        df.write.parquet(path)
+    def _stored(self, name: str, df: DataFrame, in_run: bool = False) -> DataFrame:
+        path = self._new_path(name, in_run)
+        (self._observe(name, df) if in_run else df).write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _label_dimension(self, name: str) -> DataFrame:
+        key, (label,) = KEYS[name]
+        mine = self.whole("labels").where(F.col("kind") == LABEL_DIMENSIONS[name])
+        mine = mine.select(F.col("key").alias(key), F.col("label").alias(label))
+        return self._stored(name, mine, True) if self._run_folder else mine
+
     def _wire(self) -> dict[str, Callable[[], DataFrame]]:
         r = self._raw
         w = self
 
-        def small(stg_table: str, column: str, alias: str | None = None):
-            return lambda: dim.labels(w.table(stg_table), column, alias)
-
         self._marts: dict[str, Callable[..., DataFrame]] = {
             "sales_overview": lambda **o: marts.sales_overview(
-                w.fact_orders, w.fact_order_items, w.dim_date, w.dim_order_status, **o
+                w.whole(ROLLUP), w.dim_date, w.dim_order_status, **o
             ),
             "sales_by_category": lambda **o: marts.sales_by_category(
-                w.fact_order_items, w.dim_product, w.dim_product_category, **o
+                w.rows("fact_order_items"), w.dim_product, w.dim_product_category, **o
             ),
             "payment_analysis": lambda **o: marts.payment_analysis(
-                w.fact_payments, w.fact_orders, w.dim_date, w.dim_payment_type, **o
+                w.rows("fact_payments"), w.dim_date, w.dim_payment_type, **o
             ),
-            "customer_satisfaction": lambda **o: marts.customer_satisfaction(w.fact_reviews, w.dim_date, **o),
+            "customer_satisfaction": lambda **o: marts.customer_satisfaction(w.rows("fact_reviews"), w.dim_date, **o),
             "delivery_performance": lambda **o: marts.delivery_performance(
-                w.fact_orders, w.dim_date, w.dim_order_status, **o
+                w.whole(ROLLUP), w.dim_date, w.dim_order_status, **o
             ),
             "marketing_funnel": lambda **o: marts.marketing_funnel(
-                w.fact_marketing_leads, w.fact_closed_deals, w.dim_date, w.dim_marketing_origin, **o
+                w.rows("fact_marketing_leads"), w.rows("fact_closed_deals"), w.dim_date, w.dim_marketing_origin, **o
             ),
         }
         return {
@@ -254,35 +293,37 @@ class Warehouse:
             "places": lambda: w._stored(
                 "places", dim.place_candidates(w.stg_geolocation, w.stg_customers, w.stg_sellers)
             ),
-            "date_bounds": lambda: dim.date_bounds({t: w.table(t) for t in dim.DATED_COLUMNS}),
-            "dim_date": lambda: w._stored("dim_date", dim.calendar(w.table("date_bounds"))),
+            "harvest": lambda: w._stored("harvest", dim.harvest({t: w.table(t) for t in STAGING_TABLES})),
+            "date_bounds": lambda: dim.date_bounds(w.whole("harvest")),
+            "dim_date": lambda: w._stored("dim_date", dim.calendar(w.table("date_bounds")), True),
+            "labels": lambda: w._stored(
+                "label_keys",
+                dim.label_keys(dense_key(dim.labels(w.whole("harvest")), "rank", ["kind", "label"], w._new_path("labels"))),
+            ),
+            "order_days": lambda: w._stored(
+                "order_days", marts.order_days(w.rows("fact_orders"), w.rows("fact_order_items")), True
+            ),
             "dim_state": lambda: dim.states(w.table("places")),
             "dim_city": lambda: dim.cities(w.table("places"), w.dim_state),
             "dim_zip_prefix": lambda: dim.zip_prefixes(w.table("places"), w.dim_state, w.dim_city),
-            "dim_customer": lambda: dim.customers(w.stg_customers, w.dim_zip_prefix, w.dim_state, w.dim_city),
-            "dim_seller": lambda: dim.sellers(w.stg_sellers, w.dim_zip_prefix, w.dim_state, w.dim_city),
+            "dim_customer": lambda: dim.customers(numbered(w.stg_customers), w.dim_zip_prefix, w.dim_state, w.dim_city),
+            "dim_seller": lambda: dim.sellers(numbered(w.stg_sellers), w.dim_zip_prefix, w.dim_state, w.dim_city),
             "dim_product_category": lambda: w.stg_product_categories,
-            "dim_product": lambda: dim.products(w.stg_products, w.dim_product_category),
-            "dim_order_status": small("stg_orders", "order_status"),
-            "dim_payment_type": small("stg_payments", "payment_type"),
-            "dim_marketing_origin": small("stg_marketing_leads", "origin", "origin_name"),
-            "dim_landing_page": small("stg_marketing_leads", "landing_page_id"),
-            "dim_business_segment": small("stg_closed_deals", "business_segment"),
-            "dim_lead_type": small("stg_closed_deals", "lead_type"),
-            "dim_lead_profile": small("stg_closed_deals", "lead_behaviour_profile"),
+            "dim_product": lambda: dim.products(numbered(w.stg_products), w.dim_product_category),
+            **{d: (lambda d=d: w._label_dimension(d)) for d in LABEL_DIMENSIONS},
             "dim_sales_rep": lambda: dim.sales_reps(w.stg_closed_deals),
             "fact_marketing_leads": lambda: facts.resolve_marketing_leads(
-                w.stg_marketing_leads, w.dim_landing_page, w.dim_marketing_origin
+                numbered(w.stg_marketing_leads), w.dim_landing_page, w.dim_marketing_origin
             ),
             "fact_closed_deals": lambda: facts.resolve_closed_deals(
-                w.stg_closed_deals, w.dim_seller, w.dim_sales_rep, w.dim_business_segment,
+                numbered(w.stg_closed_deals), w.dim_seller, w.dim_sales_rep, w.dim_business_segment,
                 w.dim_lead_type, w.dim_lead_profile,
             ),
-            "fact_orders": lambda: facts.resolve_orders(w.stg_orders, w.dim_customer, w.dim_order_status),
+            "fact_orders": lambda: facts.resolve_orders(numbered(w.stg_orders), w.dim_customer, w.dim_order_status),
             "fact_order_items": lambda: facts.resolve_order_items(
-                w.stg_order_items, w.fact_orders, w.dim_product, w.dim_seller
+                numbered(w.stg_order_items), w.fact_orders, w.dim_product, w.dim_seller
             ),
-            "fact_payments": lambda: facts.resolve_payments(w.stg_payments, w.fact_orders, w.dim_payment_type),
-            "fact_reviews": lambda: facts.resolve_reviews(w.stg_reviews, w.fact_orders),
+            "fact_payments": lambda: facts.resolve_payments(numbered(w.stg_payments), w.fact_orders, w.dim_payment_type),
+            "fact_reviews": lambda: facts.resolve_reviews(numbered(w.stg_reviews), w.fact_orders),
             **{m: (lambda m=m: w._marts[m]()) for m in MARTS},
         }

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.sources.layers import LayerStore, path_exists
+from marketloom.sources.files import path_exists
+from marketloom.sources.layers import LayerStore, Measures
 from marketloom.sources.schemas import RAW_TABLES, raw_schema
 
 # An unquoted empty field is NULL and a quoted one is an empty text. Spark makes both NULL
@@ -53,13 +56,14 @@ def load_all_raw(
     pattern: str = "{table}.csv",
     names: dict[str, str] | None = None,
     multiline: frozenset[str] = FREE_TEXT,
+    measures: Callable[[str], Measures] | None = None,
 ) -> str:
     """Full refresh of the raw layer; the previous one stays current if any file fails.
 
-    Only the files of `multiline` may hold line breaks in fields; a break in any other aborts the load.
+    Only the files of `multiline` may hold line breaks in fields; a break in any other aborts the load. `measures` names what to count of a table while it is written.
     """
     folder = source_dir.rstrip("/")
     frames = {
         t: read_csv(spark, f"{folder}/{file_of(t, pattern, names)}", t, t in multiline) for t in RAW_TABLES
     }
-    return store.write_layer("raw", frames)
+    return store.write_layer("raw", frames, measures=measures)

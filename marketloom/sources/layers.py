@@ -3,31 +3,45 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, as_completed
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+
+from marketloom.operators.surrogate import is_keyed, keyed_rows, read_keyed
+from marketloom.sources.files import delete_folder, names_below, path_exists, read_text, write_text
 
 LAYERS = ["raw", "staging", "dwh"]
 _DONE = "_COMPLETE"
+_MEASURED = "_measured.json"
 
+#: What to count of a table while it is written: name -> aggregate.
+Measures = dict[str, Column]
 
-def _fs_path(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
+class Observed:
+    """Counts taken by the writes of a layer's tables, so that checks need not read them again."""
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when a path or glob names at least one file on any supported file system."""
-    fs, jpath = _fs_path(spark, path)
-    found = fs.globStatus(jpath)
-    return found is not None and len(found) > 0
+    def __init__(self, measures: Callable[[str], Measures] | None):
+        self.measures = measures or (lambda table: {})
+        self.open: dict[str, tuple[list[str], Observation]] = {}
 
+    def attach(self, table: str, df: DataFrame) -> DataFrame:
+        wanted = self.measures(table)
+        if not wanted:
+            return df
+        self.open[table] = (list(wanted), Observation(f"{table}-{uuid.uuid4().hex}"))
+        return df.observe(self.open[table][1], *(c.alias(f"m{i}") for i, c in enumerate(wanted.values())))
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    fs, jpath = _fs_path(spark, path)
-    fs.delete(jpath, True)
+    def counts(self) -> dict[str, dict[str, int]]:
+        """Counts by table and name of the writes that have ended."""
+        out = {}
+        for table, (names, seen) in self.open.items():
+            found = seen.get
+            out[table] = {name: int(found.get(f"m{i}") or 0) for i, name in enumerate(names)}
+        return out
 
 
 class LayerStore:
@@ -47,33 +61,29 @@ class LayerStore:
         return f"{self.root}/{layer}/run={stamp}-{uuid.uuid4().hex[:8]}"
 
     def complete(self, run: str) -> None:
-        fs, marker = _fs_path(self.spark, f"{run}/{_DONE}")
-        fs.create(marker, False).close()
+        write_text(self.spark, f"{run}/{_DONE}", "")
 
     def write_layer(
         self,
         layer: str,
         tables: dict[str, DataFrame | Callable[[], DataFrame]],
-        accept: Callable[[dict[str, DataFrame]], None] | None = None,
+        accept: Callable[[str, dict[str, dict[str, int]]], None] | None = None,
+        measures: Callable[[str], Measures] | None = None,
     ) -> str:
-        """Write all tables, several at a time, then switch readers to the new run.
+        """Write all tables, several at a time, then switch readers to the new run (see `build_layer`)."""
 
-        `accept` sees the written tables before the switch and may raise. Any failure ends the other writes,
-        deletes the partial run, is raised and leaves the previous run current.
-        """
-        run = self.begin(layer)
-        tag = run.rsplit("=", 1)[1]
-        context = self.spark.sparkContext
-
-        def write(name: str) -> None:
-            context.addJobTag(tag)
-            df = tables[name]
-            try:
-                (df() if callable(df) else df).write.parquet(f"{run}/{name}")
-            finally:
-                context.removeJobTag(tag)
+        def build(run: str, observed: Observed) -> None:
+            tag = run.rsplit("=", 1)[1]
+            context = self.spark.sparkContext
+
+            def write(name: str) -> None:
+                context.addJobTag(tag)
+                df = tables[name]
+                try:
+                    observed.attach(name, df() if callable(df) else df).write.parquet(f"{run}/{name}")
+                finally:
+                    context.removeJobTag(tag)
 
-        try:
             with ThreadPoolExecutor(self.concurrent_writes) as pool:
                 writes = [pool.submit(write, name) for name in tables]
                 try:
@@ -84,19 +94,44 @@ class LayerStore:
                         waiting.cancel()
                     context.cancelJobsWithTag(tag)
                     raise
+
+        return self.build_layer(layer, build, accept, measures)
+
+    def build_layer(
+        self,
+        layer: str,
+        build: Callable[[str, Observed], None],
+        accept: Callable[[str, dict[str, dict[str, int]]], None] | None = None,
+        measures: Callable[[str], Measures] | None = None,
+    ) -> str:
+        """A new run whose folder `build` fills; readers switch to it when it is complete.
+
+        `accept` sees the run and what its writes counted before the switch and may raise. Any failure
+        ends the other writes, deletes the partial run, is raised and leaves the previous run current.
+        """
+        run, observed = self.begin(layer), Observed(measures)
+        try:
+            build(run, observed)
+            counts = observed.counts()
+            if measures:
+                write_text(self.spark, f"{run}/{_MEASURED}", json.dumps(counts))
             if accept:
-                accept({name: self.spark.read.parquet(f"{run}/{name}") for name in tables})
+                accept(run, counts)
             self.complete(run)
         except BaseException:
             delete_folder(self.spark, run)
             raise
         return run
 
+    def measured(self, layer: str) -> dict[str, dict[str, int]] | None:
+        """What the writes of the current run counted; None if they counted nothing."""
+        path = f"{self.current(layer)}/{_MEASURED}"
+        return json.loads(read_text(self.spark, path)) if path_exists(self.spark, path) else None
+
     def runs(self, layer: str) -> list[str]:
         """Completed runs, oldest first."""
-        fs, pattern = _fs_path(self.spark, f"{self.root}/{layer}/run=*/{_DONE}")
-        names = sorted(s.getPath().getParent().getName() for s in (fs.globStatus(pattern) or []))
-        return [f"{self.root}/{layer}/{n}" for n in names]
+        found = names_below(self.spark, f"{self.root}/{layer}/run=*/{_DONE}")
+        return [f"{self.root}/{layer}/{path.split('/')[-2]}" for path in found]
 
     def current(self, layer: str) -> str:
         runs = self.runs(layer)
@@ -105,11 +140,23 @@ class LayerStore:
         return runs[-1]
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.current(layer)}/{table}")
+        return self.read_run(self.current(layer), [table])[table]
 
     def read_layer(self, layer: str, tables: list[str]) -> dict[str, DataFrame]:
-        run = self.current(layer)
-        return {t: self.spark.read.parquet(f"{run}/{t}") for t in tables}
+        return self.read_run(self.current(layer), tables)
+
+    def read_rows(self, run: str, tables: list[str]) -> dict[str, DataFrame]:
+        """Stored columns of the keyed tables of one run, without their own keys."""
+        return {t: keyed_rows(self.spark, f"{run}/{t}") for t in tables if is_keyed(self.spark, f"{run}/{t}")}
+
+    def read_run(self, run: str, tables: list[str], hidden: bool = False) -> dict[str, DataFrame]:
+        """Tables of one run; keyed ones get their key, and their hidden columns if asked for."""
+
+        def read(path: str) -> DataFrame:
+            keyed = is_keyed(self.spark, path)
+            return read_keyed(self.spark, path, hidden=hidden) if keyed else self.spark.read.parquet(path)
+
+        return {t: read(f"{run}/{t}") for t in tables}
 
     def drop_old_runs(self, layer: str, keep: int = 2) -> list[str]:
         """Delete completed runs older than the `keep` newest ones and return their paths."""

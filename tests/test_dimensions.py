@@ -58,6 +58,14 @@ def test_customer_place_is_its_own_not_that_of_its_zip(rows):
 
 
 def test_labels_and_sales_reps(rows):
-    assert {r.s for r in dim.labels(rows("s string", ("a",), ("",), (None,), ("a",)), "s").collect()} == {"a", "unknown"}
+    empty = {t: rows(", ".join(dict.fromkeys([f"{c} {'date' if c == 'first_contact_date' else 'timestamp_ntz'}" for c in dim.DATED_COLUMNS.get(t, [])] + [f"{c} string" for n, c in dim.LABELS.values() if n == t]))) for t in {*dim.DATED_COLUMNS, *(n for n, _ in dim.LABELS.values())}}
+    day = dt.datetime(2018, 1, 5, 10)
+    orders = rows(empty["stg_orders"]._jdf.schema().toDDL(), *[(None, day + dt.timedelta(days=i), None, None, None, s) for i, s in enumerate(("a", "", None, "a"))])
+    found = dim.harvest({**empty, "stg_orders": orders})
+    assert tuple(dim.date_bounds(found).first()) == (day.date(), dt.date(2018, 1, 8))
+    assert {tuple(r) for r in dim.labels(found).collect()} == {("order_status", "a"), ("order_status", "unknown")}
+    ranked = rows("rank bigint, kind string, label string", (1, "k", "a"), (2, "k", "b"), (3, "l", "a"))
+    assert {tuple(r) for r in dim.label_keys(ranked).collect()} == {("k", "a", 1), ("k", "b", 2), ("l", "a", 1)}
+    assert tuple(dim.date_bounds(dim.harvest(empty)).first()) == (None, None)
     deals = rows("sdr_id string, sr_id string", ("1", "1"), ("1", None), ("", "2"))
     assert {tuple(r) for r in dim.sales_reps(deals).collect()} == {("1", "SDR"), ("1", "SR"), ("2", "SR")}

@@ -76,10 +76,12 @@ def test_items_total_and_unresolved_keys(rows):
         ("x", 1, None, "s", None, None, None),
     )
     got = {r.order_id: r for r in order_items(
-        stg, rows("order_key bigint, order_id string", (1, "o")), rows("product_key bigint, product_id string", (2, "p")),
+        stg, rows("order_key bigint, order_id string, purchase_date_key int, order_status_key bigint", (1, "o", 20180101, 5)), rows("product_key bigint, product_id string", (2, "p")),
         rows("seller_key bigint, seller_id string", (3, "s"))).collect()}
     assert (got["o"].total_item_value, got["o"].order_key, got["o"].product_key) == (Decimal(10), 1, 2)
     assert (got["x"].total_item_value, got["x"].order_key, got["x"].product_key, got["x"].seller_key) == (0, None, None, 3)
+    hidden = facts.HIDDEN_COLUMNS["fact_order_items"]
+    assert [got["o"][c] for c in hidden] == [20180101, 5, 2018] and [got["x"][c] for c in hidden] == [None] * 3
 
 
 def test_review_flags(rows):

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -24,22 +25,26 @@ def D(x):
     return Decimal(x)
 
 
+ORDER_COLUMNS = """order_key bigint, purchase_date_key int, order_status_key bigint, order_purchase_ts timestamp_ntz,
+    order_delivered_customer_ts timestamp_ntz, order_estimated_delivery_ts timestamp_ntz, is_delivered_on_time boolean"""
+ITEM_COLUMNS = "order_key bigint, order_purchase_date_key int, order_status_key bigint, item_price decimal(12,2), freight_value decimal(12,2)"
+
+
 def test_sales_overview(rows, dates, statuses):
-    orders = rows("order_key bigint, purchase_date_key int, order_status_key bigint",
-                  (1, 20180101, 1), (2, 20180102, 1), (3, 20190101, None), (4, None, 1))
-    items = rows("order_key bigint, item_price decimal(12,2), freight_value decimal(12,2)",
-                 (1, D(10), None), (1, D(5), D(1)), (None, D(99), D(9)), (3, None, None))
-    got = {(r.year_number, r.order_status): tuple(r)[4:] for r in marts.sales_overview(orders, items, dates, statuses).collect()}
+    orders = rows(ORDER_COLUMNS, *[(*r, None, None, None, None) for r in ((1, 20180101, 1), (2, 20180102, 1), (3, 20190101, None), (4, None, 1))])
+    items = rows(ITEM_COLUMNS, (1, 20180101, 1, D(10), None), (1, 20180101, 1, D(5), D(1)), (None, None, None, D(99), D(9)), (3, 20190101, None, None, None))
+    days = marts.order_days(orders, items)
+    got = {(r.year_number, r.order_status): tuple(r)[4:] for r in marts.sales_overview(days, dates, statuses).collect()}
     assert got == {
         (2018, "delivered"): (2, 2, D(15), D(1), D(6)),
         (2019, None): (1, 1, 0, 0, 0),
         (None, "delivered"): (1, 0, 0, 0, 0),
     }
-    legacy = {(r.year_number, r.order_status): tuple(r)[4:]
-              for r in marts.sales_overview(orders, items, dates, statuses, null_sums=True).collect()}
+    legacy = {(r.year_number, r.order_status): tuple(r)[4:] for r in marts.sales_overview(days, dates, statuses, null_sums=True).collect()}
     assert legacy[(2019, None)] == (1, 1, None, None, None)
-    only = marts.sales_overview(orders, items, dates, statuses, years=[2019]).collect()
+    only = marts.sales_overview(days, dates, statuses, years=[2019]).collect()
     assert [(r.year_number, r.order_count) for r in only] == [(2019, 1)]
+    assert marts.delivery_performance(days, dates, statuses).collect() == []
 
 
 def test_sales_by_category(rows):
@@ -53,29 +58,29 @@ def test_sales_by_category(rows):
 
 
 def test_payment_analysis(rows, dates):
-    payments = rows("order_key bigint, payment_type_key bigint, payment_installments int, payment_value decimal(12,2)",
-                    (1, 1, 3, D(10)), (1, 1, 3, None), (2, 1, 3, D(5)), (None, 1, 1, D(2)), (1, None, 3, None))
-    orders = rows("order_key bigint, purchase_date_key int", (1, 20180101), (2, 20180102))
+    payments = rows("order_purchase_date_key int, purchase_year int, payment_type_key bigint, payment_installments int, payment_value decimal(12,2)",
+                    (20180101, 2018, 1, 3, D(10)), (20180101, 2018, 1, 3, None), (20180102, 2018, 1, 3, D(5)), (None, None, 1, 1, D(2)), (20180101, 2018, None, 3, None))
     types = rows("payment_type_key bigint, payment_type string", (1, "card"))
     got = {(r.year_number, r.payment_type, r.payment_installments): tuple(r)[5:]
-           for r in marts.payment_analysis(payments, orders, dates, types).collect()}
+           for r in marts.payment_analysis(payments, dates, types).collect()}
     assert got == {(2018, "card", 3): (3, D(15), 7.5), (None, "card", 1): (1, D(2), 2.0), (2018, None, 3): (1, 0, None)}
-    legacy = marts.payment_analysis(payments, orders, dates, types, null_sums=True).where("payment_type IS NULL").first()
+    legacy = marts.payment_analysis(payments, dates, types, null_sums=True).where("payment_type IS NULL").first()
     assert legacy.total_payment_value is None
-    assert {r.year_number for r in marts.payment_analysis(payments, orders, dates, types, years=[2018]).collect()} == {2018}
+    assert {r.year_number for r in marts.payment_analysis(payments, dates, types, years=[2018]).collect()} == {2018}
 
 
 def test_delivery_performance_counts_unknown_punctuality_as_late(rows, dates, statuses):
     orders = rows(
-        "purchase_date_key int, order_status_key bigint, order_purchase_ts timestamp_ntz, order_delivered_customer_ts timestamp_ntz, order_estimated_delivery_ts timestamp_ntz, is_delivered_on_time boolean",
-        (20180101, 1, T, T + dt.timedelta(days=2), T + dt.timedelta(days=3), True),
-        (20180102, 1, T, T + dt.timedelta(days=5), None, None),
-        (20180102, 1, T, None, T, None),
+        ORDER_COLUMNS,
+        (1, 20180101, 1, T, T + dt.timedelta(days=2), T + dt.timedelta(days=3), True),
+        (2, 20180102, 1, T, T + dt.timedelta(days=5), None, None),
+        (3, 20180102, 1, T, None, T, None),
     )
-    r = marts.delivery_performance(orders, dates, statuses).collect()
+    days = marts.order_days(orders, rows(ITEM_COLUMNS))
+    r = marts.delivery_performance(days, dates, statuses).collect()
     assert len(r) == 1
     assert tuple(r[0])[4:] == (2, 3.5, -1.0, 0.5)
-    assert "on_time_rate" not in marts.delivery_performance(orders, dates, statuses, on_time=False).columns
+    assert "on_time_rate" not in marts.delivery_performance(days, dates, statuses, on_time=False).columns
 
 
 def test_marketing_funnel(rows, dates):
@@ -111,7 +116,24 @@ def test_year_selection_equals_a_filter_on_the_result(warehouse):
         assert sorted(map(str, limited.collect())) == sorted(map(str, filtered.collect()))
 
 
-def test_year_selection_reaches_the_scan_and_columns_are_pruned(warehouse):
-    plan = warehouse.mart("sales_overview", years=[1996])._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(purchase_date_key,19960101)" in plan
-    assert "review" not in plan and "shipping_limit" not in plan and "days_to_customer" not in plan
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_year_selection_reads_only_its_files_and_no_mart_joins_the_orders(warehouse):
+    assert "GreaterThanOrEqual(purchase_date_key,19960101)" in plan(warehouse.mart("sales_overview", years=[1996]))
+    pruned = re.compile(r"PartitionFilters: \[[^]]*purchase_year#\d+ = 199\d|PartitionFilters: \[[^]]*purchase_year#\d+ IN \(")
+    for years in ([1996], [1996, 1997]):
+        assert pruned.search(plan(warehouse.mart("payment_analysis", years=years))), years
+    for mart in ("sales_overview", "payment_analysis", "delivery_performance"):
+        assert "order_key" not in plan(warehouse.mart(mart)), mart
+    for fact in ("fact_orders", "fact_order_items", "fact_payments"):
+        assert "purchase_year" not in warehouse.table(fact).columns
+        limited = warehouse.whole(fact).where("purchase_year = 1997")
+        assert pruned.search(plan(limited)), fact
+        assert 0 < limited.count() < warehouse.table(fact).count()
+
+
+def test_the_rollup_reads_each_fact_once(warehouse):
+    days = marts.order_days(warehouse.rows("fact_orders"), warehouse.rows("fact_order_items"))
+    assert plan(days).count("FileScan") == 2 and "Join" not in plan(days)

@@ -50,7 +50,7 @@ def test_summary_and_text(tables):
 
 def test_each_table_is_scanned_once(warehouse):
     names = {c.table for c in quality.AUTOMATED if c.table != "orders"}
-    tables = {"orders": warehouse.raw("orders"), **{t: warehouse.table(t) for t in names}}
+    tables = {"orders": warehouse.raw("orders"), **{t: warehouse.rows(t) for t in names}}
     plan = quality.check_report(tables, quality.AUTOMATED)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == len(tables)
 
@@ -83,3 +83,26 @@ def test_declared_columns_exist(warehouse):
     for table, references in con.REFERENCES.items():
         for column, (target, key) in references.items():
             assert column in warehouse.table(table).columns and key in warehouse.table(target).columns
+
+
+def test_references_are_looked_up_in_one_scan_without_text(warehouse):
+    tables = {t: warehouse.table(t) for t in con.REFERENCES} | {t: warehouse.table(t) for refs in con.REFERENCES.values() for t, _ in refs.values()}
+    one = con.orphans(tables, {"fact_orders": con.REFERENCES["fact_orders"]}, {"fact_orders": warehouse.rows("fact_orders")})
+    shown = one._jdf.queryExecution().executedPlan().toString()
+    assert shown.count("ReadSchema: struct<customer_key") == 1 and "order_id" not in shown and "order_purchase_ts" not in shown
+
+
+def test_orphans_after_targets_lost_rows(warehouse):
+    tables = {t: warehouse.table(t) for t in {"fact_order_items", "fact_orders", "dim_product", "dim_seller", "dim_date"}}
+    tables["dim_product"] = tables["dim_product"].where("product_key % 5 <> 0")
+    got = found(con.orphans(tables, {"fact_order_items": con.REFERENCES["fact_order_items"]}))
+    expected = tables["fact_order_items"].where("product_key % 5 = 0").count()
+    assert got[("fact_order_items", "product_key -> dim_product")] == expected > 0
+    assert sum(got.values()) == expected
+
+
+def test_duplicates_of_all_tables_go_through_one_narrow_shuffle(warehouse):
+    keys = {t: con.UNIQUE_KEYS["dwh"][t] for t in ("fact_orders", "fact_payments", "dim_customer")}
+    shown = con.duplicate_keys({t: warehouse.rows(t) for t in keys}, keys)._jdf.queryExecution().executedPlan().toString()
+    wide = [x for x in shown.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(wide) == 2 and all("order_id" not in x and "customer_id" not in x for x in wide)

@@ -1,9 +1,11 @@
 import datetime as dt
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
 
 from marketloom import session
 from marketloom.operators.constraints import ViolationError, findings
@@ -11,7 +13,8 @@ from marketloom.plans.runner import Runner, main
 from marketloom.plans.warehouse import DWH_TABLES, MARTS, STAGING_TABLES
 from marketloom.sources import sql_reads
 from marketloom.sources.csv_files import FREE_TEXT, file_of, load_all_raw, read_csv
-from marketloom.sources.layers import LayerStore, path_exists, publish_views
+from marketloom.sources.files import path_exists
+from marketloom.sources.layers import LayerStore, publish_views
 from marketloom.sources.sample import sample_raw
 from marketloom.sources.schemas import RAW_TABLES, raw_schema
 
@@ -73,12 +76,13 @@ def test_failed_refresh_keeps_the_previous_run(spark, tmp_path, rows):
     assert store.current("staging") == first
     assert len(list((tmp_path / "layers" / "staging").iterdir())) == 1  # the partial run is gone
 
-    def refuse(tables):
-        assert tables["a"].first().v == 2
+    def refuse(run, measured):
+        assert store.read_run(run, ["a"])["a"].count() == 2 and measured == {"a": {"odd": 1, "rows": 2}}
         raise LookupError("refused")
 
+    counts = lambda table: {"odd": F.count_if(F.col("v") % 2 == 1), "rows": F.count("*")}
     with pytest.raises(LookupError, match="refused"):
-        store.write_layer("staging", {"a": rows("v int", (2,))}, accept=refuse)
+        store.write_layer("staging", {"a": rows("v int", (2,), (3,))}, refuse, counts)
     assert store.current("staging") == first and len(list((tmp_path / "layers" / "staging").iterdir())) == 1
     assert store.read("staging", "a").first().v == 1
     second = store.write_layer("staging", {"a": rows("v int", (3,)), "b": rows("v int", (3,))})
@@ -157,6 +161,12 @@ def test_all_steps_from_csv_to_quality(spark, csv_folder, tmp_path, warehouse):
         assert content(spark.table(f"marts_{m}")) == content(warehouse.table(m))
     assert not path_exists(spark, f"{session.shared_folder(spark)}/none")
 
+    # What the writes counted is what a reading of the tables finds, and a run holds each table once.
+    for layer, names in (("raw", RAW_TABLES), ("staging", STAGING_TABLES), ("dwh", DWH_TABLES)):
+        tables = runner.store.read_layer(layer, names)
+        assert content(findings(layer, tables, runner.store.measured(layer))) == content(findings(layer, tables)), layer
+    assert {p.name for p in Path(runner.store.current("dwh")).iterdir() if p.is_dir()} == {*DWH_TABLES, "order_days"}
+
     # A second run of one step replaces the layer and gives the same keys.
     before = content(runner.store.read("dwh", "fact_order_items").select("order_item_key", "order_id", "order_item_id"))
     runner.run("dwh")

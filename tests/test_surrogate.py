@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.operators.surrogate import COPY_NO, ROW_HASH, dense_key, number_copies
+from marketloom.operators.surrogate import ROW_HASH, ROW_NO, dense_key, keyed_rows, numbered, read_keyed, write_keyed
 from marketloom.session import new_work_folder
 
 
@@ -18,7 +18,7 @@ def test_key_is_the_rank_over_several_slices(spark, rows, many_slices):
     df = rows("k string, v int", *[(k, i) for i, k in enumerate(keys)]).repartition(5)
     path = new_work_folder(spark, "test")
     out = dense_key(df, "key", ["k"], path)
-    assert len(spark.read.parquet(path).inputFiles()) > 1
+    assert len(spark.read.parquet(f"{path}/rows").inputFiles()) > 1
     got = {r.k: r.key for r in out.collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
 
@@ -45,24 +45,49 @@ def test_hot_natural_key_is_split_by_the_remaining_columns(spark, rows, many_sli
     path = new_work_folder(spark, "test")
     out = dense_key(df, "key", ["order_id", "item"], path)
     assert sorted(r.key for r in out.select("key").collect()) == list(range(1, 3001))
-    hot_files = spark.read.parquet(path).where("order_id = 'hot'").select("_metadata.file_name").distinct().count()
+    hot_files = spark.read.parquet(f"{path}/rows").where("order_id = 'hot'").select("_metadata.file_name").distinct().count()
     assert hot_files > 1
 
 
 def test_identical_rows_are_all_kept_and_spread(spark, rows, many_slices):
-    df = rows("a string, b int", *[("same", 1)] * 9000, ("x", None), ("x", None), ("y", 2))
-    numbered = number_copies(df)
-    assert numbered.count() == 9003
-    assert numbered.distinct().count() == 9003
-    top = numbered.groupBy("a", "b").agg(F.max(COPY_NO).alias("n"), F.min(COPY_NO).alias("m"))
-    assert sorted((r.a, r.m, r.n) for r in top.collect()) == [("same", 1, 9000), ("x", 1, 2), ("y", 1, 1)]
+    df = rows("a string, b int", *[("same", 1)] * 9000, ("x", None), ("x", None), ("y", 2)).repartition(4)
     path = new_work_folder(spark, "test")
-    keyed = dense_key(numbered, "key", ["a", "b", ROW_HASH, COPY_NO], path).select("key", "a", "b")
-    assert sorted(r.key for r in keyed.select("key").collect()) == list(range(1, 9004))
-    assert spark.read.parquet(path).where("a = 'same'").select("_metadata.file_name").distinct().count() > 1
-
-
-def test_reading_a_keyed_table_needs_no_shuffle(spark, rows, many_slices):
-    out = dense_key(rows("k int", *[(i,) for i in range(500)]), "key", ["k"], new_work_folder(spark, "test"))
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Join" not in plan
+    keyed = dense_key(numbered(df), "key", ["a", "b"], path)
+    assert keyed.columns == ["key", "a", "b"]
+    got = sorted(map(tuple, keyed.collect()))
+    assert [g[0] for g in got] == list(range(1, 9004))
+    assert [g[1:] for g in got] == [("same", 1)] * 9000 + [("x", None)] * 2 + [("y", 2)]
+    assert spark.read.parquet(f"{path}/rows").where("a = 'same'").select("_metadata.file_name").distinct().count() > 1
+
+
+def test_a_broken_key_with_a_third_of_all_rows_is_split_and_ranked_alike_on_reruns(spark, rows, many_slices):
+    data = [("hot" if i % 3 == 0 else f"o{i}", 1, i % 7, f"v{i % 50}") for i in range(9000)]
+    df = rows("order_id string, seq int, kind int, value string", *data)
+    runs = []
+    for parts in (3, 8):
+        path = new_work_folder(spark, "test")
+        out = dense_key(numbered(df.repartition(parts)), "key", ["order_id", "seq"], path)
+        runs.append(sorted(map(str, out.collect())))
+        slices = [r["count"] for r in keyed_rows(spark, path).groupBy(F.shiftright("__position", 33)).count().collect()]
+        assert max(slices) <= 2 * sorted(slices)[len(slices) // 2] and len(slices) == 8
+    assert runs[0] == runs[1] and len(runs[0]) == 9000
+
+
+def test_rows_are_read_without_a_shuffle_and_hidden_columns_only_if_asked(spark, rows, many_slices):
+    df = rows("k int, year int", *[(i, 1990 + i % 3) for i in range(500)])
+    path = new_work_folder(spark, "test")
+    out = write_keyed(df, "key", ["k"], path, hidden=["year"], split_by="year")
+    assert out.columns == ["key", "k"] and [r.key for r in out.orderBy("k").collect()] == list(range(1, 501))
+    whole = read_keyed(spark, path, hidden=True)
+    assert whole.columns == ["key", "k", "year"]
+    one = whole.where("year = 1991")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "PartitionFilters: [isnotnull(year" in plan
+    assert sorted(r.key for r in one.collect()) == list(range(2, 501, 3))
+    assert {ROW_HASH, ROW_NO}.isdisjoint(whole.columns)
+
+
+def test_an_empty_split_table_keeps_its_schema(spark, rows):
+    path = new_work_folder(spark, "test")
+    write_keyed(rows("k int, year int").where("false"), "key", ["k"], path, hidden=["year"], split_by="year")
+    assert read_keyed(spark, path).dtypes == [("key", "bigint"), ("k", "int")] and read_keyed(spark, path).count() == 0
