@@ -26,12 +26,18 @@ END, PAD = 50256, 65535
 
 @dataclass(frozen=True)
 class Layout:
-    """`length` ids of 16 bits per record, `records` per shard, key and rounds of the permutation."""
+    """`length` ids of 16 bits per record, `records` per shard, key and rounds of the permutation.
+
+    A partition writes a run of shards: there are `partitions` of them at most, however many shards. Records move packed, those of
+    `packed` bytes together.
+    """
 
     length: int = 1024
     records: int = 8192
     key: int = 20240607
     rounds: int = 6
+    partitions: int = 10_000
+    packed: int = 1 << 24
 
     @property
     def stride(self) -> int:
@@ -120,7 +126,9 @@ def in_training_order(records: DataFrame, layout: Layout = Layout()) -> DataFram
 
     `records` (task, at, ids) is written once; a record's index is the number of records of earlier tasks plus
     its own place, so that the permutation runs over 0 .. n - 1 without gaps. The driver sees one count per
-    task. A partition is the range of slots of one shard: its size is the same for all by construction.
+    task. A partition is the range of slots of a run of shards: its size is the same for all by construction. What a task sends to one
+    partition is packed and compressed together before the shuffle and unpacked after it, then sorted by slot. An empty
+    table gives no records.
     """
     whole = stored(records, "records", "zstd")
     counts = {r["task"]: r["count"] for r in whole.groupBy("task").count().collect()}
@@ -129,19 +137,53 @@ def in_training_order(records: DataFrame, layout: Layout = Layout()) -> DataFram
     for task in sorted(counts):
         base[task] = before
         before += counts[task]
-    key, rounds = layout.key, layout.rounds
+    key, rounds, stride = layout.key, layout.rounds, layout.stride
+    shards = max(1, math.ceil(total / layout.records))
+    run_length = math.ceil(shards / layout.partitions) * layout.records
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        slots, held, rows = [], [], 0
+
+        def packed() -> pa.RecordBatch:
+            at, ids = np.concatenate(slots), np.concatenate(held)
+            part = at // run_length
+            order = np.lexsort((at, part))
+            at, ids, part = at[order], ids[order], part[order]
+            cuts = [0, *(np.nonzero(np.diff(part))[0] + 1).tolist(), len(at)]
+            bundles = [squeeze(at[a:b].tobytes() + ids[a:b].tobytes()) for a, b in zip(cuts, cuts[1:], strict=False)]
+            return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]].astype(np.int32)), pa.array(bundles, pa.binary())], names=["part", "bundle"])
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             index = np.array([base[t] for t in batch.column(0).to_pylist()], np.int64) + batch.column(1).to_numpy()
-            slots = feistel(index, total, key, rounds)
-            yield pa.RecordBatch.from_arrays([pa.array(slots), batch.column(2)], names=["slot", "ids"])
+            slots.append(feistel(index, total, key, rounds))
+            held.append(np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, stride))
+            rows += len(index)
+            if rows * stride >= layout.packed:
+                yield packed()
+                slots, held, rows = [], [], 0
+        if rows:
+            yield packed()
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        expand = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for bundle in batch.column(0):
+                raw = expand(bundle.as_buffer())
+                n = len(raw) // (8 + stride)
+                at = np.frombuffer(raw, np.int64, n)
+                ends = pa.py_buffer((np.arange(n + 1, dtype=np.int32) * stride).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.Array.from_buffers(pa.binary(), n, [None, ends, pa.py_buffer(raw[8 * n :])])], names=["slot", "ids"])
 
-    shards = max(1, math.ceil(total / layout.records))
-    placed = whole.mapInArrow(place, "slot long, ids binary")
-    shard = F.floor(F.col("slot") / layout.records).cast("int")
-    ranged = placed.withColumn("shard", shard).repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
-    return ranged.select("slot", "shard", (F.col("slot") % layout.records).cast("int").alias("record"), "ids")
+    parts = math.ceil(shards * layout.records / run_length)
+    bundles = whole.mapInArrow(pack, "part int, bundle binary").repartitionById(parts, F.col("part"))
+    ranged = bundles.select("bundle").mapInArrow(unpack, "slot long, ids binary").sortWithinPartitions("slot")
+    shard = F.floor(F.col("slot") / layout.records).cast("int").alias("shard")
+    return ranged.select("slot", shard, (F.col("slot") % layout.records).cast("int").alias("record"), "ids")
 
 
 def write_shards(ordered: DataFrame, folder: str, layout: Layout = Layout()) -> DataFrame:
@@ -149,8 +191,10 @@ def write_shards(ordered: DataFrame, folder: str, layout: Layout = Layout()) ->
     executors) and return shard, path, records and crc32, one row per file.
 
     A shard is written under a name of the attempt's own and renamed when complete, so lost and speculative
-    attempts leave no half-written shard. Record r of a shard lies at byte r * stride: a reader that stopped
-    at any slot goes on by one seek.
+    attempts leave no half-written shard. An attempt that finds its shard complete (an earlier one was lost after
+    its renaming) takes that file if length and checksum agree, and replaces it otherwise; so it also goes well on stores that do not
+    rename onto a name in use. `drop_attempts` removes what broken attempts left. Record r of a shard lies at byte
+    r * stride: a reader that stopped at any slot goes on by one seek. No record, no file.
     """
     stride = layout.stride
 
@@ -165,7 +209,13 @@ def write_shards(ordered: DataFrame, folder: str, layout: Layout = Layout()) ->
         def closed() -> pa.RecordBatch:
             out.close()
             path = f"{root}/shard-{shard:08d}.bin"
-            store.move(f"{path}.{attempt}", path)
+            there = store.get_file_info(path)
+            if there.type == fs.FileType.File and there.size == count * stride and _checksum(store, path) == crc:
+                store.delete_file(f"{path}.{attempt}")
+            else:
+                if there.type == fs.FileType.File:
+                    store.delete_file(path)
+                store.move(f"{path}.{attempt}", path)
             return pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [path], "records": pa.array([count], pa.int64()), "crc32": pa.array([crc], pa.int64())})
 
         for batch in batches:
@@ -184,8 +234,27 @@ def write_shards(ordered: DataFrame, folder: str, layout: Layout = Layout()) ->
     return ordered.select("shard", "ids").mapInArrow(run, "shard int, path string, records long, crc32 long")
 
 
+def _checksum(store, path: str) -> int:
+    crc = 0
+    with store.open_input_stream(path) as stream:
+        while raw := stream.read(1 << 20):
+            crc = zlib.crc32(raw, crc)
+    return crc
+
+
+def drop_attempts(folder: str) -> int:
+    """Delete the files of attempts that were broken off below `folder`; call it when no writer is at work. Returns their number."""
+    from pyarrow import fs
+
+    store, root = _store(folder)
+    left = [f.path for f in store.get_file_info(fs.FileSelector(root, allow_not_found=True)) if not f.path.endswith(".bin")]
+    for path in left:
+        store.delete_file(path)
+    return len(left)
+
+
 def shard_rows(files: DataFrame, layout: Layout = Layout()) -> DataFrame:
-    """slot, shard, record and ids of every record in `files`, the rows of `write_shards`, in order; one partition per file.
+    """slot, shard, record and ids of every record in `files`, the rows of `write_shards`; those of a file are in order.
 
     The rows are read from the files themselves. A file whose length or checksum is not the one noted is an error.
     """
@@ -217,11 +286,15 @@ def shard_rows(files: DataFrame, layout: Layout = Layout()) -> DataFrame:
 
 
 def materialised(records: DataFrame, layout: Layout = Layout()) -> DataFrame:
-    """The rows of `in_training_order`, read from the shard files that this call writes below the shared folder."""
+    """The rows of `in_training_order`, read from the shard files that this call writes below the shared folder.
+
+    Repeated rows and rows without an id are texts like any other; other columns than text are not read.
+    """
     folder = new_work_folder(records.sparkSession, "shards")
     files = stored(write_shards(in_training_order(records, layout), folder, layout), "shard-files")
-    shards = max(1, files.count())
-    placed = files.withColumn("folder", F.lit(folder)).repartitionById(shards, F.col("shard"))
+    drop_attempts(folder)
+    parts = max(1, min(files.count(), layout.partitions))
+    placed = files.withColumn("folder", F.lit(folder)).repartitionById(parts, F.col("shard") % parts)
     return shard_rows(placed, layout)
 
 
