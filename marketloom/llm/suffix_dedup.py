@@ -226,7 +226,11 @@ def _sorted_spans(distinct: DataFrame, how: Repeats) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: list[bytes] = []
         pieces: list[tuple[bytes, bool]] = []
-        size, now = 0, None
+        size, now, begun = 0, None, 0
+
+        def alone() -> bool:
+            """Whether the last piece has no partner: it occurs once and so does its key."""
+            return bool(pieces) and not pieces[-1][1] and begun == len(pieces) - 1
 
         def solved() -> pa.RecordBatch:
             spans = repeated_starts(pieces, how)
@@ -236,13 +240,19 @@ def _sorted_spans(distinct: DataFrame, how: Repeats) -> DataFrame:
 
         for batch in batches:
             for key, name, raw, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size > how.batch and key != now:
-                    yield solved()
-                    names, pieces, size = [], [], 0
-                now = key
+                if key != now:
+                    if alone():
+                        size -= len(pieces.pop()[0])
+                        names.pop()
+                    if size > how.batch:
+                        yield solved()
+                        names, pieces, size = [], [], 0
+                    now, begun = key, len(pieces)
                 names.append(name)
                 pieces.append((raw, n > 1))
                 size += len(raw)
+        if alone():
+            pieces.pop()
         if pieces:
             yield solved()
 
@@ -272,19 +282,29 @@ def _distinct(pieces: DataFrame) -> DataFrame:
 
 
 def _live_filter(live: DataFrame, how: Repeats) -> np.ndarray | None:
-    """Bits at the places of `live` keys, sized by their number; None if they are too many for the largest filter."""
-    count = live.count()
-    bits = 1 << max(10, (8 * count).bit_length())
+    """Bits at two places of each of the `live` keys, 16 to 32 bits for a key; None where that is more than the largest filter."""
+    bits = 1 << max(10, (16 * live.count()).bit_length())
     if bits > how.filter_bits:
         return None
-    place = F.pmod(F.col("key"), F.lit(bits))
-    word = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
-    found = live.select(F.floor(place / 64).cast("long").alias("at"), word.alias("word")).groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    places = F.array(F.pmod(F.col("key"), F.lit(bits)), F.pmod(F.shiftrightunsigned("key", 32), F.lit(bits)))
+    word = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("place") % 64).cast("int"))
+    each = live.select(F.explode(places).alias("place")).select(F.floor(F.col("place") / 64).cast("long").alias("at"), word.alias("word"))
+    found = each.groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
     words = np.zeros(bits // 64, np.uint64)
     words[found["at"].to_numpy()] = found["word"].to_numpy().view(np.uint64)
     return words
 
 
+def _may_live(words: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
+    """Which of the keys (unsigned) pass the filter: all that are live and one in seventy of the others at most."""
+    if words is None:
+        return np.ones(len(keys), bool)
+    out = np.ones(len(keys), np.uint64)
+    for place in (keys.view(np.int64) % (64 * len(words)), (keys >> np.uint64(32)).astype(np.int64) % (64 * len(words))):
+        out &= words[place >> 6] >> (place & 63).astype(np.uint64)
+    return out.astype(bool)
+
+
 def _bytes_of(column: pa.Array) -> Iterator[bytes]:
     return (x.as_buffer().to_pybytes() if x.is_valid else b"" for x in column)
 
@@ -322,10 +342,8 @@ def repeated_spans(docs: DataFrame, how: Repeats = Repeats()) -> tuple[DataFrame
                 sizes, hashes, held, parts, told = [], [], [], [], set()
                 for raw in _bytes_of(piece.column(1)):
                     keys, places, first, n = segments(raw, how)
-                    if words is not None:
-                        bit = keys.view(np.int64) % (64 * len(words))
-                        here = (words[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-                        keys, places, first, n = keys[here], places[here], first[here], n[here]
+                    here = _may_live(words, keys)
+                    keys, places, first, n = keys[here], places[here], first[here], n[here]
                     own = []
                     for key, place, f, k in zip(keys.view(np.int64).tolist(), places.tolist(), first.tolist(), n.tolist(), strict=True):
                         whole = raw[f : f + k - 1 + how.length]
