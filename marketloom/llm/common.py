@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -32,6 +34,23 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: worker processes are used again, and would keep the most they ever held."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library offers it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow whose tasks give back the memory they no longer need."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release_memory()
+
+    return df.mapInArrow(tidy, schema)
+
+
 def map_text(
     df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows_at_once: int = 1024
 ) -> DataFrame:
@@ -42,7 +61,7 @@ def map_text(
             for start in range(0, batch.num_rows, rows_at_once):
                 yield work(batch.slice(start, rows_at_once))
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def components(links: DataFrame, purpose: str = "components") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -19,8 +20,8 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Kinds of pieces and models in the protobuf (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Distinct parts that a worker keeps encoded before it starts anew.
-CACHE = 400_000
+#: Distinct parts that a worker keeps encoded before it starts anew, and that it gives to the libraries at once.
+CACHE, AT_ONCE = 150_000, 5_000
 
 
 @dataclass(frozen=True)
@@ -70,7 +71,8 @@ class Machine:
             raise ValueError("only unigram and BPE models are rebuilt")
         self.tokenizer = Tokenizer(backend)
         self.cut = _cut(plain, proto.trainer_spec.model_type, any(p[2] == USER_DEFINED for p in pieces))
-        # The reference for parity gets text that is normalised already.
+        # One reference for the text, another for its parts, which are normalised already.
+        self.text_reference = sentencepiece.SentencePieceProcessor(model_proto=codec.model)
         self.spec = type(proto.normalizer_spec).FromString(proto.normalizer_spec.SerializeToString())
         proto.normalizer_spec.name = "identity"
         proto.normalizer_spec.precompiled_charsmap = b""
@@ -108,26 +110,39 @@ class Machine:
             text = " " + text
         return text.replace(" ", SPACE) if self.spec.escape_whitespaces else text
 
+    def normalised(self, text: str) -> tuple[str, bool]:
+        """The text as the rebuilt normaliser makes it, held against the unchanged model's own wherever the model
+        changes characters or spaces. Where the two differ, the model's is taken and the text counts as repaired."""
+        ours = self.normalise(text)
+        if self.normaliser is None:
+            return ours, False
+        theirs = self.text_reference.normalize(text)
+        return theirs, theirs != ours
+
     def encode_parts(self, parts: set[str]) -> None:
-        """Encode new distinct parts in one multithreaded batch and hold each against the reference library.
-        Where the two differ, the reference's ids are taken and the part counts as repaired."""
+        """Encode new distinct parts in multithreaded batches and hold each against the reference library.
+        Where the two differ, the reference's ids replace those of the backend and the part counts as repaired."""
         new = [p for p in parts if p not in self.known]
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
             new = list(parts)
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
+        for at in range(0, len(new), AT_ONCE):
+            some = new[at : at + AT_ONCE]
             ours = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
             theirs = self.reference.encode(some, num_threads=1)
             for part, a, b in zip(some, ours, theirs, strict=True):
-                self.known[part] = (np.array(b, dtype=np.int32).tobytes(), int(a.ids != b))
-
-    def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[int]]:
-        """Ids (32 bits each, little-endian) and repaired parts of each whole text."""
-        split = [self.cut.findall(self.normalise(t)) if t else [] for t in texts]
+                ids = a.ids
+                differs = ids != b
+                self.known[part] = (array("i", b if differs else ids).tobytes(), int(differs))
+
+    def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[int], list[str]]:
+        """Ids (32 bits each), repaired parts (the normaliser's included) and normalised form of each whole text."""
+        forms = [self.normalised(t) if t else ("", False) for t in texts]
+        split = [self.cut.findall(form) if form else [] for form, _ in forms]
         self.encode_parts(set().union(*split))
         found = [list(map(self.known.__getitem__, parts)) for parts in split]
-        return [b"".join([f[0] for f in x]) for x in found], [sum(f[1] for f in x) for x in found]
+        repaired = [sum(f[1] for f in x) + fixed for x, (_, fixed) in zip(found, forms, strict=True)]
+        return [b"".join([f[0] for f in x]) for x in found], repaired, [form for form, _ in forms]
 
     def decode(self, ids: list[int]) -> str:
         """Text of `ids`: pieces and fallback bytes joined, the added first space taken away."""
@@ -167,19 +182,20 @@ def encode_documents(docs: DataFrame, codec: Codec) -> DataFrame:
     """doc_id, ids, n_tokens, n_repaired and round_trip for every row of `docs`; no shuffle.
 
     Whole texts count. round_trip says that the ids decode to the normalised text, byte for byte. Null and
-    empty texts have no ids; repeated rows each get theirs. Every distinct part is encoded by both libraries,
-    n_repaired counts the parts of a text where they differed (0: full parity).
+    empty texts have no ids; repeated rows each get theirs; an empty table gives no rows. The ids are those of the
+    tokenizers backend. Every distinct part is encoded by both libraries, n_repaired counts the parts of a text where they
+    differed and the reference's ids were taken instead (0: full parity). Columns but doc_id and text are not read.
     """
     kind = dict(docs.dtypes)["doc_id"]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = machine(codec)
         texts = batch.column(1).to_pylist()
-        ids, repaired = own.encode(texts)
+        ids, repaired, forms = own.encode(texts)
         arrays = [np.frombuffer(x, np.int32) for x in ids]
         whole = [
-            not t or own.decode(a.tolist()) == own.normalise(t).replace(SPACE, " ")[int(own.spec.add_dummy_prefix) :]
-            for t, a in zip(texts, arrays, strict=True)
+            not form or own.decode(a.tolist()) == form.replace(SPACE, " ")[int(own.spec.add_dummy_prefix) :]
+            for form, a in zip(forms, arrays, strict=True)
         ]
         counts = np.array([len(a) for a in arrays], np.int64)
         ends = np.zeros(len(arrays) + 1, np.int32)
