@@ -17,15 +17,15 @@ from marketloom.llm.common import WORD, packed, stored
 class Mix:
     """`block` words per block, `slots` blocks per output shard, at most `repeats` times the words of a source.
 
-    `weights` go to the sources by code point, null last, over and over. `buckets` is the number of parts
-    in which the words of one source are counted up, so that a hot source is no hot task.
+    `weights` go to the sources by code point, null last, over and over. The words of one source are counted up in
+    parts of some `part` rows, 64 at least, so that a hot source is no hot task.
     """
 
-    block: int = 32
+    block: int = 64
     slots: int = 4096
     repeats: int = 3
     weights: tuple[int, ...] = (1, 2, 3)
-    buckets: int = 256
+    part: int = 500_000
     rounds: int = 24
     seed: int = 7
 
@@ -78,41 +78,37 @@ def shard_draws(goals: DataFrame, mix: Mix) -> DataFrame:
     A shard of n slots has floor(n * p) slots of a source with share p; the slots that remain are drawn
     from the multinomial distribution of the remaining fractions. The counts are multinomial draws with
     the least variance, so totals stay near their targets.
+
+    There is a row for each source and shard. Within a shard the fractions are added up in order of the sources, and
+    a draw falls to the last source whose running sum it reaches: draws and sums are put in one order and read
+    along it, so that no row and no task holds more than the sources and draws of one shard.
     """
     one = Window.partitionBy(F.lit(0))
-    goals = goals.withColumn("goal", F.col("target") / mix.block).withColumn("all", F.sum("goal").over(one)).where("all > 0")
-    line = F.array_sort(
-        F.collect_list(F.struct(F.col("source").isNull().alias("last"), F.coalesce("source", F.lit("")).alias("name"), (F.col("goal") / F.col("all")).alias("p")))
-    )
-    # One row for all sources, then one by shard: the array is as long as there are sources, not documents.
-    total = goals.agg(line.alias("line"), F.ceil(F.max("all")).cast("long").alias("total")).where("total > 0")
-    count = F.ceil(F.col("total") / mix.slots).cast("long")
-    grid = total.select("line", "total", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("shard"))
-    grid = grid.select("shard", "line", F.least(F.lit(mix.slots), F.col("total") - F.col("shard") * mix.slots).alias("size"))
-    fixed = F.transform("line", lambda x: F.floor(F.col("size") * x["p"]))
-    rest = F.transform("line", lambda x: F.col("size") * x["p"] - F.floor(F.col("size") * x["p"]))
-    grid = grid.select("shard", "size", "line", fixed.alias("fixed"), rest.alias("rest"))
-    grid = grid.withColumn("left", F.col("size") - F.aggregate("fixed", F.lit(0).cast("long"), lambda a, x: a + x))
-    grid = grid.withColumn("mass", F.aggregate("rest", F.lit(0.0), lambda a, x: a + x))
-    drawn = F.transform(
-        F.when(F.col("left") > 0, F.sequence(F.lit(1).cast("long"), F.col("left"))).otherwise(F.array().cast("array<long>")),
-        lambda k: _share_of(mix.seed, F.col("shard"), k) * F.col("mass"),
-    )
-    grid = grid.withColumn("drawn", drawn).withColumn(
-        "upto",
-        F.transform("rest", lambda x, i: F.aggregate(F.slice("rest", F.lit(1), i + 1), F.lit(0.0), lambda a, y: a + y)),
-    )
-    # A draw belongs to the first source whose running share exceeds it, the last one takes what rounding leaves.
-    wide = grid.select("shard", F.posexplode("line").alias("at", "x"), "fixed", "drawn", "upto")
-    low = F.when(F.col("at") == 0, F.lit(-1.0)).otherwise(F.element_at("upto", F.greatest("at", F.lit(1))))
-    high = F.when(F.col("at") == F.size("upto") - 1, F.lit(float("inf"))).otherwise(F.element_at("upto", F.col("at") + 1))
-    wide = wide.withColumn("low", low).withColumn("high", high)
-    hits = F.size(F.filter("drawn", lambda d: (d >= F.col("low")) & (d < F.col("high"))))
-    counts = wide.select(
-        F.when(~F.col("x")["last"], F.col("x")["name"]).alias("source"),
-        "shard",
-        (F.element_at("fixed", F.col("at") + 1) + hits).cast("long").alias("count"),
-    )
+    shares = goals.withColumn("goal", F.col("target") / mix.block).withColumn("all", F.sum("goal").over(one)).where("all > 0")
+    total = F.ceil("all").cast("long")
+    last_shard = F.floor((total - 1) / mix.slots).cast("long")
+    grid = shares.select("source", (F.col("goal") / F.col("all")).alias("p"), total.alias("total"), F.explode(F.sequence(F.lit(0).cast("long"), last_shard)).alias("shard"))
+    want = F.least(F.lit(mix.slots).cast("long"), F.col("total") - F.col("shard") * mix.slots) * F.col("p")
+    grid = grid.select("source", "shard", "total", F.floor(want).alias("fixed"), (want - F.floor(want)).alias("rest"))
+    whole = Window.partitionBy("shard")
+    order = whole.orderBy(F.col("source").asc_nulls_last())
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    grid = grid.select(
+        "source", "shard", "fixed", "total",
+        F.coalesce(F.sum("rest").over(before), F.lit(0.0)).alias("low"),
+        F.sum("rest").over(whole).alias("mass"),
+        F.sum("fixed").over(whole).alias("given"),
+        F.row_number().over(order).alias("n"),
+    )
+    size = F.least(F.lit(mix.slots).cast("long"), F.col("total") - F.col("shard") * mix.slots)
+    draws = grid.where("n = 1").select("shard", "mass", (size - F.col("given")).alias("left")).where(F.col("left") > 0)
+    draws = draws.select("shard", "mass", F.explode(F.sequence(F.lit(1).cast("long"), F.col("left"))).alias("k"))
+    drawn_at = (_share_of(mix.seed, F.col("shard"), F.col("k")) * F.col("mass")).alias("low")
+    line = grid.select("shard", "low", F.lit(0).alias("kind"), "n").unionByName(draws.select("shard", drawn_at, F.lit(1).alias("kind"), F.lit(None).cast("int").alias("n")))
+    owner = F.last("n", True).over(whole.orderBy("low", "kind", "n"))
+    hits = line.withColumn("owner", owner).where("kind = 1").groupBy(F.col("shard").alias("of"), "owner").agg(F.count("*").alias("hits"))
+    met = grid.join(hits, (F.col("shard") == F.col("of")) & (F.col("n") == F.col("owner")), "left")
+    counts = met.select("source", "shard", (F.col("fixed") + F.coalesce("hits", F.lit(0))).cast("long").alias("count"))
     running = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("first", F.coalesce(F.sum("count").over(running), F.lit(0).cast("long")))
 
@@ -129,9 +125,13 @@ def permuted(position: Column, size: Column, key: Column, rounds: int, seed: int
 
 
 def _offsets(sizes: DataFrame, mix: Mix) -> DataFrame:
-    """`sizes` with `start`, the words of the same source before the row, and `source_size`; no task sees a whole source."""
-    spread = sizes.withColumn("place", F.xxhash64(F.lit(mix.seed), "key"))
-    spread = spread.withColumn("bucket", F.pmod("place", F.lit(mix.buckets)))
+    """`sizes` with `start`, the words of the same source before the row, and `source_size`; no task sees a whole source.
+
+    The order goes by a hash of key and size, so that rows which share or lack a key are spread by their sizes.
+    """
+    buckets = max(64, -(-sizes.count() // mix.part))
+    spread = sizes.withColumn("place", F.xxhash64(F.lit(mix.seed), "key", "size"))
+    spread = spread.withColumn("bucket", F.pmod("place", F.lit(buckets)))
     of_bucket = Window.partitionBy("source", "bucket").orderBy("place", "key", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
     inner = spread.withColumn("inner", F.coalesce(F.sum("size").over(of_bucket), F.lit(0).cast("long")))
     sums = spread.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
@@ -156,7 +156,7 @@ def mix_sizes(sizes: DataFrame, mix: Mix = Mix()) -> tuple[DataFrame, DataFrame]
     block = F.lit(mix.block).cast("long")
     blocks = F.ceil(F.col("source_size") / mix.block).cast("long")
     supply = goals.select(F.col("source").alias("s"), blocks.alias("n"))
-    slots = shard_draws(goals, mix).where("count > 0").join(supply, F.col("source").eqNullSafe(F.col("s")))
+    slots = stored(shard_draws(goals, mix), "mix-draws").where("count > 0").join(supply, F.col("source").eqNullSafe(F.col("s")))
     # Draws may pass the limit of a source by a few blocks; those slots stay empty.
     slots = slots.withColumn("end", F.least(F.col("first") + F.col("count"), F.col("n") * mix.repeats)).where("first < end")
     # A stated number of partitions: few rows become many slots here, so tasks are not to be merged by bytes.
