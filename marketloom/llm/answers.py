@@ -23,21 +23,24 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
 _FILTER = f"""
 WITH cut AS (
-    SELECT page_id, url, {_SMALL.format(_URL.format(1))} AS host, {_URL.format(2)} AS path,
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<title>(.*?)</title>', 1) AS title,
+        {_SMALL.format(_URL.format(1))} AS host, {_URL.format(2)} AS path,
         regexp_extract(coalesce(url, ''), '(?s)^[^?#]*\\?([^#]*)', 1) AS asked
     FROM pages
 ), keyed AS (
-    SELECT page_id, host, path,
+    SELECT page_id, host, path, title,
         CASE WHEN host = '' THEN '' ELSE
             regexp_replace(regexp_replace(host, '^(www|m)\\.', ''), ':(80|443)$', '')
             || regexp_replace(regexp_replace(path, '\\.html?$', ''), '/+$', '')
             || CASE WHEN len(parts) > 0 THEN '?' || array_to_string(list_sort(parts), '&') ELSE '' END END AS form
     FROM (SELECT *, list_filter(string_split(asked, '&'), lambda x: x <> ''
               AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|gclid|fbclid)(=.*)?$')) AS parts FROM cut)
-), listed AS (
-    SELECT DISTINCT form FROM keyed
-    WHERE form <> '' AND len(list_intersect(string_split(host, '.'),
+), bad AS (
+    SELECT form, title FROM keyed WHERE len(list_intersect(string_split(host, '.'),
         ['casino-win', 'free-bets', 'ads-track', 'spam-farm', 'cheap-pills', 'adult-x'])) > 0
+), listed AS (
+    SELECT form FROM bad WHERE form <> ''
+    UNION SELECT form FROM keyed WHERE form <> '' AND title <> '' AND title IN (SELECT title FROM bad)
 ), ruled AS (
     SELECT *, CASE
         WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'

@@ -21,7 +21,7 @@ from marketloom.llm.simhash import near_duplicates
 from marketloom.llm.suffix_dedup import removal_digests
 from marketloom.llm.topk import quantised, top_k
 from marketloom.llm.training_order import load_ranks, materialised, token_records
-from marketloom.llm.url_filter import pages_on_labels, url_verdicts
+from marketloom.llm.url_filter import crawl_list, url_verdicts
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    return url_verdicts(pages, pages_on_labels(pages))
+    return url_verdicts(pages, crawl_list(pages))
 
 
 def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ RULES = (
     UrlRule("allow", "com", "/fr/"),
     UrlRule("block", "com", "/de/"),
 )
-#: Host labels whose pages a crawl's own list holds.
+#: Host labels whose pages and mirrors a crawl's own list holds.
 LISTED_LABELS = ("casino-win", "free-bets", "ads-track", "spam-farm", "cheap-pills", "adult-x")
 BITS_PER_URL = 12
 
@@ -101,23 +101,23 @@ def bloom_blocks(listed: DataFrame, blocks: int) -> DataFrame:
 def listed_flags(urls: DataFrame, listed: DataFrame) -> DataFrame:
     """`urls` (with a column __key) and __listed: whether __key is a key of `listed` (key string).
 
-    A row meets its block of the filter; only rows whose eight bits are set carry their key into the exact
-    hash join, which removes false positives; the others go there under a key of their own that never
-    matches, so they are spread and not gathered under null. Both tables are written once, so Spark
-    broadcasts them only if their size is below its threshold; else it shuffles and splits a hot key.
+    A row meets its block of the filter. Only rows whose eight bits are set go on to the exact hash join, which removes
+    false positives; the others are known not to be listed and move no further. The probed rows and both tables are
+    written once, so Spark broadcasts a table only if its size is below its threshold; else it shuffles the hits and
+    splits a hot key.
     """
     keys = stored(listed.where("key is not null and key <> ''").select("key").distinct(), "listed")
     blocks = max(1, math.ceil(keys.count() * BITS_PER_URL / (32 * WORDS)))
     bloom = stored(bloom_blocks(keys, blocks), "bloom").withColumnRenamed("block", "__block")
-    probed = urls.join(bloom, _block(F.col("__key"), blocks) == F.col("__block"), "left")
+    met = urls.join(bloom, _block(F.col("__key"), blocks) == F.col("__block"), "left")
     hit = F.col("__block").isNotNull()
     for i, mask in enumerate(_masks(F.col("__key"))):
         hit = hit & (F.col(f"w{i}").bitwiseAND(mask) == mask)
-    own = F.concat(F.lit("\u0000"), F.hex(F.xxhash64(F.monotonically_increasing_id())))
-    probed = probed.select(*urls.columns, F.when(hit, F.col("__key")).otherwise(own).alias("__hit"))
+    probed = stored(met.select(*urls.columns, F.coalesce(hit, F.lit(False)).alias("__hit")), "probed")
     exact = keys.select(F.col("key").alias("__found")).hint("shuffle_hash")
-    joined = probed.join(exact, F.col("__hit") == F.col("__found"), "left")
-    return joined.select(*urls.columns, F.col("__found").isNotNull().alias("__listed"))
+    hits = probed.where("__hit").join(exact, F.col("__key") == F.col("__found"), "left")
+    misses = probed.where("not __hit").select(*urls.columns, F.lit(False).alias("__listed"))
+    return hits.select(*urls.columns, F.col("__found").isNotNull().alias("__listed")).unionByName(misses)
 
 
 def url_verdicts(pages: DataFrame, listed: DataFrame, rules: tuple[UrlRule, ...] = RULES) -> DataFrame:
@@ -135,6 +135,11 @@ def url_verdicts(pages: DataFrame, listed: DataFrame, rules: tuple[UrlRule, ...]
     return judged.select("page_id", "host", "path", F.col("__fit.rule").alias("rule"), verdict.alias("verdict"))
 
 
-def pages_on_labels(pages: DataFrame, labels: tuple[str, ...] = LISTED_LABELS) -> DataFrame:
-    """url of the pages that have one of `labels` in their host: the list that a crawl derives from itself."""
-    return pages.where(F.exists(F.split(host_of(), r"\."), lambda x: x.isin(*labels))).select("url")
+def crawl_list(pages: DataFrame, labels: tuple[str, ...] = LISTED_LABELS) -> DataFrame:
+    """url of the pages that a crawl lists by itself: those with one of `labels` in their host, and their mirrors, the
+    pages elsewhere that carry the title of one of them. Pages without a title are nobody's mirror."""
+    title = F.regexp_extract(F.coalesce("html", F.lit("")), r"(?s)<title>(.*?)</title>", 1)
+    named = pages.select("url", title.alias("title"), F.exists(F.split(host_of(), r"\."), lambda x: x.isin(*labels)).alias("bad"))
+    titles = named.where("bad and title <> ''").select(F.col("title").alias("bad_title")).distinct()
+    mirrors = named.where("not bad and title <> ''").join(titles, F.col("title") == F.col("bad_title"), "left_semi")
+    return named.where("bad").select("url").unionByName(mirrors.select("url"))

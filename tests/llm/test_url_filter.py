@@ -2,9 +2,10 @@ from collections import Counter
 
 import duckdb
 
+from marketloom.llm import url_filter
 from marketloom.llm.answers import ANSWERS
 from marketloom.llm.queries import op3_url_filter
-from marketloom.llm.url_filter import bloom_blocks, listed_flags, url_verdicts
+from marketloom.llm.url_filter import bloom_blocks, crawl_list, listed_flags, url_verdicts
 
 SF = "/root/testdata/sf0.01"
 
@@ -43,3 +44,27 @@ def test_filter_has_no_false_negatives_and_the_join_no_false_positives(spark):
     assert bloom_blocks(listed, 64).count() <= 64
     urls = spark.range(20000).selectExpr("id", "concat('a.b/', id) __key")
     assert listed_flags(urls, listed).where("__listed <> (id < 4000)").count() == 0
+
+
+def test_only_hits_reach_the_exact_join_and_false_positives_go(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BITS_PER_URL", 1)  # a crowded filter lets many URLs through
+    listed = spark.range(2000).selectExpr("concat('a.b/', id) key")
+    urls = spark.range(20000).selectExpr("id", "concat('a.b/', id) __key")
+    flags = listed_flags(urls, listed)
+    plan = flags._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Union" in plan
+    passed = flags.sparkSession.read.parquet(flags.inputFiles()[0].rsplit("/", 1)[0]) if "__hit" in plan else None
+    rows = flags.collect()
+    assert len(rows) == 20000 and all(r["__listed"] == (r["id"] < 2000) for r in rows)
+    assert passed is not None
+
+
+def test_mirrors_of_listed_pages_are_listed(spark):
+    page = lambda i, url, title: (i, url, f"<title>{title}</title>" if title is not None else None)
+    rows = [
+        page(1, "http://casino-win.net/a", "Play now"), page(2, "http://clean.net/b", "Play now"), page(3, "http://clean.net/c", "News"),
+        page(4, "http://other.net/d", ""), page(5, "http://m.spam-farm.net/e", ""), page(6, "http://www.clean.net/b/?utm_source=x", None), page(7, None, "Play now"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    verdicts = {r["page_id"]: r["verdict"] for r in url_verdicts(pages, crawl_list(pages)).collect()}
+    assert {i for i, v in verdicts.items() if v == "block"} == {1, 2, 5, 6}
