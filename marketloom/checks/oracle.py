@@ -9,9 +9,7 @@ from __future__ import annotations
 
 import re
 
-from marketloom.functions.text import FALSE_WORDS, TRUE_WORDS
 from marketloom.operators import constraints as con
-from marketloom.operators.dimensions import STATE_NAMES
 from marketloom.sources.sample import BASE_TABLES, SAMPLE_SQL
 
 _HOUR_US = 3_600_000_000
@@ -51,7 +49,7 @@ def _bool(column: str) -> str:
         return ", ".join(f"'{w}'" for w in words)
 
     word = f"trim(lower({column}))"
-    return f"CASE WHEN {word} IN ({quoted(TRUE_WORDS)}) THEN true WHEN {word} IN ({quoted(FALSE_WORDS)}) THEN false END"
+    return f"CASE WHEN {word} IN ({quoted(['true', '1', 'yes', 'y', 'sim'])}) THEN true WHEN {word} IN ({quoted(['false', '0', 'no', 'n', 'nao', 'não'])}) THEN false END"
 
 
 def _unknown(expression: str) -> str:
@@ -76,7 +74,12 @@ def _small_dim(stg: str, column: str, key: str, alias: str | None = None) -> str
         FROM (SELECT DISTINCT {_unknown(column)} AS {name} FROM {stg}) AS v"""
 
 
-_STATES = ", ".join(f"('{code}', '{name}')" for code, name in STATE_NAMES.items())
+_STATES = """('AC', 'Acre'), ('AL', 'Alagoas'), ('AP', 'Amapá'), ('AM', 'Amazonas'), ('BA', 'Bahia'), ('CE', 'Ceará'),
+    ('DF', 'Distrito Federal'), ('ES', 'Espírito Santo'), ('GO', 'Goiás'), ('MA', 'Maranhão'), ('MT', 'Mato Grosso'),
+    ('MS', 'Mato Grosso do Sul'), ('MG', 'Minas Gerais'), ('PA', 'Pará'), ('PB', 'Paraíba'), ('PR', 'Paraná'),
+    ('PE', 'Pernambuco'), ('PI', 'Piauí'), ('RJ', 'Rio de Janeiro'), ('RN', 'Rio Grande do Norte'),
+    ('RS', 'Rio Grande do Sul'), ('RO', 'Rondônia'), ('RR', 'Roraima'), ('SC', 'Santa Catarina'), ('SP', 'São Paulo'),
+    ('SE', 'Sergipe'), ('TO', 'Tocantins')"""
 
 _ZIP = "lpad(trim({0}), 5, '0') AS zip_prefix"
 
@@ -359,9 +362,10 @@ def _spaced(number: str) -> str:
 
 
 def _check(name: str, value: str, wants_rows: bool) -> str:
+    missing = "0 reviews outside 1..5" if name.endswith("1_5") else f"0 missing {name.split('_missing_')[-1]}"
     return (
-        f"SELECT '{name}' AS check_name, CAST(v AS VARCHAR) AS value, v {'> 0' if wants_rows else '= 0'} AS passed "
-        f"FROM (SELECT {value}) AS c(v)"
+        f"SELECT '{name}' AS check_name, CAST(v AS VARCHAR) AS value, v {'> 0' if wants_rows else '= 0'} AS passed, "
+        f"'{'> 0 rows' if wants_rows else missing}' AS expectation FROM (SELECT {value}) AS c(v)"
     )
 
 
@@ -421,18 +425,76 @@ def _broken(rules: dict[str, list[str]], prefix: str = "") -> str:
     )
 
 
-def _orphans() -> str:
+def _orphans(planted: bool = False) -> str:
+    """With `planted`, every target has lost the keys with rest 3 of 7."""
     return " UNION ALL ".join(
         _rule(
             t,
             f"{c} -> {target}",
-            f"SELECT COUNT(*) FROM {t} AS f WHERE f.{c} IS NOT NULL AND f.{c} NOT IN (SELECT {k} FROM {target})",
+            f"SELECT COUNT(*) FROM {t} AS f WHERE f.{c} IS NOT NULL AND f.{c} NOT IN (SELECT {k} FROM {target}"
+            f"{f' WHERE {k} % 7 <> 3' if planted else ''})",
         )
         for t, cols in con.REFERENCES.items()
         for c, (target, k) in cols.items()
     )
 
 
+# Columns of the raw and staging tables, texts first.
+_RAW_COLUMNS = {
+    "customers": ("customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state", ""),
+    "geolocation": ("geolocation_zip_code_prefix geolocation_city geolocation_state", "geolocation_lat geolocation_lng"),
+    "marketing_qualified_leads": ("mql_id landing_page_id origin", "first_contact_date"),
+    "closed_deals": (
+        "mql_id seller_id sdr_id sr_id business_segment lead_type lead_behaviour_profile has_company has_gtin average_stock business_type",
+        "won_date declared_product_catalog_size declared_monthly_revenue",
+    ),
+    "orders": (
+        "order_id customer_id order_status",
+        "order_purchase_timestamp order_approved_at order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date",
+    ),
+    "order_items": ("order_id product_id seller_id", "order_item_id shipping_limit_date price freight_value"),
+    "order_payments": ("order_id payment_type", "payment_sequential payment_installments payment_value"),
+    "order_reviews": ("review_id order_id review_comment_title review_comment_message", "review_score review_creation_date review_answer_timestamp"),
+    "products": (
+        "product_id product_category_name",
+        "product_name_lenght product_description_lenght product_photos_qty product_weight_g product_length_cm product_height_cm product_width_cm",
+    ),
+    "sellers": ("seller_id seller_zip_code_prefix seller_city seller_state", ""),
+    "product_category_name_translation": ("product_category_name product_category_name_english", ""),
+}
+_STAGING_COLUMNS = {
+    "stg_customers": ("customer_id customer_unique_id zip_prefix city_name state_code", ""),
+    "stg_sellers": ("seller_id zip_prefix city_name state_code", ""),
+    "stg_geolocation": ("zip_prefix city_name state_code", "latitude longitude"),
+    "stg_product_categories": ("product_category_name product_category_name_english", ""),
+    "stg_products": (
+        "product_id product_category_name",
+        "product_name_length product_description_length product_photos_qty product_weight_g product_length_cm product_height_cm product_width_cm",
+    ),
+    "stg_orders": (
+        "order_id customer_id order_status",
+        "order_purchase_ts order_approved_ts order_delivered_carrier_ts order_delivered_customer_ts order_estimated_delivery_ts",
+    ),
+    "stg_order_items": ("order_id product_id seller_id", "order_item_id shipping_limit_ts price freight_value"),
+    "stg_payments": ("order_id payment_type", "payment_sequential payment_installments payment_value"),
+    "stg_reviews": ("review_id order_id review_comment_title review_comment_message", "review_score review_creation_ts review_answer_ts"),
+    "stg_marketing_leads": ("mql_id landing_page_id origin", "first_contact_date"),
+    "stg_closed_deals": (
+        "mql_id seller_id sdr_id sr_id business_segment lead_type lead_behaviour_profile average_stock business_type",
+        "won_ts has_company has_gtin declared_product_catalog_size declared_monthly_revenue",
+    ),
+}
+
+
+def _digests(tables: dict[str, tuple[str, tuple[str, str]]]) -> str:
+    def one(relation: str, name: str, texts: str, others: str) -> str:
+        filled = " + ".join(f"COUNT({c})" for c in [*texts.split(), *others.split()])
+        chars = " + ".join(f"COALESCE(SUM(length({c})), 0)" for c in texts.split())
+        return f"SELECT '{name}' AS table_name, COUNT(*) AS n_rows, {filled} AS n_filled, CAST({chars} AS BIGINT) AS n_chars FROM {relation}"
+
+    return " UNION ALL ".join(one(r, name, *columns) for r, (name, columns) in tables.items())
+
+
 _SIZES = "product_weight_g product_length_cm product_height_cm product_width_cm"
 _DEAL = "declared_product_catalog_size declared_monthly_revenue"
 
@@ -442,6 +504,25 @@ BODIES: dict[str, str] = {
     "s6_published_mart": _all("customer_satisfaction"),
     "s7_sql_read": """SELECT order_status, CAST(SUM(order_count) AS BIGINT) AS order_count FROM sales_overview
         WHERE year_number IN (1996, 1998) AND order_count >= 10 GROUP BY order_status""",
+    "s4_load_all": _digests({f"raw_{t}": (t, cols) for t, cols in _RAW_COLUMNS.items()}),
+    "s5_staging_layer": _digests({t: (t, cols) for t, cols in _STAGING_COLUMNS.items()}),
+    "s6_published_marts": " UNION ALL ".join(
+        f"SELECT '{m}' AS mart, COUNT(*) AS n_rows, CAST(SUM({c}) AS BIGINT) AS total FROM {m}"
+        for m, c in [
+            ("sales_overview", "order_count"), ("sales_by_category", "item_count"), ("payment_analysis", "payment_count"),
+            ("customer_satisfaction", "review_count"), ("delivery_performance", "delivered_orders"), ("marketing_funnel", "mql_count"),
+        ]
+    ),
+    "s8_scalar": """SELECT year_number, month_number, order_count FROM sales_overview WHERE order_status = 'delivered'
+        AND order_count = (SELECT MAX(order_count) FROM sales_overview WHERE order_status = 'delivered')""",
+    "s9_missing_mart": """SELECT 'sales_overview' AS mart, year_number, CAST(SUM(order_count) AS BIGINT) AS order_count
+        FROM sales_overview GROUP BY year_number""",
+    "d20_broken_keys": """SELECT CASE WHEN order_id = 'hot' THEN 'hot' ELSE 'others' END AS kind, COUNT(*) AS n_rows,
+        COUNT(DISTINCT k) AS n_keys, MIN(k) AS low, MAX(k) AS high FROM (
+            SELECT order_id, ROW_NUMBER() OVER (ORDER BY order_id, payment_sequential) AS k FROM (
+                SELECT CASE WHEN hot THEN 'hot' ELSE order_id END AS order_id,
+                    CASE WHEN hot THEN 1 ELSE payment_sequential END AS payment_sequential
+                FROM (SELECT *, COALESCE(payment_installments, 1) % 3 = 0 AS hot FROM stg_payments) AS p) AS b) AS n GROUP BY 1""",
     "c1_zip": "SELECT customer_id, lpad(trim(customer_zip_code_prefix), 5, '0') AS zip FROM raw_customers",
     "c2_lower": "SELECT order_id, trim(lower(order_status)) AS status FROM raw_orders",
     "c3_upper": "SELECT seller_id, trim(upper(seller_state)) AS state FROM raw_sellers",
@@ -498,7 +579,14 @@ BODIES: dict[str, str] = {
     "m7_legacy_payments": _all("payment_sums"),
     "m7_legacy_delivery": "SELECT * EXCLUDE (on_time_rate) FROM delivery_performance",
     "m7_legacy_funnel": "SELECT * EXCLUDE (conversion_rate) FROM funnel_sums",
-    "q_report": _REPORT,
+    "q_report": f"SELECT check_name, value, passed FROM ({_REPORT}) AS r",
+    "q18_expectations": _REPORT,
+    "q19_first_unmet": f"""SELECT CAST(position AS INTEGER) AS position, check_name, value, passed FROM (
+            SELECT *, COALESCE(SUM(CASE WHEN passed THEN 0 ELSE 1 END) OVER (ORDER BY position
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS unmet_before
+            FROM ({" UNION ALL ".join(f"SELECT {i} AS position, * FROM ({c}) AS c" for i, c in enumerate(_CHECKS, 1))}) AS r) AS s
+        WHERE unmet_before = 0""",
+    "q16_planted": _orphans(True),
     "q13_duplicates": _duplicates(con.UNIQUE_KEYS["dwh"]),
     "q13_raw_duplicates": _duplicates(con.UNIQUE_KEYS["raw"], "raw_"),
     "q13_staging_duplicates": _duplicates(con.UNIQUE_KEYS["staging"]),
@@ -579,8 +667,37 @@ BODIES: dict[str, str] = {
         {_spaced("format('{:,}', CAST(SUM(item_count) AS BIGINT))")} AS items,
         concat('R$ ', {_spaced("format('{:,.0f}', SUM(gross_revenue) / SUM(order_count))")}) AS basket
         FROM sales_overview""",
+    "b21_payment_cards": f"""SELECT concat('R$ ', {_spaced("format('{:,.0f}', SUM(total_payment_value))")}) AS value,
+        {_spaced("format('{:,}', CAST(SUM(payment_count) AS BIGINT))")} AS payments,
+        concat('R$ ', {_spaced("format('{:,.0f}', SUM(total_payment_value) / SUM(payment_count))")}) AS mean_payment,
+        format('{{:.2f}}', CAST(SUM(COALESCE(payment_installments, 0) * payment_count) AS DOUBLE) / SUM(payment_count))
+            AS mean_installments FROM payment_analysis""",
+    "b21_satisfaction_cards": f"""SELECT {_spaced("format('{:,}', CAST(SUM(review_count) AS BIGINT))")} AS reviews,
+        concat(format('{{:.2f}}', CAST(SUM(review_score * review_count) AS DOUBLE) / SUM(review_count)), ' / 5') AS mean_score,
+        concat(format('{{:.1f}}', 100 * CAST(SUM(review_count) FILTER (WHERE review_score IN (4, 5)) AS DOUBLE) / SUM(review_count)), ' %') AS good,
+        concat(format('{{:.1f}}', 100 * CAST(SUM(review_count) FILTER (WHERE review_score IN (1, 2)) AS DOUBLE) / SUM(review_count)), ' %') AS bad
+        FROM customer_satisfaction""",
+    "b21_delivery_cards": f"""SELECT {_spaced("format('{:,}', CAST(SUM(delivered_orders) AS BIGINT))")} AS delivered,
+        concat(format('{{:.1f}}', {_W.format('avg_days_purchase_to_delivery')}), ' jours') AS mean_delay,
+        concat(format('{{:.1f}}', {_W.format('avg_days_vs_estimate')}), ' jours') AS against_estimate,
+        concat(format('{{:.1f}}', 100 * {_W.format('on_time_rate')}), ' %') AS on_time FROM delivery_performance""",
+    "b21_marketing_cards": f"""SELECT {_spaced("format('{:,}', CAST(SUM(mql_count) AS BIGINT))")} AS leads,
+        {_spaced("format('{:,}', CAST(SUM(won_deal_count) AS BIGINT))")} AS deals,
+        concat(format('{{:.1f}}', 100 * CAST(SUM(won_deal_count) AS DOUBLE) / SUM(mql_count)), ' %') AS conversion,
+        concat('R$ ', {_spaced("format('{:,.0f}', SUM(declared_monthly_revenue_sum))")}) AS revenue FROM marketing_funnel""",
 }
 
+_SELECTED = {
+    "sales_overview": "(1996, 1997)", "payment_analysis": "(1996, 1997)", "delivery_performance": "(1996, 1997)",
+    "customer_satisfaction": "(2024)", "marketing_funnel": "(2024)",
+}
+RELATIONS |= {f"{m}_in_years": f"SELECT * FROM {m} WHERE year_number IN {years}" for m, years in _SELECTED.items()}
+_FOLLOWING = """b4_sales_kpis b5_monthly_sales b6_status_share b8_payment_kpis b9_payments_by_type b10_installments
+    b11_satisfaction_kpis b12_monthly_score b13_score_distribution b14_delivery_kpis b15_monthly_delivery
+    b16_on_time_by_status b17_funnel_kpis b18_funnel_by_origin b19_conversion_rank b21_formatted b21_sales_cards
+    b21_payment_cards b21_satisfaction_cards b21_delivery_cards b21_marketing_cards""".split()
+BODIES |= {f"{q}_in_years": re.sub(rf"\b({'|'.join(_SELECTED)})\b", r"\1_in_years", BODIES[q]) for q in _FOLLOWING}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: with_relations(body) for name, body in BODIES.items()}

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType
 
@@ -13,13 +15,14 @@ from marketloom.functions import text as tx
 from marketloom.operators import constraints as con
 from marketloom.operators import insights as bi
 from marketloom.operators import quality, staging
+from marketloom.operators.surrogate import dense_key, numbered
 from marketloom.plans.warehouse import DWH_TABLES, MARTS, STAGING_TABLES, Warehouse
 from marketloom.session import new_work_folder
-from marketloom.sources.csv_files import read_csv
+from marketloom.sources.csv_files import load_all_raw, read_csv
 from marketloom.sources.layers import LayerStore, publish_views
 from marketloom.sources.sample import sample_raw
 from marketloom.sources.schemas import RAW_TABLES
-from marketloom.sources.sql_reads import read_sql
+from marketloom.sources.sql_reads import read_scalar, read_sql, read_sql_or_empty
 
 _open: dict[tuple[str, str], Warehouse] = {}
 _opening = threading.Lock()
@@ -50,9 +53,8 @@ def _rounded(df: DataFrame, **places: int) -> DataFrame:
     return df.withColumns({c: F.round(c, n) for c, n in places.items()})
 
 
-def _csv_roundtrip(w: Warehouse) -> DataFrame:
-    path = f"{new_work_folder(w.spark, 'csv')}/order_reviews.csv"
-    w.raw("order_reviews").write.options(
+def _write_csv(df: DataFrame, path: str) -> str:
+    df.write.options(
         header="true",
         quote='"',
         escape='"',
@@ -62,9 +64,99 @@ def _csv_roundtrip(w: Warehouse) -> DataFrame:
         ignoreTrailingWhiteSpace="false",
         timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS",
     ).csv(path)
+    return path
+
+
+def _csv_roundtrip(w: Warehouse) -> DataFrame:
+    path = _write_csv(w.raw("order_reviews"), f"{new_work_folder(w.spark, 'csv')}/order_reviews.csv")
     return read_csv(w.spark, path, "order_reviews")
 
 
+def _digest(name: str, df: DataFrame) -> DataFrame:
+    """table_name with its rows, cells that are not NULL, and characters of its texts."""
+    filled = reduce(Column.__add__, [F.count(F.col(c)) for c in df.columns])
+    texts = [F.coalesce(F.sum(F.length(c)), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    return df.agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"), filled.alias("n_filled"), reduce(Column.__add__, texts).alias("n_chars"))
+
+
+def _all_sources(w: Warehouse) -> DataFrame:
+    """The eleven sources written as files, loaded as the raw layer, and read from it."""
+    folder = new_work_folder(w.spark, "csv")
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda t: _write_csv(w.raw(t), f"{folder}/src_{t}.csv"), RAW_TABLES))
+    store = LayerStore(w.spark, new_work_folder(w.spark, "layers"))
+    load_all_raw(w.spark, folder, store, "src_{table}.csv")
+    loaded = store.read_layer("raw", RAW_TABLES)
+    return reduce(DataFrame.unionByName, [_digest(t, df) for t, df in loaded.items()])
+
+
+def _all_staging(w: Warehouse) -> DataFrame:
+    """The whole staging layer written as one run and read back."""
+    store = LayerStore(w.spark, new_work_folder(w.spark, "layers"))
+    store.write_layer("staging", w.staging_layer())
+    return reduce(DataFrame.unionByName, [_digest(t, df) for t, df in store.read_layer("staging", STAGING_TABLES).items()])
+
+
+def _all_published(w: Warehouse) -> DataFrame:
+    """All marts as views, each read by its name."""
+    publish_views({m: w.mart_table(m) for m in MARTS}, "marts")
+    counted = [f"SELECT '{m}' AS mart, COUNT(*) AS n_rows, CAST(SUM({c}) AS BIGINT) AS total FROM marts_{m}" for m, c in _COUNTS.items()]
+    return read_sql(w.spark, " UNION ALL ".join(counted))
+
+
+def _with_a_missing_mart(w: Warehouse) -> DataFrame:
+    """Years of a mart that is there and of one that is not: the latter is an empty frame of the declared type."""
+    publish_views({"sales_overview": w.mart_table("sales_overview")}, "marts")
+    wanted = "year_number int, order_count bigint"
+    read = lambda mart: read_sql_or_empty(w.spark, f"SELECT year_number, order_count FROM marts_{mart}", wanted)
+    both = read("sales_overview").withColumn("mart", F.lit("sales_overview")).unionByName(read("returns").withColumn("mart", F.lit("returns")))
+    return both.groupBy("mart", "year_number").agg(F.sum("order_count").alias("order_count"))
+
+
+def _largest_order(w: Warehouse) -> DataFrame:
+    """One value read from a published mart, and the rows that hold it."""
+    publish_views({"sales_overview": w.mart_table("sales_overview")}, "marts")
+    most = read_scalar(w.spark, "SELECT max(order_count) FROM marts_sales_overview WHERE order_status = :status", {"status": "delivered"})
+    return w.mart_table("sales_overview").where((F.col("order_status") == "delivered") & (F.col("order_count") == most)).select("year_number", "month_number", "order_count")
+
+
+def _broken_payment_keys(w: Warehouse) -> DataFrame:
+    """Payments a third of which share one declared key: ranks are dense and each key's are consecutive."""
+    paid = w.stg_payments
+    hot = F.coalesce("payment_installments", F.lit(1)) % 3 == 0
+    broken = numbered(paid.withColumns({"order_id": F.when(hot, "hot").otherwise(F.col("order_id")), "payment_sequential": F.when(hot, 1).otherwise(F.col("payment_sequential"))}))
+    keyed = dense_key(broken, "payment_key", ["order_id", "payment_sequential"], f"{new_work_folder(w.spark, 'keys')}/payments")
+    return keyed.groupBy(F.when(F.col("order_id") == "hot", "hot").otherwise("others").alias("kind")).agg(
+        F.count("*").alias("n_rows"), F.count_distinct("payment_key").alias("n_keys"), F.min("payment_key").alias("low"), F.max("payment_key").alias("high")
+    )
+
+
+def _planted_orphans(w: Warehouse) -> DataFrame:
+    """References after every target has lost some rows."""
+    tables = _all_tables(w, DWH_TABLES)
+    for target, column in _LOST.items():
+        tables[target] = tables[target].where(F.col(column) % 7 != 3)
+    return con.orphans(tables, rows=_all_rows(w, DWH_TABLES))
+
+
+def _first_unmet(w: Warehouse) -> DataFrame:
+    """The checks up to the first that is not met."""
+    rows = quality.up_to_first_unmet(_check_tables(w), quality.CHECKS)
+    return w.spark.createDataFrame([(r.position, r.check_name, r.value, r.passed) for r in rows], "position int, check_name string, value string, passed boolean")
+
+
+#: A count of each mart, and the key of each target that loses the rows with rest 3 of 7.
+_COUNTS = {
+    "sales_overview": "order_count",
+    "sales_by_category": "item_count",
+    "payment_analysis": "payment_count",
+    "customer_satisfaction": "review_count",
+    "delivery_performance": "delivered_orders",
+    "marketing_funnel": "mql_count",
+}
+_LOST = {t: k for targets in con.REFERENCES.values() for t, k in targets.values()}
+
+
 def _layer_roundtrip(w: Warehouse) -> DataFrame:
     store = LayerStore(w.spark, new_work_folder(w.spark, "layers"))
     store.write_layer("staging", {"stg_closed_deals": w.stg_closed_deals})
@@ -174,13 +266,19 @@ _OTHERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "s2_csv_scan": _csv_roundtrip,
     "s5_layer_roundtrip": _layer_roundtrip,
     "s6_published_mart": _published,
+    "s4_load_all": _all_sources,
+    "s5_staging_layer": _all_staging,
+    "s6_published_marts": _all_published,
     "s7_sql_read": _parameterised,
+    "s8_scalar": _largest_order,
+    "s9_missing_mart": _with_a_missing_mart,
     "t3_geo_clean": _points,
     "t4_centroid": lambda w: staging.zip_centroids(_points(w)),
     "t5_modal_city": lambda w: staging.modal_places(_points(w)),
     "t7_category_universe": lambda w: staging.category_universe(
         w.raw("products"), w.raw("product_category_name_translation")
     ),
+    "d20_broken_keys": _broken_payment_keys,
     "d20_keys": lambda w: w.fact_orders.select("order_id", "order_key"),
     "m7_legacy_sales": lambda w: w.mart("sales_overview", null_sums=True),
     "m7_legacy_payments": lambda w: w.mart("payment_analysis", null_sums=True),
@@ -206,6 +304,9 @@ _OTHERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "q15_raw_checks": lambda w: con.rule_violations(
         {t: w.raw(t) for t in con.VALUE_RULES["raw"]}, con.VALUE_RULES["raw"]
     ),
+    "q16_planted": _planted_orphans,
+    "q18_expectations": lambda w: quality.check_report(_check_tables(w)).select("check_name", "value", "passed", "expectation"),
+    "q19_first_unmet": _first_unmet,
     "q16_orphans": lambda w: con.orphans(_all_tables(w, DWH_TABLES), rows=_all_rows(w, DWH_TABLES)),
     "q20_summary": lambda w: quality.summary(quality.check_report(_check_tables(w))),
     "b1_years": lambda w: bi.available_years(w.mart_table("sales_overview")),
@@ -241,8 +342,34 @@ _OTHERS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "b20_marketing_detail": lambda w: bi.detail_page("marketing_funnel", w.mart_table("marketing_funnel")),
     "b21_formatted": lambda w: bi.origin_table(w.mart_table("marketing_funnel")),
     "b21_sales_cards": lambda w: bi.sales_cards(w.mart_table("sales_overview")),
+    "b21_payment_cards": lambda w: bi.payment_cards(w.mart_table("payment_analysis")),
+    "b21_satisfaction_cards": lambda w: bi.satisfaction_cards(w.mart_table("customer_satisfaction")),
+    "b21_delivery_cards": lambda w: bi.delivery_cards(w.mart_table("delivery_performance")),
+    "b21_marketing_cards": lambda w: bi.funnel_cards(w.mart_table("marketing_funnel")),
 }
 
+#: Years of the registered selections, and the figures that follow a selection (all but the ranking of categories).
+SELECTED_YEARS = {"marketing_funnel": [2024], "customer_satisfaction": [2024]}
+_BY_YEAR = [
+    "b4_sales_kpis", "b5_monthly_sales", "b6_status_share", "b8_payment_kpis", "b9_payments_by_type", "b10_installments",
+    "b11_satisfaction_kpis", "b12_monthly_score", "b13_score_distribution", "b14_delivery_kpis", "b15_monthly_delivery",
+    "b16_on_time_by_status", "b17_funnel_kpis", "b18_funnel_by_origin", "b19_conversion_rank", "b21_formatted", "b21_sales_cards",
+    "b21_payment_cards", "b21_satisfaction_cards", "b21_delivery_cards", "b21_marketing_cards",
+]
+
+
+class _Selection:
+    """A warehouse whose stored marts are limited to the selected years."""
+
+    def __init__(self, w: Warehouse):
+        self._warehouse = w
+
+    def mart_table(self, name: str) -> DataFrame:
+        return bi.in_years(self._warehouse.mart_table(name), SELECTED_YEARS.get(name, [1996, 1997]))
+
+
+_OTHERS |= {f"{q}_in_years": (lambda w, q=q: _OTHERS[q](_Selection(w))) for q in _BY_YEAR}
+
 
 def _registered(build: Callable[[Warehouse], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: plain(build(warehouse(spark, sf_dir)))

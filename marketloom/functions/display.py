@@ -24,3 +24,9 @@ def as_percent(c: Column) -> Column:
 def as_count(c: Column) -> Column:
     """Whole number, fraction cut off, thousands split by a space."""
     return _grouped(F.coalesce(c, F.lit(0)).cast("bigint"), 0)
+
+
+def as_fixed(c: Column, decimals: int, unit: str = "") -> Column:
+    """Number with so many decimals, no grouping, and its unit."""
+    shown = F.replace(F.format_number(F.coalesce(c.cast("double"), F.lit(0.0)), decimals), F.lit(","), F.lit(""))
+    return F.concat(shown, F.lit(f" {unit}")) if unit else shown

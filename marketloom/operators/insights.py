@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.functions.display import as_brl, as_count, as_percent
+from marketloom.functions.display import as_brl, as_count, as_fixed, as_percent
 from marketloom.functions.timing import period_start
 
 TOP = 15
@@ -239,6 +239,46 @@ def sales_cards(sales: DataFrame) -> DataFrame:
     )
 
 
+def payment_cards(payments: DataFrame) -> DataFrame:
+    """Headline payment figures as display text."""
+    return payment_kpis(payments).select(
+        as_brl(F.col("total_value")).alias("value"),
+        as_count(F.col("total_count")).alias("payments"),
+        as_brl(F.col("avg_payment")).alias("mean_payment"),
+        as_fixed(F.col("avg_installments"), 2).alias("mean_installments"),
+    )
+
+
+def satisfaction_cards(reviews: DataFrame) -> DataFrame:
+    """Headline review figures as display text."""
+    return satisfaction_kpis(reviews).select(
+        as_count(F.col("total_reviews")).alias("reviews"),
+        as_fixed(F.col("weighted_score"), 2, "/ 5").alias("mean_score"),
+        as_percent(F.col("positive_share")).alias("good"),
+        as_percent(F.col("negative_share")).alias("bad"),
+    )
+
+
+def delivery_cards(delivery: DataFrame) -> DataFrame:
+    """Headline delivery figures as display text."""
+    return delivery_kpis(delivery).select(
+        as_count(F.col("total_delivered")).alias("delivered"),
+        as_fixed(F.col("avg_delivery_days"), 1, "jours").alias("mean_delay"),
+        as_fixed(F.col("avg_days_vs_estimate"), 1, "jours").alias("against_estimate"),
+        as_percent(F.col("on_time_rate")).alias("on_time"),
+    )
+
+
+def funnel_cards(funnel: DataFrame) -> DataFrame:
+    """Headline funnel figures as display text."""
+    return funnel_kpis(funnel).select(
+        as_count(F.col("total_leads")).alias("leads"),
+        as_count(F.col("total_deals")).alias("deals"),
+        as_percent(F.col("conversion")).alias("conversion"),
+        as_brl(F.col("revenue")).alias("revenue"),
+    )
+
+
 def origin_table(funnel: DataFrame) -> DataFrame:
     """Top origins with conversion and revenue as display text."""
     return funnel_by_origin(funnel).withColumns(

@@ -110,13 +110,27 @@ class QualityError(RuntimeError):
     """A check failed and the run was asked to stop at the first failure."""
 
 
+def up_to_first_unmet(tables: dict[str, DataFrame], checks: list[Check] = AUTOMATED) -> list:
+    """Rows of the checks in list order, ending with the first that is not met; tables of later ones are not read."""
+    results = []
+    for position, check in enumerate(checks, 1):
+        results += check_report(tables, [check]).withColumn("position", F.lit(position)).collect()
+        if not results[-1].passed:
+            break
+    return results
+
+
 def run_checks(tables: dict[str, DataFrame], fail_fast: bool = False, checks: list[Check] = AUTOMATED) -> list:
-    """Evaluate the checks, log them in list order and return their rows (one per check)."""
-    results = check_report(tables, checks).orderBy("position").collect()
+    """Evaluate the checks, log them in list order and return their rows (one per check).
+
+    With `fail_fast` each check is evaluated by itself, and the first one that is not met ends the run before the rest is.
+    """
+    results = up_to_first_unmet(tables, checks) if fail_fast else check_report(tables, checks).orderBy("position").collect()
     for r in results:
         logger.info("%s found %s, wants %s: %s", r.check_name, r.value, r.expectation, "ok" if r.passed else "not met")
-        if fail_fast and not r.passed:
-            raise QualityError(f"check {r.check_name} failed: value={r.value}, expected {r.expectation}")
+    if fail_fast and not results[-1].passed:
+        r = results[-1]
+        raise QualityError(f"stopped at {r.check_name}: found {r.value}, wants {r.expectation}")
     return results
 
 
