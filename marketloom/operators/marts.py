@@ -36,7 +36,8 @@ def _in_years(df: DataFrame, date_key: str, years: list[int] | None) -> DataFram
 
 
 def _total(c: str, null_sums: bool) -> Column:
-    return F.sum(c) if null_sums else F.coalesce(F.sum(c), F.lit(0).cast("decimal(12,2)"))
+    total = F.sum(c).cast("decimal(38,2)")
+    return total if null_sums else F.coalesce(total, F.lit(0).cast("decimal(38,2)"))
 
 
 def _mean(total: str, n: str) -> Column:

@@ -15,6 +15,7 @@ from marketloom.operators import facts, marts
 from marketloom.operators import staging as stg
 from marketloom.operators.surrogate import dense_key, keyed_rows, numbered, read_keyed, write_keyed
 from marketloom.session import new_work_folder
+from marketloom.sources.declared import TABLES, conforming
 from marketloom.sources.files import delete_folder
 
 # staging table -> raw table
@@ -174,8 +175,9 @@ class Warehouse:
         return self._raw[name]
 
     def table(self, name: str) -> DataFrame:
-        """The table with its declared columns."""
-        return self.whole(name).drop(*facts.HIDDEN_COLUMNS.get(name, []))
+        """The table with its declared columns and types; anything else is an error."""
+        own = self.whole(name).drop(*facts.HIDDEN_COLUMNS.get(name, []))
+        return conforming(name, own) if name in TABLES else own
 
     def rows(self, name: str) -> DataFrame:
         """All stored columns of a table but its own key: what plans read that do not need that key, without its lookup."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # not local-cluster
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
     application = spark.sparkContext.applicationId
     if application not in _local_folders:

@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from marketloom.sources.declared import schema_of
+
 logger = logging.getLogger(__name__)
 
 #: Error conditions of a mart that is not there yet; every other problem of a query is raised.
@@ -40,3 +42,8 @@ def read_sql_or_empty(
             raise
         logger.error("query could not be read: %s", problem)
         return spark.createDataFrame([], schema)
+
+
+def read_mart(spark: SparkSession, mart: str) -> DataFrame:
+    """A published mart, or an empty frame of its declared type where it is not published."""
+    return read_sql_or_empty(spark, f"SELECT * FROM marts_{mart}", schema_of(mart))

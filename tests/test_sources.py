@@ -11,7 +11,7 @@ from marketloom import session
 from marketloom.operators.constraints import ViolationError, findings
 from marketloom.plans.runner import Runner, main
 from marketloom.plans.warehouse import DWH_TABLES, MARTS, STAGING_TABLES
-from marketloom.sources import sql_reads
+from marketloom.sources import declared, sql_reads
 from marketloom.sources.csv_files import FREE_TEXT, file_of, load_all_raw, read_csv
 from marketloom.sources.files import path_exists
 from marketloom.sources.layers import LayerStore, publish_views
@@ -125,6 +125,8 @@ def test_shared_folder_comes_from_the_session():
     assert session.shared_folder(FakeSpark("yarn", "hdfs://x/ck/")) == "hdfs://x/ck"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_folder(FakeSpark("spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(FakeSpark("local-cluster[2,1,1024]"))
     local = FakeSpark("local[2]")
     assert session.shared_folder(local) == session.shared_folder(local)
     assert session.new_work_folder(local, "x") != session.new_work_folder(local, "x")
@@ -270,3 +272,13 @@ def test_stored_marts_equal_the_plans(warehouse):
     for m in MARTS:
         assert content(warehouse.mart_table(m)) == content(warehouse.table(m))
         assert warehouse.mart_table(m).dtypes == warehouse.table(m).dtypes
+
+
+def test_every_table_has_its_declared_type(spark, warehouse):
+    assert set(declared.TABLES) == {*STAGING_TABLES, *DWH_TABLES, *MARTS}
+    for t in declared.TABLES:
+        assert warehouse.table(t).dtypes == [(f.name, f.dataType.simpleString()) for f in declared.schema_of(t)], t
+    with pytest.raises(TypeError, match="dim_state: declared .*state_name"):
+        declared.conforming("dim_state", warehouse.dim_state.drop("state_name"))
+    spark.catalog.dropTempView("marts_marketing_funnel")
+    assert sql_reads.read_mart(spark, "marketing_funnel").schema == declared.schema_of("marketing_funnel")
