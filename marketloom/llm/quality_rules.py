@@ -151,7 +151,8 @@ def drop_rejected(docs: DataFrame, host: str = "source", limits: HostLimits = Ho
     """The rows of `docs` that pass the base rules and whose host is not refused, all columns unchanged.
 
     Figures are made twice rather than moving texts through a shuffle; of the verdicts only the
-    refused hosts are joined (usually none or few; Spark broadcasts them only below its size threshold).
+    refused hosts are joined (usually none or few; Spark broadcasts them only below its size threshold). Null, empty and
+    blank texts have too few words and go; a null host is a host; repeated rows pass or go alike; an empty table stays so.
     """
     figures = stored(document_figures(docs, [host]), "figures")
     refused = stored(host_rates(figures, host, limits).where("refused").select(F.col("host").alias("refused_host")), "refused")

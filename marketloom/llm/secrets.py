@@ -165,7 +165,8 @@ def redact(docs: DataFrame) -> DataFrame:
     """`docs` with every span of `text` replaced by <KIND> and n_chars counted anew; all other rows unchanged.
 
     Only documents with a span are joined to the ledger. Overlapping spans become one replacement,
-    named by the first. All columns stay.
+    named by the first. All columns stay. Null texts and texts without a span stay as they are, null ones null; repeated
+    rows are changed alike, however many; an empty table stays so.
     """
     _, ledger = scan_versions(docs)
     hits = stored(ledger.where(F.size("spans") > 0), "hits")
