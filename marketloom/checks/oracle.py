@@ -513,6 +513,13 @@ BODIES: dict[str, str] = {
             ("customer_satisfaction", "review_count"), ("delivery_performance", "delivered_orders"), ("marketing_funnel", "mql_count"),
         ]
     ),
+    "s6_catalog_marts": " UNION ALL ".join(
+        f"SELECT '{m}' AS mart, COUNT(*) AS n_rows, CAST(SUM({c}) AS BIGINT) AS total FROM {m}"
+        for m, c in [
+            ("sales_overview", "order_count"), ("sales_by_category", "item_count"), ("payment_analysis", "payment_count"),
+            ("customer_satisfaction", "review_count"), ("delivery_performance", "delivered_orders"), ("marketing_funnel", "mql_count"),
+        ]
+    ),
     "s8_scalar": """SELECT year_number, month_number, order_count FROM sales_overview WHERE order_status = 'delivered'
         AND order_count = (SELECT MAX(order_count) FROM sales_overview WHERE order_status = 'delivered')""",
     "s9_missing_mart": """SELECT 'sales_overview' AS mart, year_number, CAST(SUM(order_count) AS BIGINT) AS order_count
@@ -588,6 +595,7 @@ BODIES: dict[str, str] = {
         WHERE unmet_before = 0""",
     "q16_planted": _orphans(True),
     "q13_duplicates": _duplicates(con.UNIQUE_KEYS["dwh"]),
+    "q13_own_keys": _duplicates(con.OWN_KEYS),
     "q13_raw_duplicates": _duplicates(con.UNIQUE_KEYS["raw"], "raw_"),
     "q13_staging_duplicates": _duplicates(con.UNIQUE_KEYS["staging"]),
     "q13_gate": f"""SELECT * FROM ({_duplicates(con.UNIQUE_KEYS["raw"], "raw_")}

@@ -63,6 +63,32 @@ UNIQUE_KEYS = {
     },
 }
 
+# Keys that the warehouse gives itself.
+OWN_KEYS = {
+    "dim_date": ["date_key"],
+    "dim_state": ["state_key"],
+    "dim_city": ["city_key"],
+    "dim_zip_prefix": ["zip_prefix_key"],
+    "dim_customer": ["customer_key"],
+    "dim_seller": ["seller_key"],
+    "dim_product_category": ["product_category_key"],
+    "dim_product": ["product_key"],
+    "dim_order_status": ["order_status_key"],
+    "dim_payment_type": ["payment_type_key"],
+    "dim_marketing_origin": ["marketing_origin_key"],
+    "dim_landing_page": ["landing_page_key"],
+    "dim_business_segment": ["business_segment_key"],
+    "dim_lead_type": ["lead_type_key"],
+    "dim_lead_profile": ["lead_profile_key"],
+    "dim_sales_rep": ["sales_rep_key"],
+    "fact_marketing_leads": ["marketing_lead_key"],
+    "fact_closed_deals": ["closed_deal_key"],
+    "fact_orders": ["order_key"],
+    "fact_order_items": ["order_item_key"],
+    "fact_payments": ["payment_key"],
+    "fact_reviews": ["review_key"],
+}
+
 NOT_NULL = {
     "staging": {
         "stg_customers": ["customer_id", "customer_unique_id"],
@@ -297,5 +323,5 @@ def findings(
         spark = next(iter(tables.values())).sparkSession
         parts.append(spark.createDataFrame(counted, "table_name string, rule string, violations bigint"))
     if layer == "dwh":
-        parts.append(orphans(tables, REFERENCES, plain))
+        parts += [duplicate_keys(tables, OWN_KEYS), orphans(tables, REFERENCES, plain)]
     return reduce(DataFrame.unionByName, parts).where("violations > 0")

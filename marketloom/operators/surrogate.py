@@ -45,7 +45,7 @@ def write_keyed(
     hidden: list[str] | None = None,
     split_by: str | None = None,
     observe: Callable[[DataFrame], DataFrame] | None = None,
-) -> DataFrame:
+) -> StructType:
     """Write `df` below `path` so that `key_name` = 1..n is the rank of each row in ascending `order_by` (NULLs last).
 
     Rows are range-partitioned, sorted inside each partition and written together with their position, so
@@ -56,6 +56,7 @@ def write_keyed(
     `derive` is a row-by-row projection to the final columns; it runs after the shuffle, so that neither the shuffle nor
     the sampling for its ranges carries derived columns. `hidden` columns are stored but not part of the table;
     `split_by`, one of them, also splits the files into folders, which a filter on it prunes. `observe` may attach metrics.
+    Returns the schema of the stored rows.
     """
     total = [*order_by, *(c for c in (ROW_HASH, ROW_NO) if c in df.columns)]
     order = [F.col(c).asc_nulls_last() for c in total]
@@ -70,7 +71,7 @@ def write_keyed(
     for f in schema:
         f.metadata = {HIDDEN: True} if f.name in (hidden or ()) else {}
     write_text(spark, f"{path}/schema.json", schema.json())
-    return read_keyed(spark, path, key_name, schema)
+    return schema
 
 
 def _slices(rows: DataFrame, key_name: str) -> DataFrame:
@@ -101,11 +102,12 @@ def read_keyed(
     return placed.select(rank.alias(key_name), *columns)
 
 
-def keyed_rows(spark: SparkSession, path: str) -> DataFrame:
+def keyed_rows(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """All stored columns of the keyed table below `path` but its key, without the lookup."""
-    return spark.read.schema(StructType.fromJson(json.loads(read_text(spark, f"{path}/schema.json")))).parquet(f"{path}/rows")
+    schema = schema or StructType.fromJson(json.loads(read_text(spark, f"{path}/schema.json")))
+    return spark.read.schema(schema).parquet(f"{path}/rows")
 
 
 def dense_key(df: DataFrame, key_name: str, order_by: list[str], path: str, derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """`df` with its dense key, written below `path` and read back."""
-    return write_keyed(df, key_name, order_by, path, derive)
+    return read_keyed(df.sparkSession, path, key_name, write_keyed(df, key_name, order_by, path, derive))

@@ -11,7 +11,7 @@ from marketloom.operators import constraints, quality
 from marketloom.plans.warehouse import DWH_TABLES, MARTS, ROLLUP, STAGING_TABLES, Warehouse
 from marketloom.session import build_session
 from marketloom.sources.csv_files import FREE_TEXT, load_all_raw
-from marketloom.sources.layers import LayerStore, Observed, publish_views
+from marketloom.sources.layers import LayerStore, Observed, publish_catalog, publish_views
 from marketloom.sources.schemas import RAW_TABLES, raw_schema
 
 logger = logging.getLogger(__name__)
@@ -24,7 +24,8 @@ class Runner:
 
     The newest `keep_runs` complete runs of a layer are kept, so readers of the previous one can
     finish; `multiline` names the sources whose fields may hold line breaks. A layer that breaks a declared
-    key or rule stops the dwh step unless `allow_violations` is set, which only logs what is broken.
+    key or rule stops the dwh step unless `allow_violations` is set, which only logs what is broken. `catalog` names a
+    database whose views are pointed at the stored marts of the newest run.
     """
 
     def __init__(
@@ -38,6 +39,7 @@ class Runner:
         keep_runs: int = 2,
         store_marts: bool = True,
         allow_violations: bool = False,
+        catalog: str | None = None,
     ):
         self.spark = spark
         self.store = LayerStore(spark, root)
@@ -48,6 +50,7 @@ class Runner:
         self.keep_runs = keep_runs
         self.store_marts = store_marts
         self.allow_violations = allow_violations
+        self.catalog = catalog
 
     def schema(self) -> None:
         """Make an empty raw layer when none was ever loaded, so that later steps have typed inputs."""
@@ -119,6 +122,8 @@ class Runner:
             self.store.write_layer("marts", views)
             self.store.drop_old_runs("marts", self.keep_runs)
             views = self.store.read_layer("marts", MARTS)
+            if self.catalog:
+                publish_catalog(self.spark, self.store.current("marts"), MARTS, self.catalog, f"{self.store.root}/catalog")
         publish_views(views, "marts")
         return views
 
@@ -158,6 +163,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     parser.add_argument("--keep-runs", type=int, default=2, help="complete runs to keep per layer")
     parser.add_argument("--mart-views", action="store_true", help="leave the marts as views of the session")
+    parser.add_argument("--catalog", metavar="DATABASE", help="point the views of a catalog database at the stored marts")
     parser.add_argument("--allow-violations", action="store_true", help="log broken keys and rules and go on")
     parser.add_argument("--fail-fast-quality", action="store_true")
     args = parser.parse_args(argv)
@@ -175,6 +181,7 @@ def main(argv: list[str] | None = None) -> None:
         keep_runs=args.keep_runs,
         store_marts=not args.mart_views,
         allow_violations=args.allow_violations,
+        catalog=args.catalog,
     )
     results = runner.run(args.step, args.fail_fast_quality)
     if results:

@@ -235,9 +235,9 @@ class Warehouse:
         hidden = facts.HIDDEN_COLUMNS.get(name, [])
         split = facts.YEAR if facts.YEAR in hidden else None
         path = self._new_path(name, True)
-        write_keyed(df, key, order, path, MEASURES.get(name), hidden, split, lambda d: self._observe(name, d))
-        self._rows[name] = keyed_rows(self.spark, path)
-        return read_keyed(self.spark, path, hidden=True)
+        schema = write_keyed(df, key, order, path, MEASURES.get(name), hidden, split, lambda d: self._observe(name, d))
+        self._rows[name] = keyed_rows(self.spark, path, schema)
+        return read_keyed(self.spark, path, key, schema, hidden=True)
 
     def _new_path(self, name: str, in_run: bool = False) -> str:
         """A path no earlier, possibly failed, attempt has written to: a run is dropped as a whole when it fails."""

@@ -170,3 +170,15 @@ def publish_views(views: dict[str, DataFrame], prefix: str) -> None:
     """Create or replace one temporary view per frame, named `<prefix>_<name>`; nothing is computed."""
     for name, df in views.items():
         df.createOrReplaceTempView(f"{prefix}_{name}")
+
+
+def publish_catalog(spark: SparkSession, run: str, names: list[str], database: str, folder: str) -> None:
+    """Catalog views `<database>.<name>` over the tables of a complete run, found by name in every session of the catalog.
+
+    Each view is replaced as a whole, so a reader sees one run or the next and never a part; the views of a layer
+    are replaced one after the other. With Spark's own catalog they last as long as the application, with a metastore
+    for good. `folder` is where the catalog keeps the database, which holds no data of its own.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{folder}'")
+    for name in names:
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{name}` AS SELECT * FROM parquet.`{run}/{name}`")

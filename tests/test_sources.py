@@ -251,8 +251,9 @@ def test_command_line_takes_file_names_and_marts_outlive_the_session(spark, csv_
     with pytest.raises(SystemExit):
         main(["--root", root, "--file-name", "nothing=x"])
     for step in ("staging", "dwh", "marts"):
-        main(["--root", root, "--step", step, "--allow-violations"])
+        main(["--root", root, "--step", step, "--allow-violations", "--catalog", "shop_marts"])
     other = spark.newSession()
+    assert other.table("shop_marts.sales_overview").count() == LayerStore(other, root).read("marts", "sales_overview").count()
     assert LayerStore(other, root).read("marts", "sales_overview").count() > 0
 
 

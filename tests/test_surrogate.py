@@ -76,7 +76,8 @@ def test_a_broken_key_with_a_third_of_all_rows_is_split_and_ranked_alike_on_reru
 def test_rows_are_read_without_a_shuffle_and_hidden_columns_only_if_asked(spark, rows, many_slices):
     df = rows("k int, year int", *[(i, 1990 + i % 3) for i in range(500)])
     path = new_work_folder(spark, "test")
-    out = write_keyed(df, "key", ["k"], path, hidden=["year"], split_by="year")
+    write_keyed(df, "key", ["k"], path, hidden=["year"], split_by="year")
+    out = read_keyed(spark, path)
     assert out.columns == ["key", "k"] and [r.key for r in out.orderBy("k").collect()] == list(range(1, 501))
     whole = read_keyed(spark, path, hidden=True)
     assert whole.columns == ["key", "k", "year"]
