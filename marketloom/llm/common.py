@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +23,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextlib.contextmanager
+def written_folders() -> Iterator[list[str]]:
+    """Collects the folders that `stored` writes inside the block, in order."""
+    folders: list[str] = []
+    token = _written.set(folders)
+    try:
+        yield folders
+    finally:
+        _written.reset(token)
+
+
 def stored(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """`df` written once below the shared folder and read back: cuts lineage, survives lost executors."""
     path = new_work_folder(df.sparkSession, purpose)
+    if (folders := _written.get()) is not None:
+        folders.append(path)
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
