@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import stored
+from marketloom.llm.common import map_batches, release_memory, stored
 
 FAR = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -29,7 +29,7 @@ class Repeats:
 
     length: int = 200
     gram: int = 64
-    group: int = 1 << 20
+    group: int = 1 << 19
     widths: tuple[int, ...] = (16, 1)
     batch: int = 1 << 17
     filter_bits: int = 1 << 27
@@ -217,7 +217,7 @@ def _cut(wide: DataFrame, how: Repeats, width: int) -> DataFrame:
             columns = list(zip(*made, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["key", "name", "at", "bytes", "piece_of", "skip"])
 
-    return wide.select("name", "at", "bytes").mapInArrow(run, "key long, name binary, at int, bytes binary, piece_of binary, skip int")
+    return map_batches(wide.select("name", "at", "bytes"), run, "key long, name binary, at int, bytes binary, piece_of binary, skip int")
 
 
 def _sorted_spans(distinct: DataFrame, how: Repeats) -> DataFrame:
@@ -246,7 +246,10 @@ def _sorted_spans(distinct: DataFrame, how: Repeats) -> DataFrame:
                         names.pop()
                     if size > how.batch:
                         yield solved()
-                        names, pieces, size = [], [], 0
+                        names, pieces = [], []
+                        if size > 2 * how.batch:
+                            release_memory()
+                        size = 0
                     now, begun = key, len(pieces)
                 names.append(name)
                 pieces.append((raw, n > 1))
@@ -257,7 +260,7 @@ def _sorted_spans(distinct: DataFrame, how: Repeats) -> DataFrame:
             yield solved()
 
     ranged = distinct.select("key", "name", "bytes", "n").repartition("key").sortWithinPartitions("key")
-    return ranged.mapInArrow(run, "name binary, spans array<int>")
+    return map_batches(ranged, run, "name binary, spans array<int>")
 
 
 def _found(distinct: DataFrame, how: Repeats, widths: tuple[int, ...]) -> DataFrame:
@@ -329,7 +332,7 @@ def repeated_spans(docs: DataFrame, how: Repeats = Repeats()) -> tuple[DataFrame
                 keys, counts = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "n"])
 
-    counted = texts.select("text").mapInArrow(anchors, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counted = map_batches(texts.select("text"), anchors, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     live = stored(counted.where("n > 1").select("key"), "live-anchors")
     words = _live_filter(live, how)
 
@@ -360,7 +363,7 @@ def repeated_spans(docs: DataFrame, how: Repeats = Repeats()) -> tuple[DataFrame
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n_bytes", "sha256", "text", "segments"])
 
     schema = "row long, doc_id long, n_bytes long, sha256 string, text binary, segments array<struct<key: long, name: binary, at: int, first: long, bytes: binary>>"
-    rows = stored(texts.mapInArrow(read, schema), "segments", "zstd")
+    rows = stored(map_batches(texts, read, schema), "segments", "zstd")
     every = rows.where("size(segments) > 0").select("row", F.explode("segments").alias("s"))
     each = every.select(F.col("s.key").alias("key"), F.col("s.name").alias("name"), F.col("s.at").alias("at"), F.col("s.bytes").alias("bytes"), F.lit(1).alias("n"))
     if words is None:
@@ -414,7 +417,7 @@ def without_repeats(docs: DataFrame, how: Repeats = Repeats()) -> DataFrame:
                 columns = [pa.array(gone, pa.int64()), pa.array(count, pa.int64()), pa.array(runs, pa.list_(pa.int64())), pa.array(kept, pa.binary()), pa.array(hashes, pa.string())]
                 yield pa.RecordBatch.from_arrays([*piece.columns[:2], *columns], names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept", "sha256"])
 
-    return met.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<long>, kept binary, sha256 string")
+    return map_batches(met, run, "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<long>, kept binary, sha256 string")
 
 
 def removal_digests(docs: DataFrame) -> DataFrame:
