@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.session import new_work_folder
+from marketloom.sources.files import delete_folder
 
 #: A word is a run of anything but space and the control characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -37,6 +38,17 @@ def written_folders() -> Iterator[list[str]]:
         _written.reset(token)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes what `stored` writes inside the block, but for the last folder, when the block ends without an error."""
+    with written_folders() as folders:
+        yield
+    for folder in folders[:-1]:
+        delete_folder(spark, folder)
+    if (outer := _written.get()) is not None:
+        outer += folders[-1:]
+
+
 def stored(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """`df` written once below the shared folder and read back: cuts lineage, survives lost executors."""
     path = new_work_folder(df.sparkSession, purpose)

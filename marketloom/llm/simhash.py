@@ -10,9 +10,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import LOWER, components, map_text, stored
+from marketloom.llm.common import LOWER, components, map_text, scratch, stored
 from marketloom.llm.golay import near, nearest
-from marketloom.llm.set_join import node_of, similar_groups
+from marketloom.llm.set_join import described, similar_groups
 
 SEED = 42
 #: Bits of each of the four segments of a fingerprint.
@@ -184,19 +184,16 @@ def drop_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     group is what such steps reach (see `similar_groups`: complete). All texts without a word are one group. Rows
     without a doc_id come last in their group; rows that share a doc_id are rows of their own and the hash of all
     their columns decides, so a second reading keeps the same ones. Texts move once, to meet the rows that stay.
+    What the steps stored is deleted, but for the names of the rows that stay.
     """
     own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     own = own.select(F.col("row.doc_id").cast("long").alias("id"), F.xxhash64("row").alias("hash"), F.col("row.text").alias("text"), "row")
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        nodes = [node_of(shingle_set(t, size)) for t in batch.column(2).to_pylist()]
-        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(nodes, pa.int64())], names=["id", "hash", "node"])
-
-    names = stored(map_text(own.select("id", "hash", "text"), work, "id long, hash long, node long"), "set-names")
-    groups = similar_groups(own.select("text"), names.count(), lambda t: shingle_set(t, size))
-    placed = names.withColumnRenamed("node", "own").join(groups, F.col("own") == F.col("node"), "left")
-    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "hash")).alias("first")
-    stay = placed.groupBy(F.coalesce("component", "own").alias("label")).agg(first)
-    stay = stored(stay.select(F.col("first.id").alias("stay_id"), F.col("first.hash").alias("stay_hash")), "stay")
+    with scratch(docs.sparkSession):
+        rows = described(own, lambda t: shingle_set(t, size))
+        groups = similar_groups(own, rows, lambda t: shingle_set(t, size))
+        placed = rows.select("id", "hash", F.col("node").alias("own")).join(groups, F.col("own") == F.col("node"), "left")
+        first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "hash")).alias("first")
+        stay = placed.groupBy(F.coalesce("component", "own").alias("label")).agg(first)
+        stay = stored(stay.select(F.col("first.id").alias("stay_id"), F.col("first.hash").alias("stay_hash")), "stay")
     kept = own.drop("text").join(stay, (F.col("hash") == F.col("stay_hash")) & F.col("id").eqNullSafe(F.col("stay_id")), "left_semi")
     return kept.dropDuplicates(["id", "hash"]).select("row.*")

@@ -1,3 +1,7 @@
+import numpy as np
+
+from marketloom.llm import set_join
+from marketloom.llm.set_join import parities, parity_distance
 from marketloom.llm.simhash import drop_duplicates, fingerprint, shingles
 
 SF = "/root/testdata/sf0.01"
@@ -55,3 +59,22 @@ def test_shared_and_missing_ids_lose_no_text(spark):
     assert sorted(r["text"].split()[0] for r in kept) == ["a0", "b0", "c0", "d0"]
     assert sorted((r["doc_id"] for r in kept), key=str) == [1, 1, 3, None]
     assert set(kept) == set(drop_duplicates(docs.repartition(5)).collect())
+
+
+def test_parities_never_turn_similar_sets_away():
+    draw = np.random.default_rng(1)
+    for _ in range(300):
+        n = int(draw.integers(1, 600))
+        a = np.unique(draw.integers(0, 1 << 62, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: int(len(a) * draw.random())], draw.integers(0, 1 << 62, int(draw.integers(0, 150))).astype(np.uint64)]))
+        alone = len(np.setxor1d(a, b))
+        assert parity_distance(parities(a), parities(b)) <= alone
+    assert parity_distance(parities(a), parities(a)) == 0
+
+
+def test_many_texts_around_one_passage_without_filters(spark, monkeypatch):
+    monkeypatch.setattr(set_join, "FILTER_BITS", 1)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, f"a{i} b{i} {passage} " + " ".join(f"e{i % 7}x{k}" for k in range(i % 25))) for i in range(300)]
+    kept = {r["doc_id"] for r in drop_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == brute_keep(dict(rows))
