@@ -1,8 +1,9 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 from marketloom.llm import set_join
 from marketloom.llm.set_join import parities, parity_distance
-from marketloom.llm.simhash import drop_duplicates, fingerprint, shingles
+from marketloom.llm.simhash import drop_duplicates, fingerprint, shingle_set, shingles
 
 SF = "/root/testdata/sf0.01"
 
@@ -78,3 +79,45 @@ def test_many_texts_around_one_passage_without_filters(spark, monkeypatch):
     rows = [(i, f"a{i} b{i} {passage} " + " ".join(f"e{i % 7}x{k}" for k in range(i % 25))) for i in range(300)]
     kept = {r["doc_id"] for r in drop_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert kept == brute_keep(dict(rows))
+
+
+def test_texts_around_one_passage_are_not_all_paired(spark):
+    """Two of these share 0.67 of their runs: none may meet, although each two have most keys in common."""
+    passage = " ".join(f"p{i}" for i in range(104))
+    rows = [(i, " ".join(f"u{i}x{k}" for k in range(25)) + " " + passage) for i in range(50)]
+    own = spark.createDataFrame(rows, "id long, text string").selectExpr("id", "xxhash64(id) as hash", "text")
+    common = np.unique(np.concatenate([shingle_set(t, 5) for _, t in rows]))
+    times = np.array([50 if x in shingle_set(passage, 5) else 1 for x in common])
+    labelled = set_join._keyed(keyed_sets(spark, own, common, times), None).withColumn("label", F.col("node"))
+    assert labelled.groupBy("key").count().where("count = 50").count() > 0
+    assert set_join._met(labelled).count() == 0
+
+
+def test_a_pair_is_met_once_for_a_stretch_of_common_keys(spark):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(words)), (1, " ".join([*words[:199], "other"]))]
+    own = spark.createDataFrame(rows, "id long, text string").selectExpr("id", "xxhash64(id) as hash", "text")
+    none = np.zeros(0, np.uint64)
+    labelled = set_join._keyed(keyed_sets(spark, own, none, none), None).withColumn("label", F.col("node"))
+    assert labelled.groupBy("key").count().where("count = 2").count() > 30
+    assert 1 <= set_join._met(labelled).count() <= 2
+
+
+def keyed_sets(spark, own, common, times):
+    """node, n and keys of the texts of `own` under the order given."""
+    sets = {r["id"]: shingle_set(r["text"], 5) for r in own.collect()}
+    rows = [(set_join.node_of(s), len(s), set_join._prefix(s, common, times).tolist()) for s in sets.values()]
+    return spark.createDataFrame(rows, "node long, n int, keys array<long>")
+
+
+def test_random_edits_against_brute_force(spark):
+    """Families of copies with ever more edits, cuts and additions, around the similarity of 0.8 on both sides."""
+    draw, rows = np.random.default_rng(5), []
+    for family in range(12):
+        base = [f"f{family}x{k}" for k in range(int(draw.integers(6, 160)))]
+        for _ in range(14):
+            own = [w if draw.random() > draw.choice([0, 0.01, 0.03]) else f"e{draw.integers(1 << 40)}" for w in base]
+            own = own[int(draw.integers(0, 1 + len(own) // 9)) :] + [f"a{draw.integers(1 << 40)}" for _ in range(int(draw.integers(0, 1 + len(own) // 9)))]
+            rows.append((len(rows), " ".join(own)))
+    kept = {r["doc_id"] for r in drop_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == brute_keep(dict(rows)) and 12 < len(kept) < len(rows)
