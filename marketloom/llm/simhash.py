@@ -177,11 +177,29 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     return np.unique(_hashes(text, size)).astype(np.uint64, copy=False)
 
 
+def fuzzy_pairs(sets: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """Pairs (a, b) of unlike `sets` (node, fp): each set with the smallest one whose fingerprint is reachable from its own.
+
+    Steps are those of `near_duplicates`: at most `max_bits` bits, found by Golay keys. The pairs are candidates: neither are all
+    of them similar, nor are all similar sets so near.
+    """
+    with scratch(sets.sparkSession):
+        nodes = stored(sets.select("node", "fp").distinct(), "prints")
+        groups = components(fingerprint_links(nodes.select("fp").distinct(), max_bits))
+        placed = nodes.join(groups.withColumnRenamed("node", "of"), F.col("fp") == F.col("of"), "left")
+        placed = stored(placed.select("node", F.coalesce("component", "fp").alias("label")), "placed")
+        lowest = placed.groupBy(F.col("label").alias("of")).agg(F.min("node").alias("low"))
+        pairs = placed.join(lowest, F.col("label") == F.col("of")).where("node <> low")
+        return stored(pairs.select(F.col("low").alias("a"), F.col("node").alias("b")), "fuzzy-pairs")
+
+
 def drop_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     """One row of each group of near copies, all columns unchanged: the one with the smallest doc_id.
 
     Texts are near copies if the sets of their runs of `size` words have a Jaccard similarity of 0.8 or more; a
-    group is what such steps reach (see `similar_groups`: complete). All texts without a word are one group. Rows
+    group is what such steps reach. The SimHash fingerprints of these sets, met by Golay keys, propose pairs first (`fuzzy_pairs`); each
+    is verified on the sets, and the pairs that lie further apart than Golay keys reach are found by `similar_groups`, which
+    is complete. All texts without a word are one group. Rows
     without a doc_id come last in their group; rows that share a doc_id are rows of their own and the hash of all
     their columns decides, so a second reading keeps the same ones. Texts move once, to meet the rows that stay.
     What the steps stored is deleted, but for the names of the rows that stay.
@@ -189,8 +207,8 @@ def drop_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     own = own.select(F.col("row.doc_id").cast("long").alias("id"), F.xxhash64("row").alias("hash"), F.col("row.text").alias("text"), "row")
     with scratch(docs.sparkSession):
-        rows = described(own, lambda t: shingle_set(t, size))
-        groups = similar_groups(own, rows, lambda t: shingle_set(t, size))
+        rows = described(own, lambda t: shingle_set(t, size), lambda s: int(_majority(s).view(np.int64)[0]))
+        groups = similar_groups(own, rows, lambda t: shingle_set(t, size), fuzzy_pairs(rows))
         placed = rows.select("id", "hash", F.col("node").alias("own")).join(groups, F.col("own") == F.col("node"), "left")
         first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "hash")).alias("first")
         stay = placed.groupBy(F.coalesce("component", "own").alias("label")).agg(first)

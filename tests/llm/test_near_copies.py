@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from marketloom.llm import set_join
+from marketloom.llm import set_join, simhash
 from marketloom.llm.set_join import parities, parity_distance
 from marketloom.llm.simhash import drop_duplicates, fingerprint, shingle_set, shingles
 
@@ -121,3 +121,20 @@ def test_random_edits_against_brute_force(spark):
             rows.append((len(rows), " ".join(own)))
     kept = {r["doc_id"] for r in drop_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert kept == brute_keep(dict(rows)) and 12 < len(kept) < len(rows)
+
+
+def test_golay_keys_propose_pairs_and_tie_them(spark, monkeypatch):
+    """Copies within three bits are proposed by their fingerprints, and tied even if no key of the set join brings them together."""
+    rows = []
+    for i in range(20):
+        words = [f"w{i}x{k}" for k in range(400)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words, "end"]))]
+    own = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = {i: simhash.fingerprint(t, 5) for i, t in rows}
+    near = {i for i in range(20) if ((prints[2 * i] ^ prints[2 * i + 1]) & (1 << 64) - 1).bit_count() <= 3}
+    assert len(near) > 10
+    node = {i: set_join.node_of(shingle_set(t, 5)) for i, t in rows}
+    sets = spark.createDataFrame([(node[i], prints[i]) for i in node], "node long, fp long")
+    assert {frozenset((r["a"], r["b"])) for r in simhash.fuzzy_pairs(sets).collect()} == {frozenset((node[2 * i], node[2 * i + 1])) for i in near}
+    monkeypatch.setattr(set_join, "MAY_MATCH", "false")
+    assert {r["doc_id"] for r in drop_duplicates(own).collect()} == {i for i, _ in rows if i % 2 == 0 or i // 2 not in near}
