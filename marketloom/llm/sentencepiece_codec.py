@@ -20,7 +20,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: Kinds of pieces and models in the protobuf (fixed values).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Distinct parts that a worker keeps encoded before it starts anew, and that it gives to the libraries at once.
+#: Distinct parts that a worker keeps encoded before it drops those it does not need now, and that it gives to the libraries at once.
 CACHE, AT_ONCE = 150_000, 5_000
 
 
@@ -81,7 +81,8 @@ class Machine:
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
         self.normaliser = self._normaliser()
         self.bytes_of = [self._bytes(i, p) for i, p in enumerate(pieces)]
-        self.known: dict[str, tuple[bytes, int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.repaired: set[str] = set()
 
     def _normaliser(self):
         from tokenizers import Regex, normalizers
@@ -124,25 +125,29 @@ class Machine:
         Where the two differ, the reference's ids replace those of the backend and the part counts as repaired."""
         new = [p for p in parts if p not in self.known]
         if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = list(parts)
+            self.known = {p: self.known[p] for p in parts if p in self.known}
+            self.repaired.intersection_update(self.known)
         for at in range(0, len(new), AT_ONCE):
             some = new[at : at + AT_ONCE]
             ours = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
             theirs = self.reference.encode(some, num_threads=1)
             for part, a, b in zip(some, ours, theirs, strict=True):
                 ids = a.ids
-                differs = ids != b
-                self.known[part] = (array("i", b if differs else ids).tobytes(), int(differs))
+                if ids != b:
+                    ids = b
+                    self.repaired.add(part)
+                elif self.repaired:
+                    self.repaired.discard(part)
+                self.known[part] = array("i", ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[int], list[str]]:
         """Ids (32 bits each), repaired parts (the normaliser's included) and normalised form of each whole text."""
         forms = [self.normalised(t) if t else ("", False) for t in texts]
         split = [self.cut.findall(form) if form else [] for form, _ in forms]
         self.encode_parts(set().union(*split))
-        found = [list(map(self.known.__getitem__, parts)) for parts in split]
-        repaired = [sum(f[1] for f in x) + fixed for x, (_, fixed) in zip(found, forms, strict=True)]
-        return [b"".join([f[0] for f in x]) for x in found], repaired, [form for form, _ in forms]
+        wrong = self.repaired
+        repaired = [int(fixed) + (sum(p in wrong for p in parts) if wrong else 0) for parts, (_, fixed) in zip(split, forms, strict=True)]
+        return [b"".join(map(self.known.__getitem__, parts)) for parts in split], repaired, [form for form, _ in forms]
 
     def decode(self, ids: list[int]) -> str:
         """Text of `ids`: pieces and fallback bytes joined, the added first space taken away."""

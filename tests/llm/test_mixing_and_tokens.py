@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from marketloom.llm import sentencepiece_codec
 from marketloom.llm.common import stored
 from marketloom.llm.mixing import Mix, _offsets, _sizes, mix_sizes, mixed, permuted, repeated, shard_draws
 from marketloom.llm.sentencepiece_codec import (
@@ -138,6 +139,26 @@ def test_the_backend_makes_the_ids_and_differences_are_repaired(monkeypatch):
     assert own.encode([text])[1] == [2]
 
 
+def test_a_full_cache_keeps_the_parts_at_hand(monkeypatch):
+    """Parts that two batches share are encoded once, ids and counts of repaired parts stay the same."""
+    own, given = Machine(Codec(hand_made_model(UNIGRAM))), []
+    texts = [["the thing and"], ["the thing end"], ["the other end"]]
+    expected = [Machine(own_codec).encode(t) for t in texts for own_codec in [Codec(hand_made_model(UNIGRAM))]]
+    wrong = own.reference.encode("\u2581thing")
+    real = own.reference.encode
+
+    def encode(parts, num_threads):
+        given.extend(parts)
+        return [[*wrong, 5] if p == "\u2581and" else ids for p, ids in zip(parts, real(parts, num_threads=num_threads), strict=True)]
+
+    monkeypatch.setattr(own, "reference", type("Seen", (), {"encode": staticmethod(encode)}))
+    monkeypatch.setattr(sentencepiece_codec, "CACHE", 3)
+    out = [own.encode(t) for t in texts]
+    assert sorted(given) == sorted(set(given)) and len(given) == 5
+    assert [o[1] for o in out] == [[1], [0], [0]] and out[1:] == expected[1:]
+    assert set(own.known) == {"\u2581the", "\u2581end", "\u2581other"} and not own.repaired
+
+
 def test_tokens_of_empty_tables_and_clashing_columns(spark, odd_docs, no_docs):
     codec = Codec.load()
     rows = encode_documents(odd_docs.withColumn("ids", F.lit("x")).withColumn("n_tokens", F.lit(1.5)), codec).collect()
