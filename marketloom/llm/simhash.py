@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import LOWER, components, map_text, scratch, stored
+from marketloom.llm.common import LOWER, components, map_batches, map_text, scratch, stored
 from marketloom.llm.golay import near, nearest
 from marketloom.llm.set_join import described, similar_groups
 
@@ -86,7 +86,7 @@ def _keyed(prints: DataFrame, sided: bool) -> DataFrame:
                             names=["key", "fp", "label", "side"],
                         )
 
-    return prints.select("fp", "label").mapInArrow(run, "key long, fp long, label long, side byte")
+    return map_batches(prints.select("fp", "label"), run, "key long, fp long, label long, side byte")
 
 
 def _distinct(codes: np.ndarray) -> np.ndarray:
