@@ -138,3 +138,15 @@ def test_golay_keys_propose_pairs_and_tie_them(spark, monkeypatch):
     assert {frozenset((r["a"], r["b"])) for r in simhash.fuzzy_pairs(sets).collect()} == {frozenset((node[2 * i], node[2 * i + 1])) for i in near}
     monkeypatch.setattr(set_join, "MAY_MATCH", "false")
     assert {r["doc_id"] for r in drop_duplicates(own).collect()} == {i for i, _ in rows if i % 2 == 0 or i // 2 not in near}
+
+
+def test_hubs_tie_copies_to_the_text_they_were_made_from(spark):
+    """Each two of 40 copies share less than 0.8 of their runs, each shares more with the first text, whose name is not the smallest."""
+    words = [f"w{i}" for i in range(204)]
+    rows = [(0, " ".join(words))] + [(i, " ".join([*words, *(f"e{i}x{k}" for k in range(24))])) for i in range(1, 41)]
+    own = spark.createDataFrame(rows, "id long, text string").selectExpr("id", "xxhash64(id) as hash", "text")
+    common = shingle_set(rows[0][1], 5)
+    hits = set_join._keyed(keyed_sets(spark, own, common, np.full(len(common), 41)), None)
+    centre, *others = (set_join.node_of(shingle_set(t, 5)) for _, t in rows)
+    assert centre != min([centre, *others])
+    assert {(min(o, centre), max(o, centre)) for o in others} <= set(map(tuple, set_join._hub_pairs(hits).collect()))
