@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import map_text, stored
+from marketloom.llm.set_join import bit_filter, split_by
 
 
 @dataclass(frozen=True)
@@ -164,7 +165,8 @@ def document_secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFr
 def redact(docs: DataFrame) -> DataFrame:
     """`docs` with every span of `text` replaced by <KIND> and n_chars counted anew; all other rows unchanged.
 
-    Only documents with a span are joined to the ledger. Overlapping spans become one replacement,
+    Only documents with a span, and by chance a few others, are joined to the ledger: a filter of the addresses with a span
+    passes them, so that texts without one do not move for it. Overlapping spans become one replacement,
     named by the first. All columns stay. Null texts and texts without a span stay as they are, null ones null; repeated
     rows are changed alike, however many; an empty table stays so.
     """
@@ -173,8 +175,10 @@ def redact(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join([f"c{i} {kinds[c]}" for i, c in enumerate(columns)])
+    words = bit_filter(hits.select(F.xxhash64("blob").alias("place")), "place")
     named = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)), address().alias("blob"))
-    marked = findings(named, hits).drop("blob")
+    clean, others = split_by(named.withColumn("place", F.xxhash64("blob")), "place", words)
+    marked = findings(others, hits).drop("blob", "place")
     at, chars = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -189,6 +193,7 @@ def redact(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(out, names=[f"c{i}" for i in range(len(columns))])
 
     done = map_text(marked, work, schema)
+    done = done if clean is None else clean.drop("blob", "place").unionByName(done)
     return done.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)))
 
 

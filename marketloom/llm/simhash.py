@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from marketloom.llm.common import LOWER, components, map_batches, map_text, scratch, stored
 from marketloom.llm.golay import near, nearest
-from marketloom.llm.set_join import described, similar_groups
+from marketloom.llm.set_join import bit_filter, described, similar_groups, split_by
 
 SEED = 42
 #: Bits of each of the four segments of a fingerprint.
@@ -193,6 +193,15 @@ def fuzzy_pairs(sets: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         return stored(pairs.select(F.col("low").alias("a"), F.col("node").alias("b")), "fuzzy-pairs")
 
 
+#: A row's name, without nulls so that it can be joined by.
+NAME = ["hash", "id_or_0", "no_id"]
+
+
+def _named(rows: DataFrame, *more: str | Column) -> DataFrame:
+    """The columns of NAME from id and hash, and `more`."""
+    return rows.select("hash", F.coalesce("id", F.lit(0).cast("long")).alias("id_or_0"), F.col("id").isNull().alias("no_id"), *more)
+
+
 def drop_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     """One row of each group of near copies, all columns unchanged: the one with the smallest doc_id.
 
@@ -201,8 +210,9 @@ def drop_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     is verified on the sets, and the pairs that lie further apart than Golay keys reach are found by `similar_groups`, which
     is complete. All texts without a word are one group. Rows
     without a doc_id come last in their group; rows that share a doc_id are rows of their own and the hash of all
-    their columns decides, so a second reading keeps the same ones. Texts move once, to meet the rows that stay.
-    What the steps stored is deleted, but for the names of the rows that stay.
+    their columns decides, so a second reading keeps the same ones. Only texts that may go or that have copies move, once:
+    a filter of their hashes passes them and, by chance, a few others. Where there are too many for it, all texts move once.
+    What the steps stored is deleted, but for the names of the rows that move.
     """
     own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     own = own.select(F.col("row.doc_id").cast("long").alias("id"), F.xxhash64("row").alias("hash"), F.col("row.text").alias("text"), "row")
@@ -210,8 +220,13 @@ def drop_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
         rows = described(own, lambda t: shingle_set(t, size), lambda s: int(_majority(s).view(np.int64)[0]))
         groups = similar_groups(own, rows, lambda t: shingle_set(t, size), fuzzy_pairs(rows))
         placed = rows.select("id", "hash", F.col("node").alias("own")).join(groups, F.col("own") == F.col("node"), "left")
-        first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "hash")).alias("first")
-        stay = placed.groupBy(F.coalesce("component", "own").alias("label")).agg(first)
-        stay = stored(stay.select(F.col("first.id").alias("stay_id"), F.col("first.hash").alias("stay_hash")), "stay")
-    kept = own.drop("text").join(stay, (F.col("hash") == F.col("stay_hash")) & F.col("id").eqNullSafe(F.col("stay_id")), "left_semi")
-    return kept.dropDuplicates(["id", "hash"]).select("row.*")
+        placed = stored(_named(placed, F.coalesce("component", "own").alias("label")), "placed")
+        first = F.min(F.struct("no_id", "id_or_0", "hash")).alias("first")
+        stay = placed.groupBy("label").agg(first).select(*(F.col(f"first.{c}").alias(c) for c in NAME), F.lit(True).alias("stays"))
+        times = placed.groupBy(*NAME).agg(F.count("*").alias("n"))
+        unsure = times.join(stay, NAME, "left").where("n > 1 or stays is null")
+        unsure = stored(unsure.select(*NAME, F.coalesce("stays", F.lit(False)).alias("stays")), "unsure")
+        words = bit_filter(unsure, "hash")
+    sure, moving = split_by(_named(own, "row"), "hash", words)
+    kept = moving.dropDuplicates(NAME).join(unsure, NAME, "left").where("coalesce(stays, true)").select("row.*")
+    return kept if sure is None else sure.select("row.*").unionByName(kept)

@@ -150,3 +150,25 @@ def test_hubs_tie_copies_to_the_text_they_were_made_from(spark):
     centre, *others = (set_join.node_of(shingle_set(t, 5)) for _, t in rows)
     assert centre != min([centre, *others])
     assert {(min(o, centre), max(o, centre)) for o in others} <= set(map(tuple, set_join._hub_pairs(hits).collect()))
+
+
+def test_only_texts_that_may_go_move_and_once(spark, setting, monkeypatch, capsys):
+    """Of 600 texts, 40 have a near or an exact copy or share a row: hardly more than these meet in a shuffle, and in one."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(600)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(20)] + [(2000 + i, rows[100 + i][1]) for i in range(10)] + rows[200:210]
+    moved, split = [], simhash.split_by
+
+    def seen(*given):
+        sure, others = split(*given)
+        moved.append((sure.count(), others.count()))
+        return sure, others
+
+    monkeypatch.setattr(simhash, "split_by", seen)
+    kept = drop_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sum(moved[0]) == len(rows) and 50 <= moved[0][1] < 200
+    capsys.readouterr()
+    kept.explain("formatted")  # before it runs, when the plan holds each step once
+    steps = capsys.readouterr().out.split("\n\n")
+    assert sum(") Exchange" in s and ("row#" in s or "first#" in s) for s in steps) == 1  # whole rows, or the first of each name
+    assert sorted(kept.collect()) == sorted(set(rows[:600]))

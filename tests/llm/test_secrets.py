@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from marketloom.llm import secrets, set_join
 from marketloom.llm.queries import op10_secrets
 from marketloom.llm.secrets import document_secrets, find_secrets, redact, rule_version, scan_versions, unseen_blobs
 
@@ -75,3 +76,15 @@ def test_ledger_is_incremental(spark):
     assert unseen_blobs(versions("b"), ledger, "other rules").count() == 1
     again, _ = scan_versions(versions("b", "c"), ledger)
     assert again.count() == 0
+
+
+def test_only_texts_with_a_span_are_joined(spark, monkeypatch):
+    """Of 400 texts 8 have a span: the others are not sent to meet the ledger; all come back, and alike without a filter."""
+    rows = [(i, f"text {i} " + ("token = 'abcdef12'" if i % 50 == 0 else "without any")) for i in range(400)]
+    docs, joined, join = spark.createDataFrame(rows, "doc_id long, text string"), [], secrets.findings
+    monkeypatch.setattr(secrets, "findings", lambda paths, ledger: joined.append(paths.count()) or join(paths, ledger))
+    got = sorted(redact(docs).collect())
+    assert got == [(i, f"text {i} " + ("<ASSIGN>'" if i % 50 == 0 else "without any")) for i in range(400)]
+    monkeypatch.setattr(set_join, "FILTER_BITS", 1)
+    assert sorted(redact(docs).collect()) == got
+    assert 8 <= joined[0] < 200 and joined[1] == 400
