@@ -172,3 +172,14 @@ def test_only_texts_that_may_go_move_and_once(spark, setting, monkeypatch, capsy
     steps = capsys.readouterr().out.split("\n\n")
     assert sum(") Exchange" in s and ("row#" in s or "first#" in s) for s in steps) == 1  # whole rows, or the first of each name
     assert sorted(kept.collect()) == sorted(set(rows[:600]))
+
+
+def test_a_filter_of_few_bits_still_turns_rows_away_and_never_a_value_it_has(spark, monkeypatch):
+    monkeypatch.setattr(set_join, "FILTER_BITS", 2048)
+    held = spark.range(1500).selectExpr("xxhash64(id) as key")
+    others = spark.range(10_000, 14_000).selectExpr("xxhash64(id) as key")
+    words = set_join.bit_filter(held, "key")
+    assert words is not None and 64 * len(words) == 2048
+    assert set_join.split_by(held, "key", words)[0].count() == 0
+    assert 1200 < set_join.split_by(others, "key", words)[0].count() < 2400  # 1500 values fill about 0.52 of the places
+    assert set_join.bit_filter(spark.range(2049), "id") is None
