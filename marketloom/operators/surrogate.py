@@ -20,24 +20,51 @@ POSITION = "__position"
 ROW_HASH = "__row_hash"
 ROW_NO = "__row_no"
 _SLICE_BITS = 33
+#: Bits of a position below the number of the part that wrote it: 2**24 slices a part, 64 parts.
+_PART_BITS = _SLICE_BITS + 24
 _ROW_MASK = (1 << _SLICE_BITS) - 1
 _SLICE = "__slice"
 #: Field metadata of columns that are stored for the library's own plans and not part of the declared table.
 HIDDEN = "hidden"
 
 
-def numbered(df: DataFrame) -> DataFrame:
+def numbered(df: DataFrame, hashed: bool = True) -> DataFrame:
     """Add ROW_HASH (of all columns) and ROW_NO, which tell rows apart that share every declared ordering column.
 
     `df` must come straight from a scan, so that a task that is run again numbers its rows alike. Rows
     that differ are ordered by their hash, whatever task they come from; only rows alike in all columns are
-    told apart by number, and which of them gets which key is of no consequence.
+    told apart by number, and which of them gets which key is of no consequence. Without `hashed` there is the number
+    alone, for tables whose order has all columns that are kept: the hash would only widen what is shuffled.
     """
-    return df.select("*", F.xxhash64(*df.columns).alias(ROW_HASH), F.monotonically_increasing_id().alias(ROW_NO))
+    own = [F.xxhash64(*df.columns).alias(ROW_HASH)] if hashed else []
+    return df.select("*", *own, F.monotonically_increasing_id().alias(ROW_NO))
+
+
+def ranges(df: DataFrame, column: str, rows_at_once: int, most: int) -> list[Callable[[DataFrame], DataFrame]]:
+    """Filters on `column` that split tables into ascending ranges of it, NULLs in the last: each row passes exactly one.
+
+    There is one for every `rows_at_once` rows of `df`, `most` of them at most, about even by a sample of its values. Where the
+    bounds fall has no bearing on what comes out; rows that share a value stay together.
+    """
+    n = df.count()
+    wanted = min(most, -(-n // rows_at_once))
+    if wanted < 2:
+        return [lambda part: part]
+    some = df.select(column).dropna().sample(min(1.0, 1000 * wanted / n), 42).collect()
+    values = sorted(r[0] for r in some)
+    bounds = sorted({values[len(values) * i // wanted] for i in range(1, wanted)} if values else ())
+    c = F.col(column)
+
+    def between(low: str | None, high: str | None) -> Callable[[DataFrame], DataFrame]:
+        from_low = F.lit(True) if low is None else c >= F.lit(low)
+        inside = from_low & (c < F.lit(high)) if high is not None else from_low | c.isNull()
+        return lambda part: part.where(inside)
+
+    return [between(low, high) for low, high in zip([None, *bounds], [*bounds, None], strict=True)]
 
 
 def write_keyed(
-    df: DataFrame,
+    df: DataFrame | list[DataFrame],
     key_name: str,
     order_by: list[str],
     path: str,
@@ -55,17 +82,20 @@ def write_keyed(
 
     `derive` is a row-by-row projection to the final columns; it runs after the shuffle, so that neither the shuffle nor
     the sampling for its ranges carries derived columns. `hidden` columns are stored but not part of the table;
-    `split_by`, one of them, also splits the files into folders, which a filter on it prunes. `observe` may attach metrics.
-    Returns the schema of the stored rows.
+    `split_by`, one of them, also splits the files into folders, which a filter on it prunes. `observe` may attach metrics to
+    each write. `df` may be a list of parts in ascending order of the first of `order_by` (see `ranges`): they are written one after
+    the other, so that the shuffles of one part take disk at a time. Returns the schema of the stored rows.
     """
-    total = [*order_by, *(c for c in (ROW_HASH, ROW_NO) if c in df.columns)]
+    parts = df if isinstance(df, list) else [df]
+    total = [*order_by, *(c for c in (ROW_HASH, ROW_NO) if c in parts[0].columns)]
     order = [F.col(c).asc_nulls_last() for c in total]
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    final = derive(ranged) if derive else ranged.drop(ROW_HASH, ROW_NO)
-    placed = final.withColumn(POSITION, F.monotonically_increasing_id())
-    writer = (observe(placed) if observe else placed).write
-    (writer.partitionBy(split_by) if split_by else writer).parquet(f"{path}/rows")
-    spark = df.sparkSession
+    for number, part in enumerate(parts):
+        ranged = part.repartitionByRange(*order).sortWithinPartitions(*order)
+        final = derive(ranged) if derive else ranged.drop(ROW_HASH, ROW_NO)
+        placed = final.withColumn(POSITION, F.monotonically_increasing_id() + F.lit(number << _PART_BITS))
+        writer = (observe(placed) if observe else placed).write.mode("append" if number else "errorifexists")
+        (writer.partitionBy(split_by) if split_by else writer).parquet(f"{path}/rows", compression="zstd")
+    spark = parts[0].sparkSession
     schema = StructType([*(f for f in placed.schema if f.name != split_by), *(f for f in placed.schema if f.name == split_by)])
     _slices(spark.read.schema(schema).parquet(f"{path}/rows"), key_name).write.parquet(f"{path}/slices")
     for f in schema:

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from marketloom.operators import dimensions as dim
 from marketloom.operators import facts, marts
 from marketloom.operators import staging as stg
-from marketloom.operators.surrogate import dense_key, keyed_rows, numbered, read_keyed, write_keyed
-from marketloom.session import new_work_folder
+from marketloom.operators.surrogate import dense_key, keyed_rows, numbered, ranges, read_keyed, write_keyed
+from marketloom.session import new_work_folder, release_shuffles
 from marketloom.sources.declared import TABLES, conforming
 from marketloom.sources.files import delete_folder
 
@@ -54,7 +54,7 @@ KEYS = {
     "fact_marketing_leads": ("marketing_lead_key", ["mql_id"]),
     "fact_closed_deals": ("closed_deal_key", ["mql_id"]),
     "fact_orders": ("order_key", ["order_id"]),
-    # Ties beyond the declared natural key are only needed when it is violated; what still ties goes by row hash.
+    # Ties beyond the declared natural key are only needed when it is violated; what still ties is alike in all that is kept of an item.
     "fact_order_items": (
         "order_item_key",
         ["order_id", "order_item_id", "product_key", "seller_key", "shipping_limit_ts", "price", "freight_value"],
@@ -75,6 +75,15 @@ MEASURES = {
     "fact_reviews": facts.measure_reviews,
 }
 DWH_TABLES = ["dim_date", *KEYS]
+#: Facts that follow the orders in size -> staging table. Each is built in ranges of the first column of its order, as its lookups and
+#: its sorting move whole rows up to four times: one range a number of rows, PARTS at most, as each reads the staging table once more.
+IN_PARTS = {
+    "fact_orders": "stg_orders",
+    "fact_order_items": "stg_order_items",
+    "fact_payments": "stg_payments",
+    "fact_reviews": "stg_reviews",
+}
+ROWS_AT_ONCE, PARTS = 1_000_000, 8
 #: Sums by purchase day and status that marts are drawn from; stored beside the facts.
 ROLLUP = "order_days"
 
@@ -146,6 +155,7 @@ class Warehouse:
         run_folder: str | None = None,
         observe: Callable[[str, DataFrame], DataFrame] | None = None,
     ):
+        release_shuffles(spark)
         self.spark = spark
         self._raw = raw or {}
         self._tables: dict[str, DataFrame] = dict(ready or {})
@@ -191,8 +201,13 @@ class Warehouse:
         self.prepare(NEEDS.get(name, []))
         with self._locks[name]:
             if name not in self._tables:
-                df = self._builders[name]()
-                self._tables[name] = self._keyed(name, df) if name in KEYS and name not in LABEL_DIMENSIONS else df
+                if name in IN_PARTS:
+                    column = KEYS[name][1][0]
+                    parts = ranges(self.table(IN_PARTS[name]), column, ROWS_AT_ONCE, PARTS)
+                    self._tables[name] = self._keyed(name, [self._builders[name](part) for part in parts])
+                else:
+                    df = self._builders[name]()
+                    self._tables[name] = self._keyed(name, df) if name in KEYS and name not in LABEL_DIMENSIONS else df
         return self._tables[name]
 
     def prepare(self, names: Iterable[str]) -> None:
@@ -230,7 +245,7 @@ class Warehouse:
     def dwh_layer(self) -> dict[str, Callable[[], DataFrame]]:
         return {t: (lambda t=t: self.table(t)) for t in DWH_TABLES}
 
-    def _keyed(self, name: str, df: DataFrame) -> DataFrame:
+    def _keyed(self, name: str, df: DataFrame | list[DataFrame]) -> DataFrame:
         key, order = KEYS[name]
         hidden = facts.HIDDEN_COLUMNS.get(name, [])
         split = facts.YEAR if facts.YEAR in hidden else None
@@ -247,7 +262,7 @@ class Warehouse:
 
     def _stored(self, name: str, df: DataFrame, in_run: bool = False) -> DataFrame:
         path = self._new_path(name, in_run)
-        (self._observe(name, df) if in_run else df).write.parquet(path)
+        (self._observe(name, df) if in_run else df).write.parquet(path, compression="zstd")
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _label_dimension(self, name: str) -> DataFrame:
@@ -278,6 +293,7 @@ class Warehouse:
                 w.rows("fact_marketing_leads"), w.rows("fact_closed_deals"), w.dim_date, w.dim_marketing_origin, **o
             ),
         }
+        # The builders of IN_PARTS take a filter that passes one range of the column that leads the fact's order.
         return {
             "stg_customers": lambda: stg.customers(r["customers"]),
             "stg_sellers": lambda: stg.sellers(r["sellers"]),
@@ -321,11 +337,13 @@ class Warehouse:
                 numbered(w.stg_closed_deals), w.dim_seller, w.dim_sales_rep, w.dim_business_segment,
                 w.dim_lead_type, w.dim_lead_profile,
             ),
-            "fact_orders": lambda: facts.resolve_orders(numbered(w.stg_orders), w.dim_customer, w.dim_order_status),
-            "fact_order_items": lambda: facts.resolve_order_items(
-                numbered(w.stg_order_items), w.fact_orders, w.dim_product, w.dim_seller
+            "fact_orders": lambda part: facts.resolve_orders(numbered(part(w.stg_orders)), w.dim_customer, w.dim_order_status),
+            "fact_order_items": lambda part: facts.resolve_order_items(
+                numbered(part(w.stg_order_items), hashed=False), part(w.fact_orders), w.dim_product, w.dim_seller
+            ),
+            "fact_payments": lambda part: facts.resolve_payments(
+                numbered(part(w.stg_payments)), part(w.fact_orders), w.dim_payment_type
             ),
-            "fact_payments": lambda: facts.resolve_payments(numbered(w.stg_payments), w.fact_orders, w.dim_payment_type),
-            "fact_reviews": lambda: facts.resolve_reviews(numbered(w.stg_reviews), w.fact_orders),
+            "fact_reviews": lambda part: facts.resolve_reviews(numbered(part(w.stg_reviews)), w.fact_orders),
             **{m: (lambda m=m: w._marts[m]()) for m in MARTS},
         }

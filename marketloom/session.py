@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_folders: dict[str, str] = {}
 
 
@@ -28,6 +29,15 @@ def build_session(app: str = "marketloom", master: str | None = None, **settings
     return builder.getOrCreate()
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """From now on the shuffle files of a statement go when it ends, and not when the driver happens to collect its garbage.
+
+    What the session itself says about it stands. A frame that is evaluated once more shuffles once more.
+    """
+    if spark.conf.get(CLEANUP_SETTING, None) is None and spark.conf.isModifiable(CLEANUP_SETTING):
+        spark.conf.set(CLEANUP_SETTING, "true")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, taken from the session.
 

@@ -26,21 +26,25 @@ class Observed:
 
     def __init__(self, measures: Callable[[str], Measures] | None):
         self.measures = measures or (lambda table: {})
-        self.open: dict[str, tuple[list[str], Observation]] = {}
+        self.open: dict[str, list[tuple[list[str], Observation]]] = {}
 
     def attach(self, table: str, df: DataFrame) -> DataFrame:
         wanted = self.measures(table)
         if not wanted:
             return df
-        self.open[table] = (list(wanted), Observation(f"{table}-{uuid.uuid4().hex}"))
-        return df.observe(self.open[table][1], *(c.alias(f"m{i}") for i, c in enumerate(wanted.values())))
+        seen = Observation(f"{table}-{uuid.uuid4().hex}")
+        self.open.setdefault(table, []).append((list(wanted), seen))
+        return df.observe(seen, *(c.alias(f"m{i}") for i, c in enumerate(wanted.values())))
 
     def counts(self) -> dict[str, dict[str, int]]:
-        """Counts by table and name of the writes that have ended."""
-        out = {}
-        for table, (names, seen) in self.open.items():
-            found = seen.get
-            out[table] = {name: int(found.get(f"m{i}") or 0) for i, name in enumerate(names)}
+        """Counts by table and name of the writes that have ended, added up where a table was written in parts."""
+        out: dict[str, dict[str, int]] = {}
+        for table, writes in self.open.items():
+            counted = out.setdefault(table, {})
+            for names, seen in writes:
+                found = seen.get
+                for i, name in enumerate(names):
+                    counted[name] = counted.get(name, 0) + int(found.get(f"m{i}") or 0)
         return out
 
 

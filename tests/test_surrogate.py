@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.operators.surrogate import ROW_HASH, ROW_NO, dense_key, keyed_rows, numbered, read_keyed, write_keyed
+from marketloom.operators.surrogate import ROW_HASH, ROW_NO, dense_key, keyed_rows, numbered, ranges, read_keyed, write_keyed
 from marketloom.session import new_work_folder
 
 
@@ -92,3 +92,26 @@ def test_an_empty_split_table_keeps_its_schema(spark, rows):
     path = new_work_folder(spark, "test")
     write_keyed(rows("k int, year int").where("false"), "key", ["k"], path, hidden=["year"], split_by="year")
     assert read_keyed(spark, path).dtypes == [("key", "bigint"), ("k", "int")] and read_keyed(spark, path).count() == 0
+
+
+def test_parts_written_one_after_the_other_give_the_ranks_of_the_whole(spark, rows, many_slices):
+    data = [(f"k{i * 37 % 501}", i % 3) for i in range(2000)] + [("hot", 1)] * 700 + [(None, i) for i in range(5)]
+    df = rows("k string, v int", *data).repartition(4)
+    parts = ranges(df, "k", 400, 5)
+    assert len(parts) == 5 and len(ranges(df, "k", 5000, 5)) == 1
+    passed = [part(df).collect() for part in parts]
+    assert sorted(map(str, sum(passed, []))) == sorted(map(str, df.collect()))
+    heads = [sorted({r.k for r in p if r.k is not None}) for p in passed]
+    assert all(a[-1] < b[0] for a, b in zip(heads, heads[1:]) if a and b)
+    path = new_work_folder(spark, "test")
+    schema = write_keyed([part(df) for part in parts], "key", ["k", "v"], path, hidden=["v"], split_by="v")
+    assert keyed_rows(spark, path).select(F.shiftright("__position", 57)).distinct().count() > 2
+    got = [tuple(r) for r in read_keyed(spark, path, "key", schema, hidden=True).orderBy("key").collect()]
+    want = sorted(data, key=lambda r: (r[0] is None, r[0] or "", r[1]))
+    assert got == [(i, *r) for i, r in enumerate(want, 1)]
+
+
+def test_a_table_without_values_or_rows_is_one_range_or_none_is_lost(spark, rows):
+    nulls = rows("k string", *[(None,)] * 30)
+    assert sum(part(nulls).count() for part in ranges(nulls, "k", 10, 8)) == 30
+    assert [part(nulls.where("false")).count() for part in ranges(nulls.where("false"), "k", 10, 8)] == [0]
