@@ -137,3 +137,9 @@ def test_year_selection_reads_only_its_files_and_no_mart_joins_the_orders(wareho
 def test_the_rollup_reads_each_fact_once(warehouse):
     days = marts.order_days(warehouse.rows("fact_orders"), warehouse.rows("fact_order_items"))
     assert plan(days).count("FileScan") == 2 and "Join" not in plan(days)
+
+
+def test_sums_by_category_do_not_move_with_each_order(warehouse, setting):
+    setting("spark.sql.adaptive.enabled", "false")
+    moved = [x for x in re.split(r"(?=Exchange hashpartitioning)", plan(warehouse.table("sales_by_category"))) if re.match(r"[^\n]*product_category#\d+, order_id#", x)]
+    assert moved and all("functions=[]" in x.split("\n")[1] for x in moved)
