@@ -24,6 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows that Spark hands to a Python worker at once, and its setting.
+BATCH_ROWS, BATCH_SETTING = 2048, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
@@ -70,6 +73,15 @@ def release_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Spark hands BATCH_ROWS rows at once to workers, unless the session itself says otherwise.
+
+    Its usual ten thousand are some 50 MB of whole texts, of which the JVM and the worker hold two each, beside the heap.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow whose tasks give back the memory they no longer need."""
 
@@ -83,7 +95,8 @@ def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
 def map_text(
     df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows_at_once: int = 1024
 ) -> DataFrame:
-    """Apply `work` to slices of at most `rows_at_once` rows, so that memory follows a slice and not a batch."""
+    """Apply `work` to slices of at most `rows_at_once` rows of small batches, so that memory follows a slice and not a batch."""
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -197,6 +197,14 @@ def fuzzy_pairs(sets: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 NAME = ["hash", "id_or_0", "no_id"]
 
 
+def row_hash(docs: DataFrame, row: str = "row") -> Column:
+    """A hash of all columns of `docs`, packed in the struct `row`, and of which of them are null.
+
+    Spark's hash of a row passes over nulls, so that a value would count the same in whichever column it stands beside them.
+    """
+    return F.xxhash64(F.array(*(F.col(f"{row}.`{c}`").isNull() for c in docs.columns)), row)
+
+
 def _named(rows: DataFrame, *more: str | Column) -> DataFrame:
     """The columns of NAME from id and hash, and `more`."""
     return rows.select("hash", F.coalesce("id", F.lit(0).cast("long")).alias("id_or_0"), F.col("id").isNull().alias("no_id"), *more)
@@ -210,12 +218,12 @@ def drop_duplicates(docs: DataFrame, size: int = 5) -> DataFrame:
     is verified on the sets, and the pairs that lie further apart than Golay keys reach are found by `similar_groups`, which
     is complete. All texts without a word are one group. Rows
     without a doc_id come last in their group; rows that share a doc_id are rows of their own and the hash of all
-    their columns decides, so a second reading keeps the same ones. Only texts that may go or that have copies move, once:
+    their columns (`row_hash`) decides, so a second reading keeps the same ones. Only texts that may go or that have copies move, once:
     a filter of their hashes passes them and, by chance, a few others. Where there are too many for it, all texts move once.
     What the steps stored is deleted, but for the names of the rows that move.
     """
     own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    own = own.select(F.col("row.doc_id").cast("long").alias("id"), F.xxhash64("row").alias("hash"), F.col("row.text").alias("text"), "row")
+    own = own.select(F.col("row.doc_id").cast("long").alias("id"), row_hash(docs).alias("hash"), F.col("row.text").alias("text"), "row")
     with scratch(docs.sparkSession):
         rows = described(own, lambda t: shingle_set(t, size), lambda s: int(_majority(s).view(np.int64)[0]))
         groups = similar_groups(own, rows, lambda t: shingle_set(t, size), fuzzy_pairs(rows))

@@ -1,7 +1,9 @@
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from marketloom.llm import set_join, simhash
+from marketloom.llm.common import BATCH_SETTING, map_text
 from marketloom.llm.set_join import parities, parity_distance
 from marketloom.llm.simhash import drop_duplicates, fingerprint, shingle_set, shingles
 
@@ -183,3 +185,23 @@ def test_a_filter_of_few_bits_still_turns_rows_away_and_never_a_value_it_has(spa
     assert set_join.split_by(held, "key", words)[0].count() == 0
     assert 1200 < set_join.split_by(others, "key", words)[0].count() < 2400  # 1500 values fill about 0.52 of the places
     assert set_join.bit_filter(spark.range(2049), "id") is None
+
+
+def test_rows_that_differ_in_where_their_nulls_stand_are_rows_of_their_own(spark):
+    """Spark's hash of a row passes over nulls: such rows of one id were taken for one, and a text without a copy went."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, None, text), (1, text, None), (2, "other " + text[::-1], None), (None, None, "x"), (None, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = sorted(map(tuple, drop_duplicates(docs).collect()), key=str)
+    assert kept == sorted([(1, None, text), (1, text, None), (2, rows[2][1], None), (None, "x", None)], key=str)
+
+
+def test_workers_get_small_batches_unless_the_session_says_otherwise(spark, setting):
+    def sizes():
+        count = lambda batch: pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+        return {r.n for r in map_text(spark.range(5000, numPartitions=1), count, "n long", rows_at_once=10_000).collect()}
+
+    setting(BATCH_SETTING, "3000")
+    assert sizes() == {3000, 2000}
+    spark.conf.unset(BATCH_SETTING)
+    assert sizes() == {2048, 904}
