@@ -82,10 +82,25 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
 
 
-def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow whose tasks give back the memory they no longer need."""
+#: What a worker process keeps from task to task, by name: a function that gives it up.
+kept_by_worker: dict[str, Callable[[], None]] = {}
+
+
+def give_up_others(keep: str | None) -> None:
+    """A worker is used again for other work: what its earlier tasks kept goes, but for `keep`."""
+    for name, give_up in kept_by_worker.items():
+        if name != keep:
+            give_up()
+            release_memory()
+
+
+def map_batches(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, keep: str | None = None
+) -> DataFrame:
+    """mapInArrow whose tasks give back the memory they no longer need, and what other work than `keep` left in the worker."""
 
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_up_others(keep)
         yield from run(batches)
         release_memory()
 
@@ -93,7 +108,11 @@ def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
 
 
 def map_text(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, rows_at_once: int = 1024
+    df: DataFrame,
+    work: Callable[[pa.RecordBatch], pa.RecordBatch],
+    schema: str,
+    rows_at_once: int = 1024,
+    keep: str | None = None,
 ) -> DataFrame:
     """Apply `work` to slices of at most `rows_at_once` rows of small batches, so that memory follows a slice and not a batch."""
     small_batches(df.sparkSession)
@@ -103,7 +122,7 @@ def map_text(
             for start in range(0, batch.num_rows, rows_at_once):
                 yield work(batch.slice(start, rows_at_once))
 
-    return map_batches(df, run, schema)
+    return map_batches(df, run, schema, keep)
 
 
 def components(links: DataFrame, purpose: str = "components") -> DataFrame:

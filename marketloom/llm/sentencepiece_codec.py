@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import map_text
+from marketloom.llm.common import kept_by_worker, map_text
 
 SPACE = "▁"
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -183,6 +183,11 @@ def machine(codec: Codec) -> Machine:
     return Machine(codec)
 
 
+#: Models and the ids of known parts stay in a worker for the next task that encodes or decodes, not for other work.
+KEPT = "sentencepiece"
+kept_by_worker[KEPT] = machine.cache_clear
+
+
 def encode_documents(docs: DataFrame, codec: Codec) -> DataFrame:
     """doc_id, ids, n_tokens, n_repaired and round_trip for every row of `docs`; no shuffle.
 
@@ -218,7 +223,7 @@ def encode_documents(docs: DataFrame, codec: Codec) -> DataFrame:
         )
 
     schema = f"doc_id {kind}, ids array<int>, n_tokens long, n_repaired long, round_trip boolean"
-    return map_text(docs.select("doc_id", "text"), work, schema)
+    return map_text(docs.select("doc_id", "text"), work, schema, keep=KEPT)
 
 
 def decode_documents(encoded: DataFrame, codec: Codec) -> DataFrame:
@@ -230,4 +235,4 @@ def decode_documents(encoded: DataFrame, codec: Codec) -> DataFrame:
         texts = [None if ids is None else own.decode(ids) for ids in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return map_text(encoded.select("doc_id", F.col("ids").cast("array<int>")), work, f"doc_id {kind}, text string")
+    return map_text(encoded.select("doc_id", F.col("ids").cast("array<int>")), work, f"doc_id {kind}, text string", keep=KEPT)
